@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, sharding
+from . import decontam, licenses, secrets, sharding
 from .common import table
 
 
@@ -17,6 +17,27 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in each whole document."""
+    out = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id",
+        F.col("_n_words").alias("n_words"),
+        F.col("_n_hit").alias("n_hit"),
+        F.size("_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("_items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("_n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in each whole document: base patterns and novel strings in sensitive context."""
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    told = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    base = F.transform(F.filter("spans", lambda s: s["kind"] != "novel"), told)
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.array_join(base, ",").cast("binary"), 256).alias("base_sha256"), F.array_join(F.transform("spans", told), ",").alias("spans"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences named in each document's whole text."""
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
@@ -24,7 +45,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The operators' queries by name."""
-    return {"op3_sharding": op3_sharding, "op10_license_scan": op10_license_scan}
+    return {"op3_sharding": op3_sharding, "op4_decontamination": op4_decontamination, "op8_secret_scan": op8_secret_scan, "op10_license_scan": op10_license_scan}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 #: Hash and fraction ranges at most; their counts are the only thing one task sees whole.
 MAX_RANGES = 4096
-ROWS_A_RANGE = 2000
+ROWS_A_RANGE = 128
 
 
 def interleaved_shards(docs: DataFrame, n_shards: int = 16, seed: int = 17, key: str = "doc_id", stratum: str = "source", text: str = "text") -> DataFrame:
