@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, licenses, secrets, sharding
+from . import decontam, licenses, secrets, sharding, simhash, toxicity
 from .common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each whole document, learnt from the labels outside the held-out fold."""
+    scored = toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "worst_score", "worst_sentence", "n_offending")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into shards 0 to 15 by stratified interleaving; shard sizes in rows differ by one at most."""
     out = sharding.interleaved_shards(table(spark, sf_dir, "documents"), n_shards=16)
@@ -30,6 +37,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of all documents and the components of those within 4 bits."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+    return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in each whole document: base patterns and novel strings in sensitive context."""
     found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
@@ -45,7 +58,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The operators' queries by name."""
-    return {"op3_sharding": op3_sharding, "op4_decontamination": op4_decontamination, "op8_secret_scan": op8_secret_scan, "op10_license_scan": op10_license_scan}
+    return {"op1_toxicity": op1_toxicity, "op3_sharding": op3_sharding, "op4_decontamination": op4_decontamination, "op7_simhash": op7_simhash, "op8_secret_scan": op8_secret_scan, "op10_license_scan": op10_license_scan}
 
 
 def oracle_sql() -> dict[str, str]:
