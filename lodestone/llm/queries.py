@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, licenses, secrets, sharding, simhash, toxicity
+from . import decontam, html_extract, licenses, media, packing, secrets, sharding, simhash, toxicity
 from .common import table
 
 
@@ -37,6 +37,16 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents into bins of 16 KiB; no two equal texts and at most four pieces of a source in a bin."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of all documents and the components of those within 4 bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
@@ -51,6 +61,22 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.array_join(base, ",").cast("binary"), 256).alias("base_sha256"), F.array_join(F.transform("spans", told), ",").alias("spans"))
 
 
+def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's bytes through a progressive JPEG and back, with features of the rendered tensor."""
+    stored = media.media_columns(table(spark, sf_dir, "documents"))
+    feature = F.concat_ws(",", F.col("height").cast("string"), F.col("width").cast("string"), F.octet_length("rgb").cast("string"), F.crc32("rgb").cast("string"))
+    return stored.select(
+        "doc_id",
+        "n_bytes",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.expr("substring(payload, -16, 16)")).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        feature.alias("feature"),
+    )
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences named in each document's whole text."""
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
@@ -58,7 +84,8 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The operators' queries by name."""
-    return {"op1_toxicity": op1_toxicity, "op3_sharding": op3_sharding, "op4_decontamination": op4_decontamination, "op7_simhash": op7_simhash, "op8_secret_scan": op8_secret_scan, "op10_license_scan": op10_license_scan}
+    found = (op1_toxicity, op3_sharding, op4_decontamination, op5_html_extraction, op6_best_fit_packing, op7_simhash, op8_secret_scan, op9_media_columns, op10_license_scan)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
