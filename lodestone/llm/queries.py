@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_extract, licenses, media, packing, secrets, sharding, simhash, toxicity
+from . import decontam, html_extract, licenses, media, packing, secrets, sharding, simhash, suffix_dedup, toxicity
 from .common import table
 
 
@@ -18,6 +18,18 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "worst_score", "worst_sentence", "n_offending")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 50-byte strings that an earlier document has."""
+    done = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return done.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into shards 0 to 15 by stratified interleaving; shard sizes in rows differ by one at most."""
     out = sharding.interleaved_shards(table(spark, sf_dir, "documents"), n_shards=16)
@@ -84,7 +96,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The operators' queries by name."""
-    found = (op1_toxicity, op3_sharding, op4_decontamination, op5_html_extraction, op6_best_fit_packing, op7_simhash, op8_secret_scan, op9_media_columns, op10_license_scan)
+    found = (op1_toxicity, op2_suffix_dedup, op3_sharding, op4_decontamination, op5_html_extraction, op6_best_fit_packing, op7_simhash, op8_secret_scan, op9_media_columns, op10_license_scan)
     return {f.__name__: f for f in found}
 
 
