@@ -12,7 +12,8 @@ scoring covers every document, whole, in one pass without a shuffle. The model i
 
 from __future__ import annotations
 
-from collections import Counter
+import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -22,12 +23,12 @@ from pyspark.sql import functions as F
 from .common import small_batches, whole_text
 
 #: Labelled rows to train on at most, and the longest text among them in bytes.
-MAX_TRAIN = 12_000
+MAX_TRAIN = 8_000
 MAX_TRAIN_BYTES = 200_000
 MAX_FEATURES = 6_000
 ROUNDS = 100
-#: Lengths of the word beginnings, in bytes.
-PREFIXES = (4, 5, 6)
+#: Numbers that features are hashed to, and lengths of the word beginnings, in bytes.
+SPACE, PREFIXES = 1 << 20, (4, 5, 6)
 
 #: Sentence ends become line feeds, other ASCII punctuation spaces; applied to lower-cased UTF-8.
 _ENDS = b".!?\n\r"
@@ -39,78 +40,81 @@ def sentences(text: str) -> list[list[bytes]]:
     return [w for s in text.lower().encode("utf-8", "replace").translate(FOLD).split(b"\n") if (w := s.split())]
 
 
-def features(word: bytes) -> tuple[bytes, ...]:
-    """The word itself and its beginnings, which inflected and derived forms share."""
-    return (word, *(b"%d:%b" % (n, word[:n]) for n in PREFIXES if len(word) > n))
+def features(word: bytes) -> tuple[int, ...]:
+    """Hashed numbers of the word itself and of its beginnings, which inflected and derived forms share."""
+    return (zlib.crc32(word) % SPACE, *(zlib.crc32(b"%d:%b" % (n, word[:n])) % SPACE for n in PREFIXES if len(word) > n))
 
 
-class WordScores(dict):
-    """The summed weights of a word's features, kept for words seen before."""
+class ByWord(dict):
+    """A function of a word, kept for words seen before (a bounded number of them)."""
 
-    def __init__(self, weights: dict[bytes, float], most: int = 200_000):
+    def __init__(self, make, most: int = 200_000):  # noqa: ANN001
         super().__init__()
-        self.weights, self.most = weights, most
+        self.make, self.most = make, most
 
-    def __missing__(self, word: bytes) -> float:
+    def __missing__(self, word: bytes):  # noqa: ANN204
         if len(self) >= self.most:
             self.clear()
-        self[word] = found = sum(self.weights.get(f, 0.0) for f in features(word))
+        self[word] = found = self.make(word)
         return found
 
 
-def choose_words(bags: list[list[list[bytes]]], labels: np.ndarray, most: int) -> list[bytes]:
-    """The word features whose presence tells most about the label: by G-test over documents, ties by the word."""
-    n, pos = len(bags), int(labels.sum())
-    seen, seen_pos = Counter(), Counter()
-    for bag, y in zip(bags, labels):
-        own = {f for w in {w for s in bag for w in s} for f in features(w)}
-        seen.update(own)
+def word_scores(weights: dict[int, float]) -> ByWord:
+    """The summed weights of a word's features."""
+    return ByWord(lambda w: sum(weights.get(f, 0.0) for f in features(w)))
+
+
+def choose_features(texts: list[str], labels: np.ndarray, most: int) -> np.ndarray:
+    """The features whose presence tells most about the label: by G-test over documents, ties by number."""
+    n, pos = len(texts), int(labels.sum())
+    c, k = np.zeros(SPACE), np.zeros(SPACE)
+    known = ByWord(features)
+    for text, y in zip(texts, labels):
+        own = list({f for s in sentences(text) for w in s for f in known[w]})
+        c[own] += 1
         if y:
-            seen_pos.update(own)
-    found = sorted(w for w, c in seen.items() if c >= 3)
-    if not found:
-        return []
-    c = np.array([seen[w] for w in found], float)
-    k = np.array([seen_pos[w] for w in found], float)
+            k[own] += 1
+    found = np.flatnonzero(c >= 3)
+    c, k = c[found], k[found]
     cells = np.stack([k, c - k, pos - k, n - pos - c + k])
-    expected = np.stack([c * pos, c * (n - pos), (n - c) * pos, (n - c) * (n - pos)]) / n
+    expected = np.stack([c * pos, c * (n - pos), (n - c) * pos, (n - c) * (n - pos)]) / max(1, n)
     with np.errstate(divide="ignore", invalid="ignore"):
         g = np.where(cells > 0, cells * np.log(cells / expected), 0).sum(axis=0)
-    return [found[i] for i in np.argsort(-g, kind="stable")[:most]]
+    return found[np.argsort(-g, kind="stable")[:most]]
 
 
-def train(texts: list[str], labels: list[int], max_features: int = MAX_FEATURES, rounds: int = ROUNDS, l2: float = 0.1) -> tuple[dict[bytes, float], float]:
-    """Word weights and bias of the sentence model, fitted through the noisy-or by Adam."""
+def train(texts: list[str], labels: list[int], max_features: int = MAX_FEATURES, rounds: int = ROUNDS, l2: float = 0.1) -> tuple[dict[int, float], float]:
+    """Feature weights and bias of the sentence model, fitted through the noisy-or by Adam."""
     y = np.array(labels, float)
-    bags = [sentences(t) for t in texts]
-    chosen = choose_words(bags, y, max_features)
-    ids = {w: i for i, w in enumerate(chosen)}
-    words, word_sentence, sentence_doc = [], [], []
-    for d, bag in enumerate(bags):
-        for s in bag:
-            own = {i for w in set(s) for f in features(w) if (i := ids.get(f)) is not None}
-            words += own
-            word_sentence += [len(sentence_doc)] * len(own)
+    chosen = choose_features(texts, y, max_features)
+    place = np.full(SPACE, -1, np.int32)
+    place[chosen] = np.arange(len(chosen))
+    known = ByWord(lambda w: [i for f in features(w) if (i := int(place[f])) >= 0])
+    found, found_sentence, sentence_doc = array("i"), array("i"), array("i")
+    for d, text in enumerate(texts):
+        for s in sentences(text):
+            own = {i for w in s for i in known[w]}
+            found.extend(own)
+            found_sentence.extend([len(sentence_doc)] * len(own))
             sentence_doc.append(d)
     if not sentence_doc or not 0 < y.sum() < len(y):
         return {}, -20.0 if y.sum() * 2 < max(1, len(y)) else 20.0
-    j, s, d = np.array(words, np.int64), np.array(word_sentence, np.int64), np.array(sentence_doc, np.int64)
-    w, b = np.zeros(len(chosen)), np.log(y.mean() / max(1.0, len(d) / len(y)))
-    theta = np.append(w, b)
+    j, s, d = np.array(found), np.array(found_sentence), np.array(sentence_doc)
+    theta = np.zeros(len(chosen) + 1)
+    theta[-1] = np.log(y.mean() / max(1.0, len(d) / len(y)))
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, rounds + 1):
         z = theta[-1] + np.bincount(s, theta[j], len(d))
-        soft = np.logaddexp(0, z)
-        total = np.bincount(d, soft, len(y))
+        total = np.bincount(d, np.logaddexp(0, z), len(y))
         slope = np.where(y > 0, -1 / np.expm1(np.maximum(total, 1e-9)), 1.0)
         dz = slope[d] / (1 + np.exp(-z))
         gradient = np.append(np.bincount(j, dz[s], len(chosen)) + l2 * theta[:-1], dz.sum())
         m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
         theta = theta - 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    return {x: float(t) for x, t in zip(chosen, theta)}, float(theta[-1])
+    return {int(x): float(t) for x, t in zip(chosen, theta)}, float(theta[-1])
 
 
-def score(text: str, weights: WordScores, bias: float) -> tuple[float, float, int, int]:
+def score(text: str, weights: ByWord, bias: float) -> tuple[float, float, int, int]:
     """(document score, its highest sentence score, that sentence's number or -1, number of sentences of 0.5 and more)."""
     get = weights.__getitem__
     zs = [bias + sum(map(get, set(s))) for s in sentences(text)]
@@ -139,12 +143,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRA
     return [r.text for r in rows], [int(r.toxic > 0) for r in rows]
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> tuple[dict[bytes, float], float]:
+def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> tuple[dict[int, float], float]:
     """The sentence model learnt from ``labels``; without labels of both kinds it scores by the majority."""
     return train(*training_sample(docs, labels, max_train))
 
 
-def toxicity(texts: Column, model: tuple[dict[bytes, float], float], spark) -> Column:  # noqa: ANN001
+def toxicity(texts: Column, model: tuple[dict[int, float], float], spark) -> Column:  # noqa: ANN001
     """struct<score, worst_score, worst_sentence, n_offending>: noisy-or and where it comes from.
 
     Null and empty texts score 0. Texts are scored whole; sentences are numbered from 0 among those
@@ -154,7 +158,7 @@ def toxicity(texts: Column, model: tuple[dict[bytes, float], float], spark) -> C
     shared = spark.sparkContext.broadcast(model)
 
     def judge(batch: pd.Series) -> pd.DataFrame:
-        weights, bias = WordScores(shared.value[0]), shared.value[1]
+        weights, bias = word_scores(shared.value[0]), shared.value[1]
         return pd.DataFrame([score(t, weights, bias) for t in batch], columns=["score", "worst_score", "worst_sentence", "n_offending"])
 
     return F.pandas_udf(judge, "score double, worst_score double, worst_sentence int, n_offending int")(texts)
