@@ -25,10 +25,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     The folder is the one the cluster names in spark.checkpoint.dir; a folder of our own is set only
     where none is named, as in local tests.
     """
-    spark = df.sparkSession
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the checkpoint folder."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "/tmp/checkpoints"))
-    return df.checkpoint(eager=True)
+    return spark.sparkContext.getCheckpointDir()
 
 
 def whole_text(name: str = "text") -> Column:

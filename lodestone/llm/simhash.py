@@ -31,37 +31,50 @@ RADIUS = 4
 #: Distinct fingerprints of a shard compared by one task at most, and of those a task gathers.
 MAX_SHARD = 20_000
 TASK_ROWS = 20_000
-DIRECT = 256
+#: Mean size of a shard that the choice of blocks aims at, and most trees for it; rows compared together.
+SHARD, MAX_TREES, ROWS = 8_192, 100, 64
 FOLD = bytes(i + 32 if 0x41 <= i <= 0x5A else i for i in range(256))
 
 
-def fingerprint(text: str, shingle: int = 4) -> int:
-    """64 bits, each set if it is set in over half of the shingles' XXH64 (seed 42); 0 without words."""
+def fingerprint(text: str, shingle: int = 4, words64: int = 1) -> list[int]:
+    """``words64`` times 64 bits, each set if it is set in over half of the shingles' hashes; 0 without words.
+
+    The first 64 are those of XXH64 (seed 42); further ones come from mixing that hash anew.
+    """
     words = text.encode("utf-8", "replace").translate(FOLD).split()
     n = len(words) - shingle + 1
     joined = b" ".join(words)
     if not words:
-        return 0
+        return [0] * words64
     if n <= 1:
-        return xxhash.xxh64_intdigest(joined, 42)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    digest = xxhash.xxh64_intdigest
-    h = np.array([digest(joined[a:b], 42) for a, b in zip(starts[:n].tolist(), ends[shingle - 1 :].tolist())], np.uint64)
-    counts = np.zeros(64, np.int64)
-    for at in range(0, n, 1 << 16):
-        part = h[at : at + (1 << 16)]
-        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return sum(1 << b for b in np.flatnonzero(2 * counts > n).tolist())
-
-
-def fingerprints(texts: Column, shingle: int = 4) -> Column:
-    """The fingerprint of each text as a signed long."""
-
-    def make(batch: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t, shingle) for t in batch], np.uint64).view(np.int64))
-
-    return F.pandas_udf(make, "long")(texts)
+        h = np.array([xxhash.xxh64_intdigest(joined, 42)], np.uint64)
+    else:
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        digest = xxhash.xxh64_intdigest
+        h = np.array([digest(joined[a:b], 42) for a, b in zip(starts[:n].tolist(), ends[shingle - 1 :].tolist())], np.uint64)
+    out = []
+    for k in range(words64):
+        counts = np.zeros(64, np.int64)
+        for at in range(0, len(h), 1 << 16):
+            part = h[at : at + (1 << 16)]
+            if k:
+                part = (part ^ (part >> np.uint64(29)) ^ np.uint64(k)) * np.uint64(0xBF58476D1CE4E5B9)
+                part = (part ^ (part >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+                part ^= part >> np.uint64(29)
+            counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        out.append(sum(1 << b for b in np.flatnonzero(2 * counts > len(h)).tolist()))
+    return out
+
+
+def fingerprints(texts: Column, shingle: int = 4, words64: int = 1) -> Column:
+    """struct<fp long (signed), more binary>: the fingerprint of each text, and its further bits."""
+
+    def make(batch: pd.Series) -> pd.DataFrame:
+        found = np.array([fingerprint(t, shingle, words64) for t in batch], np.uint64).reshape(-1, words64)
+        return pd.DataFrame({"fp": found[:, 0].view(np.int64), "more": [x.tobytes() for x in found[:, 1:]]})
+
+    return F.pandas_udf(make, "fp long, more binary")(texts)
 
 
 def as_hex(fp: Column) -> Column:
@@ -82,74 +95,86 @@ def block_masks(n_fp: int, radius: int, overlap: int = 0) -> tuple[list[int], in
     """Block masks and the radius within a block.
 
     With ``overlap`` r0, fewer and wider blocks are used whose trees overlap by r0 shells. Otherwise the
-    blocks are single ones of radius + 1, or, for very many fingerprints, pairs and triples of more
-    and narrower blocks, so that a shard keeps a bounded size while the trees stay exact.
+    blocks are single ones of radius + 1, or, for very many fingerprints, all pairs or larger sets of more
+    and narrower blocks, so that a shard keeps a bounded size while the trees stay exact (MAX_TREES of
+    them at most).
     """
     if overlap:
         blocks, together = max(1, -(-(radius + 1) // (overlap + 1))), 1
     else:
-        together = max(1, min(4, round(math.log2(max(2, n_fp) / 1000) / 13)))
+        together = 1
+        while n_fp / 2 ** (64 * together / (radius + together)) > SHARD and math.comb(radius + together + 1, together + 1) <= MAX_TREES:
+            together += 1
         blocks = radius + together
     cuts = [64 * i // blocks for i in range(blocks + 1)]
     bits = [((1 << cuts[i + 1]) - 1) & ~((1 << cuts[i]) - 1) for i in range(blocks)]
     return [sum(c) for c in combinations(bits, together)], overlap
 
 
-def within(fp: np.ndarray, radius: int) -> np.ndarray:
-    """For each of some distinct fingerprints, the number of the first one of its component by links within ``radius``."""
+def within(fp: np.ndarray, radius: int, more: np.ndarray | None = None, more_radius: int = 0) -> np.ndarray:
+    """For each point, the number of the first one of its component by links within ``radius``.
+
+    ``more``: further bits (a row of 64-bit words each); a link then also needs at most ``more_radius``
+    different bits in all. A vantage-point search: points sorted by distance from the first one have
+    their partners in the shells at most ``radius`` away.
+    """
     n = len(fp)
-    label = np.arange(n)
-    if n <= DIRECT:
-        near = np.bitwise_count(fp[:, None] ^ fp[None, :]) <= radius
-        if near.sum() == n:
-            return label
-        while True:
-            new = np.where(near, label[None, :], n).min(axis=1)
-            if (new == label).all():
-                return label
-            label = new[new]
-    # A vantage-point search: sorted by distance from the vantage point, partners lie in neighbouring shells.
     shell = np.bitwise_count(fp ^ fp[0]).astype(np.int64)
     order = np.argsort(shell, kind="stable")
-    points, edges = fp[order], np.searchsorted(shell[order], np.arange(66 + radius))
-    alive, label = np.ones(n, bool), np.full(n, -1)
-    shells = shell[order]
-    for seed in range(n):
-        if not alive[seed]:
-            continue
-        alive[seed] = False
-        queue, members = [seed], [seed]
-        while queue:
-            x = queue.pop()
-            a, b = edges[max(0, shells[x] - radius)], edges[shells[x] + radius + 1]
-            hits = a + np.flatnonzero((np.bitwise_count(points[a:b] ^ points[x]) <= radius) & alive[a:b])
-            alive[hits] = False
-            queue += hits.tolist()
-            members += hits.tolist()
-        own = order[members]
-        label[own] = own.min()
+    points, shells = fp[order], shell[order]
+    edges = np.searchsorted(shells, np.arange(66 + radius))
+    parent = np.arange(n)
+
+    def roots(x: np.ndarray) -> np.ndarray:
+        while (parent[x] != x).any():
+            x = parent[x]
+        return x
+
+    for a in range(0, n, ROWS):
+        b = min(n, a + ROWS)
+        end = edges[shells[b - 1] + radius + 1]
+        near = np.bitwise_count(points[a:b, None] ^ points[None, a:end]) <= radius
+        i, j = np.nonzero(near)
+        keep = j > i
+        i, j = i[keep], j[keep] + a
+        if more is not None and len(i):
+            x, y = order[a + i], order[j]
+            far = np.bitwise_count(fp[x] ^ fp[y]).astype(np.int64) + np.bitwise_count(more[x] ^ more[y]).sum(axis=1, dtype=np.int64)
+            i, j = i[far <= more_radius], j[far <= more_radius]
+        cuts = np.flatnonzero(np.diff(i, prepend=-1, append=-1)) if len(i) else np.zeros(1, np.int64)
+        for s, e in zip(cuts[:-1], cuts[1:]):
+            own = roots(np.append(j[s:e], a + i[s]))
+            parent[own] = own.min()
+    top = roots(np.arange(n))
+    first = np.full(n, n)
+    np.minimum.at(first, top, order)
+    label = np.empty(n, np.int64)
+    label[order] = first[top]
     return label
 
 
-def _shard_links(rows: pd.DataFrame, radius: int) -> pd.DataFrame:
-    """Links (fp, first of its component) inside each shard of a task."""
-    rows = rows.sort_values(["shard", "fp"])
+def _shard_links(rows: pd.DataFrame, radius: int, more_radius: int) -> pd.DataFrame:
+    """Links (node, first of its component) inside each shard of a task."""
+    rows = rows.sort_values(["shard", "node"])
+    shard, node = rows["shard"].to_numpy(), rows["node"].to_numpy(np.int64)
+    keep = np.ones(len(rows), bool)
+    keep[1:] = (shard[1:] != shard[:-1]) | (node[1:] != node[:-1])
+    rows, shard, node = rows[keep], shard[keep], node[keep]
     fps = rows["fp"].to_numpy(np.int64).view(np.uint64)
-    shard = rows["shard"].to_numpy()
+    more = np.frombuffer(b"".join(rows["more"]), np.uint64).reshape(len(rows), -1) if len(rows) and rows["more"].iloc[0] else None
     cuts = np.concatenate([[0], np.flatnonzero(shard[1:] != shard[:-1]) + 1, [len(rows)]])
-    out_a, out_b = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+    out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for a, b in zip(cuts[:-1], cuts[1:]):
-        own = np.unique(fps[a:b])
-        if len(own) > 1:
-            label = within(own, radius)
-            linked = label != np.arange(len(own))
-            out_a.append(own[linked])
-            out_b.append(own[label[linked]])
-    return pd.DataFrame({"a": np.concatenate(out_a).view(np.int64), "b": np.concatenate(out_b).view(np.int64)})
+        if b - a > 1:
+            label = within(fps[a:b], radius, None if more is None else more[a:b], more_radius)
+            linked = label != np.arange(b - a)
+            out_a.append(node[a:b][linked])
+            out_b.append(node[a:b][label[linked]])
+    return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
 
 
-def links(fps: DataFrame, radius: int = RADIUS, overlap: int = 0) -> DataFrame:
-    """Links (a, b) that connect the same fingerprints as all pairs within ``radius`` do; ``fps``: distinct fp."""
+def links(fps: DataFrame, radius: int = RADIUS, more_radius: int = 0, overlap: int = 0) -> DataFrame:
+    """Links (a, b) of nodes that connect the same nodes as all pairs within ``radius`` do; ``fps``: node, fp, more."""
     n = fps.count()
     masks, r0 = block_masks(n, radius, overlap)
     depth = max(1, min(8, math.ceil(math.log2(max(2, n) / 64) / 2)))
@@ -167,17 +192,17 @@ def links(fps: DataFrame, radius: int = RADIUS, overlap: int = 0) -> DataFrame:
             trees.append(paths)
         else:
             trees.append(F.array(path))
-    placed = fps.select("fp", F.explode(F.concat(*trees)).alias("path"))
+    placed = fps.select("node", "fp", "more", F.explode(F.concat(*trees)).alias("path"))
     counts = placed.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MAX_SHARD)
     big = counts.select("path", F.ceil(F.col("n") / MAX_SHARD * 2).cast("int").alias("chunks"))
     placed = placed.join(big, "path", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-    chunk = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     pair = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda k: F.xxhash64("path", F.least(chunk, k), F.greatest(chunk, k)))
-    dealt = placed.select("fp", F.explode(pair).alias("shard"))
+    dealt = placed.select("node", "fp", "more", F.explode(pair).alias("shard"))
     tasks = max(1, n * len(masks) // TASK_ROWS)
     return (
         dealt.withColumn("task", F.pmod("shard", F.lit(tasks)))
-        .groupBy("task").applyInPandas(lambda rows: _shard_links(rows, radius), "a long, b long")
+        .groupBy("task").applyInPandas(lambda rows: _shard_links(rows, radius, more_radius), "a long, b long")
         .distinct()
     )
 
@@ -205,34 +230,42 @@ def components(edges: DataFrame) -> DataFrame:
         state = new
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = RADIUS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, fp (signed long), component_id (smallest doc_id reachable).
+def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = RADIUS, similarity: float | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: doc_id, fp (signed long), text_hash, component_id (smallest doc_id reachable).
 
-    Documents whose fingerprints differ in ``radius`` bits or fewer are linked. Null and empty texts have
-    fingerprint zero and are linked like any other; a null key is never the smallest of a component that has
-    another key; repeated rows share their component; an empty table gives no rows; very long texts are
-    read whole; other columns are ignored.
+    Documents whose fingerprints differ in ``radius`` bits or fewer are linked. With ``similarity``, 256 bits
+    are made, and a link also needs that share of them to agree: a wide radius then finds candidates, and the
+    further bits keep chance neighbours apart. Null and empty texts have fingerprint zero and are linked like
+    any other; a null key is never the smallest of a component that has another key; repeated rows
+    share their component; an empty table gives no rows; very long texts are read whole; other columns are
+    ignored.
     """
     small_batches(docs.sparkSession)
-    marked = checkpointed(docs.select(F.col(key).alias("doc_id"), fingerprints(whole_text(text), shingle).alias("fp")))
-    return cluster(marked, radius)
-
-
-def cluster(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fp, component_id) from (doc_id, fp)."""
-    distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    found = components(links(marked.select("fp").distinct(), radius))
-    named = distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
+    whole = whole_text(text)
+    made = docs.select(F.col(key).alias("doc_id"), F.xxhash64(whole).alias("text_hash"), fingerprints(whole, shingle, 4 if similarity else 1).alias("f"))
+    node = F.xxhash64("f.fp", "f.more") if similarity else F.col("f.fp")
+    marked = checkpointed(made.select("doc_id", "text_hash", node.alias("node"), "f.fp", "f.more"))
+    return cluster(marked, radius, math.floor(256 * (1 - similarity)) if similarity else 0)
+
+
+def cluster(marked: DataFrame, radius: int = RADIUS, more_radius: int = 0) -> DataFrame:
+    """(doc_id, fp, text_hash, component_id) from (doc_id, text_hash, node, fp, more)."""
+    distinct = marked.groupBy("node").agg(F.min("doc_id").alias("least"))
+    found = components(links(marked.select("node", "fp", "more").distinct(), radius, more_radius)).withColumnRenamed("node", "linked")
+    named = distinct.join(found, distinct["node"] == found["linked"], "left").select("node", "least", F.coalesce("component", "node").alias("root"))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = named.join(smallest, "root").select("fp", "component_id")
-    return marked.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    by_node = named.join(smallest, "root").select("node", "root", "component_id")
+    return marked.join(by_node, "node").select("doc_id", "fp", "text_hash", "root", "component_id")
 
 
-def one_of_each(docs: DataFrame, shingle: int = 5, radius: int = RADIUS) -> DataFrame:
-    """The documents with one of each near-duplicate component kept (the smallest doc_id), with their own columns.
+def one_of_each(docs: DataFrame, shingle: int = 5, radius: int = 12, similarity: float = 0.8) -> DataFrame:
+    """The documents with one of each near-duplicate component kept, with their own columns.
 
-    Repeated rows of the kept key stay one row; rows without a key stand for themselves.
+    The row of the smallest doc_id stays (of several, that of the smallest text hash; a null doc_id comes
+    last); of rows that repeat it whole, one.
     """
-    clusters = near_duplicates(docs, shingle, radius)
-    kept = clusters.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    last = F.lit((1 << 63) - 1)
+    clusters = near_duplicates(docs, shingle, radius, similarity).withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), last))
+    kept = clusters.groupBy("root").agg(F.min(F.struct("_id", "text_hash")).alias("k")).select("k._id", F.col("k.text_hash").alias("_hash"))
+    own = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), last), "_hash": F.xxhash64(whole_text())})
+    return own.join(kept, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"]).select(*docs.columns)
