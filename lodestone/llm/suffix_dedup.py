@@ -38,8 +38,8 @@ WINDOW = 50
 GRAM = 24
 BLOCK_BYTES = 4 << 20
 HOT_BLOCKS = 64
-#: Positions hashed together.
-CHUNK = 1 << 20
+#: Positions hashed together, and contexts looked at together: they bound a worker's memory.
+CHUNK, SLICE = 1 << 18, 1 << 12
 #: A doc_id for rows without one: later than every other.
 LAST = (1 << 63) - 1
 
@@ -122,25 +122,36 @@ class Texts:
     def contexts(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of some runs: the bytes around the anchor (zero outside the run's windows), first and last window in them."""
         reach = WINDOW - GRAM
+        out = np.zeros((len(chosen), WINDOW + reach), np.uint8)
+        for i in range(0, len(chosen), SLICE):
+            own = chosen[i : i + SLICE]
+            place = self.at[own][:, None] + np.arange(-reach, WINDOW)
+            inside = (place >= self.first[own][:, None]) & (place < self.last[own][:, None] + WINDOW)
+            out[i : i + SLICE][inside] = self.bytes[place[inside]]
         at = self.at[chosen] - reach
-        place = at[:, None] + np.arange(WINDOW + reach)
-        out = self.bytes[np.clip(place, 0, len(self.bytes) - 1)]
-        out[(place < self.first[chosen][:, None]) | (place >= self.last[chosen][:, None] + WINDOW)] = 0
         return out, (self.first[chosen] - at).astype(np.uint8), (self.last[chosen] - at).astype(np.uint8)
 
 
 def _context_key(context: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    whole = np.concatenate([context, first[:, None], last[:, None]], axis=1)
-    return grams(whole, whole.shape[1])[:, 0] if len(whole) else np.zeros(0, np.uint64)
+    """A 64-bit hash of each context with its range of windows."""
+    out = np.zeros(len(context), np.uint64)
+    for i in range(0, len(context), SLICE):
+        part = slice(i, i + SLICE)
+        whole = np.concatenate([context[part], first[part, None], last[part, None]], axis=1)
+        out[part] = grams(whole, whole.shape[1])[:, 0]
+    return out
 
 
 def _windows(context: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The windows of contexts as two digits, with the context's row and the window's place in it."""
-    half, reach = WINDOW // 2, WINDOW - GRAM + 1
-    digits = grams(context, half)
-    k = np.arange(reach)
-    row, place = np.nonzero((k >= first[:, None]) & (k <= last[:, None]))
-    return digits[row, place], digits[row, place + half], row, place
+    half, k = WINDOW // 2, np.arange(WINDOW - GRAM + 1)
+    parts = []
+    for i in range(0, max(1, len(context)), SLICE):
+        digits = grams(context[i : i + SLICE], half)
+        row, place = np.nonzero((k >= first[i : i + SLICE, None]) & (k <= last[i : i + SLICE, None]))
+        parts.append((digits[row, place], digits[row, place + half], (row + i).astype(np.int32), place.astype(np.uint8)))
+    d1, d2, row, place = (np.concatenate(x) for x in zip(*parts))
+    return d1, d2, row, place
 
 
 def _firsts(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -314,7 +325,7 @@ def remove(rows: pd.DataFrame, flags: pd.DataFrame, bits: int) -> pd.DataFrame:
         return pd.DataFrame({"doc_id": [], "n_bytes": [], "starts": [], "ends": [], "kept": []})
     texts = Texts(rows)
     n = len(texts.bytes)
-    edges = np.zeros(n + 1, np.int64)
+    edges = np.zeros(n + 1, np.int32)
     chosen, hot = _flagged(texts, flags[flags["kind"] == 0], bits)
     covered = [np.zeros(0, np.int64)]
     own = chosen[~hot]
@@ -323,19 +334,21 @@ def remove(rows: pd.DataFrame, flags: pd.DataFrame, bits: int) -> pd.DataFrame:
         key, least, inverse = _firsts(_context_key(context, first, last), texts.doc[own])
         mask = _looked_up(key, *_answers(flags, 1))[inverse]
         mask = np.where(texts.doc[own] > least[inverse], np.uint32(0xFFFFFFFF), mask)
-        some = np.flatnonzero(mask)
+        del context
         k = np.arange(WINDOW - GRAM + 1)
-        row, place = np.nonzero((mask[some][:, None] >> k.astype(np.uint32) & 1 > 0) & (k >= first[some][:, None]) & (k <= last[some][:, None]))
-        covered.append(texts.at[own[some[row]]] - (WINDOW - GRAM) + place)
+        for i in range(0, len(own), SLICE):
+            part = slice(i, i + SLICE)
+            row, place = np.nonzero((mask[part, None] >> k.astype(np.uint32) & 1 > 0) & (k >= first[part, None]) & (k <= last[part, None]))
+            covered.append(texts.at[own[part][row]] - (WINDOW - GRAM) + place)
     if hot.any():
         d1, d2, inverse, at, least = _hot_windows(texts, chosen[hot])
         later = _looked_up(d1 ^ _mixed(d2), *_answers(flags, 2))[inverse] > 0
         doc = texts.doc_id[np.searchsorted(texts.start, at, side="right") - 1]
         covered.append(at[later | (doc > least[inverse])])
-    at = np.concatenate(covered)
-    edges += np.bincount(at, minlength=n + 1)[: n + 1]
-    edges -= np.bincount(at + WINDOW, minlength=n + 1)[: n + 1]
-    gone = np.cumsum(edges[:n]) > 0
+    for at in covered:
+        np.add.at(edges, at, 1)
+        np.add.at(edges, at + WINDOW, -1)
+    gone = np.cumsum(edges[:n], dtype=np.int32) > 0
     out = []
     for i in range(len(texts.doc_id)):
         a, b = texts.start[i], texts.start[i + 1]
