@@ -1,4 +1,4 @@
-"""The catalogue of reference-operator queries with their DuckDB twins."""
+"""The catalogue of queries: one for each operator, with its DuckDB twin where SQL can express it."""
 
 from __future__ import annotations
 
@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lodestone import catalogue_graph, catalogue_records
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def queries() -> dict[str, Query]:
     """Queries by name."""
-    return {}
+    return {name: q for part in (catalogue_records, catalogue_graph) for name, (q, _) in part.CATALOGUE.items()}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL by query name."""
-    return {}
+    return {name: sql for part in (catalogue_records, catalogue_graph) for name, (_, sql) in part.CATALOGUE.items() if sql is not None}
