@@ -17,7 +17,7 @@ drops out as early as possible:
    groups of one leave after each pass. The windows of each context that an earlier document has go back to
    its block as a bit mask.
 
-An anchor common to more than HOT_BLOCKS blocks sends its distinct windows instead, bucketed by the whole
+An anchor that occurs more than HOT times sends its distinct windows instead, bucketed by the whole
 window, so that no bucket gathers what a frequent line or passage has around it. Copies inside a block
 are settled there. Blocks are documents dealt by a hash of doc_id, so hot sources spread evenly; documents are
 shuffled once, and the three steps that read blocks reuse that exchange.
@@ -25,10 +25,13 @@ shuffled once, and the three steps that read blocks reuse that exchange.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +40,7 @@ from .common import small_batches, text_bytes, whole_text
 WINDOW = 50
 GRAM = 24
 BLOCK_BYTES = 4 << 20
-HOT_BLOCKS = 64
+HOT = 20_000
 #: Positions hashed together, and contexts looked at together: they bound a worker's memory.
 CHUNK, SLICE = 1 << 18, 1 << 12
 #: A doc_id for rows without one: later than every other.
@@ -162,6 +165,17 @@ def _firsts(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return distinct, least, inverse
 
 
+def _trimmed(rows: pd.DataFrame) -> pd.DataFrame:
+    """``rows``, with the memory that its making freed given back: workers live on between groups."""
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+    pa.default_memory_pool().release_unused()
+    return rows
+
+
 def _rows(columns: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(columns, columns=["bucket", "block", "kind", "a", "b", "c"])
 
@@ -175,14 +189,16 @@ def _runs(bucket: np.ndarray):  # noqa: ANN202
 
 
 def first_digits(rows: pd.DataFrame, bits: int) -> pd.DataFrame:
-    """A block's distinct anchor digits by bucket, and whether more than one of its documents has each."""
+    """A block's distinct anchor digits by bucket, whether more than one of its documents has each, and how often."""
     texts, block = Texts(rows), int(rows["block"].iloc[0])
     key, inverse = np.unique(texts.hash >> np.uint64(32 - bits), return_inverse=True)
     least, most = np.full(len(key), LAST, np.int64), np.full(len(key), -LAST - 1, np.int64)
     np.minimum.at(least, inverse, texts.doc)
     np.maximum.at(most, inverse, texts.doc)
     several = least < most
-    return _rows([(b, block, 0, key[s].astype(np.uint32).tobytes(), np.packbits(several[s]).tobytes(), None) for b, s in _runs((key >> np.uint64(32)).astype(np.int64))])
+    times = np.minimum(np.bincount(inverse, minlength=len(key)), 0xFFFF).astype(np.uint16)
+    buckets = (key >> np.uint64(32)).astype(np.int64)
+    return _trimmed(_rows([(b, block, 0, key[s].astype(np.uint32).tobytes(), np.packbits(several[s]).tobytes(), times[s].tobytes()) for b, s in _runs(buckets)]))
 
 
 def repeated_digits(rows: pd.DataFrame) -> pd.DataFrame:
@@ -193,14 +209,15 @@ def repeated_digits(rows: pd.DataFrame) -> pd.DataFrame:
     blocks = np.bincount(inverse, minlength=len(distinct))
     repeated = blocks > 1
     repeated[inverse[np.concatenate(several) > 0]] = True
-    hot, out, at = blocks > HOT_BLOCKS, [], 0
+    times = np.bincount(inverse, np.concatenate([np.frombuffer(c, np.uint16) for c in rows["c"]]), len(distinct))
+    hot, out, at = times > HOT, [], 0
     for bucket, block, k in zip(rows["bucket"], rows["block"], keys):
         own = inverse[at : at + len(k)]
         at += len(k)
         mine = repeated[own]
         if mine.any():
             out.append((bucket, block, 0, k[mine].tobytes(), np.packbits(hot[own[mine]]).tobytes(), None))
-    return _rows(out)
+    return _trimmed(_rows(out))
 
 
 def _flagged(texts: Texts, flags: pd.DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -244,7 +261,7 @@ def send_contexts(rows: pd.DataFrame, flags: pd.DataFrame, bits: int) -> pd.Data
     for b, s in _runs(bucket[order]):
         pick = order[s]
         out.append((b, block, 1, one_d[pick].tobytes(), two_d[pick].tobytes(), least[pick].tobytes()))
-    return _rows(out)
+    return _trimmed(_rows(out))
 
 
 def _hot_windows(texts: Texts, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -277,6 +294,24 @@ def radix(d1: np.ndarray, d2: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return later
 
 
+def _by_anchor(context: np.ndarray):  # noqa: ANN202
+    """The rows of a bucket in parts of about SLICE that keep the contexts of an anchor together.
+
+    Equal windows have the same anchor, so parts are sorted one after the other; an anchor has HOT
+    contexts at most.
+    """
+    reach, anchor = WINDOW - GRAM, np.zeros(len(context), np.uint64)
+    for i in range(0, len(context), SLICE):
+        anchor[i : i + SLICE] = grams(context[i : i + SLICE, reach : reach + GRAM], GRAM)[:, 0]
+    order = np.argsort(anchor, kind="stable")
+    cuts = np.concatenate([np.flatnonzero(np.diff(anchor[order])) + 1, [len(order)]])
+    start = 0
+    while start < len(order):
+        end = cuts[min(np.searchsorted(cuts, start + SLICE), len(cuts) - 1)]
+        yield order[start:end]
+        start = end
+
+
 def sort_bucket(rows: pd.DataFrame) -> pd.DataFrame:
     """The windows of each row of a bucket that an earlier document has, as masks by context or as window keys."""
     out = []
@@ -287,11 +322,13 @@ def sort_bucket(rows: pd.DataFrame) -> pd.DataFrame:
         if kind == 0:
             context = np.frombuffer(b"".join(own["a"]), np.uint8).reshape(len(doc), -1)
             first, last = np.frombuffer(b"".join(own["b"]), np.uint8).reshape(-1, 2).T
-            d1, d2, row, place = _windows(context, first, last)
-            later = radix(d1, d2, doc[row])
-            result = np.zeros(len(doc), np.uint32)
-            np.bitwise_or.at(result, row[later], np.uint32(1) << place[later].astype(np.uint32))
-            key = _context_key(context, first, last)
+            key, result = _context_key(context, first, last), np.zeros(len(doc), np.uint32)
+            for part in _by_anchor(context):
+                d1, d2, row, place = _windows(context[part], first[part], last[part])
+                later = radix(d1, d2, doc[part][row])
+                masks = np.zeros(len(part), np.uint32)
+                np.bitwise_or.at(masks, row[later], np.uint32(1) << place[later].astype(np.uint32))
+                result[part] = masks
         else:
             d1 = np.frombuffer(b"".join(own["a"]), np.uint64)
             d2 = np.frombuffer(b"".join(own["b"]), np.uint64)
@@ -301,7 +338,7 @@ def sort_bucket(rows: pd.DataFrame) -> pd.DataFrame:
             told = result[a:b] > 0
             if told.any():
                 out.append((bucket, block, 1 + kind, key[a:b][told].tobytes(), result[a:b][told].tobytes(), None))
-    return _rows(out)
+    return _trimmed(_rows(out))
 
 
 def _answers(flags: pd.DataFrame, kind: int) -> tuple[np.ndarray, np.ndarray]:
@@ -357,7 +394,7 @@ def remove(rows: pd.DataFrame, flags: pd.DataFrame, bits: int) -> pd.DataFrame:
         out.append((texts.doc_id[i], b - a, turns[::2].astype(np.int32), turns[1::2].astype(np.int32), (raw[~mine] if len(turns) else raw).tobytes()))
     done = pd.DataFrame(out, columns=["doc_id", "n_bytes", "starts", "ends", "kept"])
     done["doc_id"] = done["doc_id"].astype("Int64").mask(texts.is_null)
-    return done
+    return _trimmed(done)
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
