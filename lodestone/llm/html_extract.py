@@ -165,7 +165,7 @@ def classify(found: list[Block]) -> list[Block]:
         words = b.text.lower().split()
         density = b.linked / len(b.text)
         stops = sum(w.strip(".,;:!?\"'()*#$%&|") in STOP_WORDS for w in words) / len(words)
-        if b.region == "bad" or density > MAX_LINK_DENSITY and b.region != "good" or density > 0.9 and len(b.text) < LENGTH_LOW:
+        if b.region == "bad" or density > MAX_LINK_DENSITY and b.region != "good":
             b.kind = "bad"
         elif b.region == "good":
             b.kind = "good"

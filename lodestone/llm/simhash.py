@@ -17,6 +17,7 @@ neighbourhoods by map-side minima and never gather one.
 from __future__ import annotations
 
 import math
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -173,6 +174,12 @@ def _shard_links(rows: pd.DataFrame, radius: int, more_radius: int) -> pd.DataFr
     return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
 
 
+def _branches(paths: Column, shell: Column, reach: int) -> Column:
+    """The paths one level down: every shell at most ``reach`` away from the point's own."""
+    near = F.sequence(F.greatest(shell - reach, F.lit(0)), shell + reach)
+    return F.flatten(F.transform(paths, lambda p: F.transform(near, lambda k: p * 65 + k)))
+
+
 def links(fps: DataFrame, radius: int = RADIUS, more_radius: int = 0, overlap: int = 0) -> DataFrame:
     """Links (a, b) of nodes that connect the same nodes as all pairs within ``radius`` do; ``fps``: node, fp, more."""
     n = fps.count()
@@ -186,10 +193,7 @@ def links(fps: DataFrame, radius: int = RADIUS, more_radius: int = 0, overlap: i
             path = path * 65 + s
         if r0:
             # To every shell that the triangle bound cannot exclude.
-            paths = F.array(F.lit(t).cast("long"))
-            for s in shells:
-                paths = F.flatten(F.transform(paths, lambda p, s=s: F.transform(F.sequence(F.greatest(s - r0, F.lit(0)), s + r0), lambda k: p * 65 + k)))
-            trees.append(paths)
+            trees.append(reduce(lambda paths, s: _branches(paths, s, r0), shells, F.array(F.lit(t).cast("long"))))
         else:
             trees.append(F.array(path))
     placed = fps.select("node", "fp", "more", F.explode(F.concat(*trees)).alias("path"))
