@@ -26,7 +26,6 @@ shuffled once, and the three steps that read blocks reuse that exchange.
 from __future__ import annotations
 
 import ctypes
-import gc
 import math
 
 import numpy as np
@@ -167,7 +166,6 @@ def _firsts(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 def _trimmed(rows: pd.DataFrame) -> pd.DataFrame:
     """``rows``, with the memory that its making freed given back: workers live on between groups."""
-    gc.collect()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):  # another C library
@@ -277,16 +275,18 @@ def _hot_windows(texts: Texts, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def radix(d1: np.ndarray, d2: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Whether each window (two digits) has an equal one of a smaller doc, by most-significant-digit passes."""
     later = np.zeros(len(d1), bool)
-    live, group = np.arange(len(d1)), np.zeros(len(d1), np.int64)
-    for digit in (d1, d2):
-        order = np.lexsort((digit[live], group))
-        live, group = live[order], group[order]
-        value = digit[live]
+    live, group = np.arange(len(d1)), np.zeros(len(d1), np.uint64)
+    # After the first digit, groups are numbered in 32 bits, and half a digit fits beside the number.
+    for digit in (d1, d2 >> np.uint64(32), d2 & np.uint64(0xFFFFFFFF)):
+        value = digit[live] if digit is d1 else group << np.uint64(32) | digit[live]
+        order = np.argsort(value)
+        live, value = live[order], value[order]
         start = np.ones(len(live), bool)
-        start[1:] = (value[1:] != value[:-1]) | (group[1:] != group[:-1])
-        group = np.cumsum(start) - 1
-        several = np.bincount(group, minlength=1)[group] > 1 if len(live) else np.zeros(0, bool)
-        live, group = live[several], group[several]
+        start[1:] = value[1:] != value[:-1]
+        size = np.diff(np.append(np.flatnonzero(start), len(live)))
+        several = np.repeat(size > 1, size)
+        live, group = live[several], (np.cumsum(start) - 1)[several].astype(np.uint64)
+    group = group.astype(np.int64)
     if len(live):
         least = np.full(int(group.max()) + 1, LAST, np.int64)
         np.minimum.at(least, group, doc[live])
