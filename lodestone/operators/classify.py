@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions.iri import local_name, pascal_case
+from lodestone.functions.plan import settled
 from lodestone.functions.pointer import kind, string_at, value_at
 from lodestone.plans.predicate import compile_predicate
 from lodestone.plans.schema import compile_schema
@@ -221,34 +222,33 @@ def narrowed(proposals: Column, ancestors: dict[str, set[str]]) -> Column:
     return F.when((F.size(own) >= 2) & (F.size(gone) > 0), F.concat(left, sentinel)).otherwise(proposals)
 
 
-def resolved(proposals: Column, on_conflict: str = "quarantine", evidence: bool = True) -> Column:
-    """struct<type, confidence, engine, reasons, candidates, bucket>: the outcome of the cascade.
+def resolve(df: DataFrame, on_conflict: str = "quarantine", evidence: bool = True) -> DataFrame:
+    """``df`` with classification: struct<type, confidence, engine, reasons, candidates, bucket, warnings>.
 
     No class: Generic. One class, or one of highest priority: that one. A tie between classes goes to the
     bucket ``conflicts``, or with ``on_conflict`` other than quarantine to the first class by name, with
-    the candidates.
+    the candidates. The steps are columns of their own, so that each is computed once.
     """
-    own = real(proposals)
-    top = F.array_max(F.transform(own, lambda p: p["priority"]))
-    leaders = F.array_distinct(F.transform(F.filter(own, lambda p: p["priority"] == top), lambda p: p["class_name"]))
-    names = F.array_distinct(F.transform(own, lambda p: p["class_name"]))
+    own, names, leaders, winner, votes = (F.col(c) for c in ("_own", "_names", "_leaders", "_winner", "_votes"))
+    out = df.withColumn("_own", real(F.col("proposals")))
+    out = out.withColumns({"_names": F.array_distinct(F.transform(own, lambda p: p["class_name"])), "_top": F.array_max(F.transform(own, lambda p: p["priority"]))})
+    out = out.withColumn("_leaders", F.array_distinct(F.transform(F.filter(own, lambda p: p["priority"] == F.col("_top")), lambda p: p["class_name"])))
     tie = (F.size(names) > 1) & (F.size(leaders) > 1)
-    winner = F.when(F.size(names) == 0, F.lit(GENERIC)).when(F.size(names) == 1, F.element_at(names, 1)).otherwise(F.array_min(leaders))
-    votes = F.filter(own, lambda p: p["class_name"] == winner)
-    strongest = F.reduce(votes, F.element_at(votes, 1), lambda a, x: F.when(x["priority"] > a["priority"], x).otherwise(a))
-    engine = F.array_join(F.array_distinct(F.transform(votes, lambda p: p["source"])), ",")
-    told = F.flatten(F.transform(votes, lambda p: p["reasons"])) if evidence else F.array(F.coalesce(F.try_element_at(strongest["reasons"], F.lit(1)), winner))
-    none = F.size(names) == 0
-    quarantine = tie if on_conflict == "quarantine" else F.lit(False)
-    return F.struct(
+    out = out.withColumn("_winner", F.when(F.size(names) == 0, F.lit(GENERIC)).when(F.size(names) == 1, F.element_at(names, 1)).otherwise(F.array_min(leaders)))
+    out = out.withColumn("_votes", F.filter(own, lambda p: p["class_name"] == winner))
+    out = out.withColumn("_best", F.reduce(votes, F.try_element_at(votes, F.lit(1)), lambda a, x: F.when(x["priority"] > a["priority"], x).otherwise(a)))
+    told = F.flatten(F.transform(votes, lambda p: p["reasons"])) if evidence else F.array(F.coalesce(F.try_element_at(F.col("_best")["reasons"], F.lit(1)), winner))
+    none, quarantine = F.size(names) == 0, tie if on_conflict == "quarantine" else F.lit(False)
+    made = F.struct(
         F.when(~quarantine, winner).alias("type"),
-        F.when(none, F.lit(0.0)).when(~quarantine, strongest["confidence"]).alias("confidence"),
-        F.when(none, F.lit("classify:generic-fallback")).when(~quarantine, engine).alias("engine"),
+        F.when(none, F.lit(0.0)).when(~quarantine, F.col("_best")["confidence"]).alias("confidence"),
+        F.when(none, F.lit("classify:generic-fallback")).when(~quarantine, F.array_join(F.array_distinct(F.transform(votes, lambda p: p["source"])), ",")).alias("engine"),
         F.when(none, F.array(F.lit("classify:generic-fallback"))).when(~quarantine, told).alias("reasons"),
         F.when(tie, F.array_sort(leaders)).alias("candidates"),
         F.when(quarantine, F.lit("conflicts")).alias("bucket"),
         F.when(none, F.array(F.lit("CLASSIFY_GENERIC_FALLBACK"))).otherwise(F.array().cast("array<string>")).alias("warnings"),
     )
+    return out.withColumn("classification", settled(made)).drop("_own", "_names", "_top", "_leaders", "_winner", "_votes", "_best")
 
 
 def cascade(records: DataFrame, config: dict, rec: str = "rec") -> DataFrame:
@@ -271,12 +271,13 @@ def cascade(records: DataFrame, config: dict, rec: str = "rec") -> DataFrame:
             made.append(rules(r, config[name], f"classify:{name}"))
     if (c := config.get("fingerprint")) is not None:
         made.append(fingerprint(r, c["classes"], c.get("minMatchScore", 0.85), c.get("priority", 32)))
-    out = records.withColumn("proposals", F.array_compact(F.array(*[m.cast(PROPOSAL) for m in made])) if made else F.array().cast(f"array<{PROPOSAL}>"))
+    out = records.withColumn("proposals", settled(F.array_compact(F.array(*[m.cast(PROPOSAL) for m in made]))) if made else F.array().cast(f"array<{PROPOSAL}>"))
     if config.get("ontology") is not None:
         out = out.withColumn("proposals", F.concat("proposals", F.array_compact(F.array(check_classes(F.col("proposals"), config["ontology"]).cast(PROPOSAL)))))
     if config.get("narrowing"):
+        out = out.withColumn("proposals", settled(F.col("proposals")))
         out = out.withColumn("proposals", narrowed(F.col("proposals"), closure(config["narrowing"])))
-    return out.withColumn("classification", resolved(F.col("proposals"), config.get("onConflict", "quarantine"), config.get("evidence", True)))
+    return resolve(out.withColumn("proposals", settled(F.col("proposals"))), config.get("onConflict", "quarantine"), config.get("evidence", True))
 
 
 def build_fingerprints(records: DataFrame, class_name: Column, rec: str = "rec") -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions.iri import PREFIXES, RDF_TYPE, XSD, XSD_STRING, expand_curie, sanitize_iri, segment, vocab
+from lodestone.functions.plan import settled
 from lodestone.functions.pointer import is_integer, kind, string_at, value_at
 
 QUAD = "struct<s_type:string,s:string,p:string,o_type:string,o:string,o_datatype:string,o_lang:string,g:string>"
@@ -113,7 +114,7 @@ def project(records: DataFrame, classes: dict[str, dict], base: str, subject: Co
         quads = F.when(F.col("_class") == c, own).otherwise(quads)
     warning = F.when(F.col("_class").isNotNull() & (F.col("_class") != F.col("class_name")), F.array(F.lit("PROJECTION_GENERIC_FALLBACK"))).otherwise(F.array().cast("array<string>"))
     failed = F.col("_class").isNull() & F.col("class_name").isNotNull()
-    return out.withColumns({"quads": quads, "projection_warnings": warning, "projection_error": F.when(failed, F.lit("SQUASH_NO_SCHEMA_FOR_CLASS"))}).drop("_class", "_g")
+    return out.withColumns({"quads": settled(quads), "projection_warnings": warning, "projection_error": F.when(failed, F.lit("SQUASH_NO_SCHEMA_FOR_CLASS"))}).drop("_class", "_g")
 
 
 def exploded(projected: DataFrame, rid: str = "rid", quads: str = "quads") -> DataFrame:

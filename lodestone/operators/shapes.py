@@ -1,14 +1,13 @@
 """Shape observation: what properties records of a class have, as a two-phase aggregation.
 
-Records are flattened to (class, path, kind, value) rows level by level with variant_explode (at most
-DEPTH levels), and grouped by class and path. Paths are joined by dots, array elements stand under ``[]``.
+Records are flattened to (class, path, kind, value) rows (at most DEPTH levels), and grouped by class and path. Paths are joined by dots, array elements stand under ``[]``.
 Counts and ranges are map-side combined; distinct strings are made distinct before they are counted,
 and only properties with fewer than OVERFLOW of them are gathered, so no group grows with the data.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions.pointer import is_integer, kind
@@ -19,43 +18,51 @@ KINDS = ("string", "integer", "number", "boolean", "null", "object", "array")
 
 
 def flattened(records: DataFrame, class_name: str = "class_name", rec: str = "rec", depth: int = DEPTH) -> DataFrame:
-    """(class_name, path, kind, text, number): a row for every property occurrence and array element."""
-    level = records.select(F.col(class_name).alias("class_name"), F.lit("").alias("path"), F.col(rec).alias("v"))
-    out = None
+    """(class_name, path, kind, text, number): a row for every property occurrence and array element.
+
+    The nodes of a record are unfolded level by level inside one array column and exploded once, so the
+    depth costs projections, not passes.
+    """
+    root = F.array(F.struct(F.lit("").alias("path"), F.col(rec).alias("v"), F.lit(True).alias("open")))
+    level = records.select(F.col(class_name).alias("class_name"), root.alias("nodes"))
     for _ in range(depth):
-        told = _children(level).select("class_name", "path", "v", kind(F.col("v")).alias("k0"))
-        whole = F.when((F.col("k0") == "number") & is_integer(F.col("v")), F.lit("integer")).otherwise(F.col("k0"))
-        facts = told.select(
-            "class_name", "path", whole.alias("kind"),
-            F.when(F.col("k0") == "string", F.try_variant_get("v", "$", "string")).alias("text"),
-            F.when(F.col("k0") == "number", F.try_variant_get("v", "$", "double")).alias("number"),
-        )
-        out = facts if out is None else out.unionByName(facts)
-        level = told.where(F.col("k0").isin("object", "array")).select("class_name", "path", "v")
-    return out
+        level = level.withColumn("nodes", F.flatten(F.transform("nodes", _unfolded)))
+    told = level.select("class_name", F.explode("nodes").alias("n")).where("n.path <> ''").select("class_name", F.col("n.path").alias("path"), F.col("n.v").alias("v"))
+    told = told.withColumn("k0", kind(F.col("v")))
+    whole = F.when((F.col("k0") == "number") & is_integer(F.col("v")), F.lit("integer")).otherwise(F.col("k0"))
+    return told.select(
+        "class_name", "path", whole.alias("kind"),
+        F.when(F.col("k0") == "string", F.try_variant_get("v", "$", "string")).alias("text"),
+        F.when(F.col("k0") == "number", F.try_variant_get("v", "$", "double")).alias("number"),
+    )
 
 
-def _children(level: DataFrame) -> DataFrame:
-    """The properties of objects and the elements of arrays."""
-    lateral = level.lateralJoin(level.sparkSession.tvf.variant_explode(F.col("v").outer()))
-    step = F.when(F.col("key").isNotNull(), F.col("key")).otherwise(F.lit("[]"))
-    return lateral.select("class_name", F.when(F.col("path") == "", step).otherwise(F.concat(F.col("path"), F.when(F.col("key").isNull(), F.lit("[]")).otherwise(F.concat(F.lit("."), step)))).alias("path"), F.col("value").alias("v"))
+def _unfolded(node: Column) -> Column:
+    """An open node becomes itself, closed, and its properties or elements, open."""
+    v, path = node["v"], node["path"]
+    struct = lambda p, x, is_open: F.struct(p.alias("path"), x.alias("v"), F.lit(is_open).alias("open"))
+    properties = F.map_entries(F.try_variant_get(v, "$", "map<string,variant>"))
+    named = F.transform(properties, lambda e: struct(F.when(path == "", e["key"]).otherwise(F.concat(path, F.lit("."), e["key"])), e["value"], True))
+    items = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: struct(F.concat(path, F.lit("[]")), x, True))
+    none = F.array().cast("array<struct<path:string,v:variant,open:boolean>>")
+    return F.when(node["open"], F.concat(F.array(struct(path, v, False)), F.coalesce(named, items, none))).otherwise(F.array(node))
 
 
 def observed(flat: DataFrame) -> DataFrame:
     """By (class_name, path): presence, one count a kind, url_count, min, max, n_distinct, overflow, texts."""
-    counts = flat.groupBy("class_name", "path").agg(
-        F.count(F.lit(1)).alias("presence"),
-        *[F.sum((F.col("kind") == k).cast("long")).alias(f"n_{k}") for k in KINDS],
-        F.sum(F.col("text").rlike("^https?://").cast("long")).alias("url_count0"),
-        F.min("number").alias("min"),
-        F.max("number").alias("max"),
+    # One shuffle of what is distinct; the three aggregations below reuse it.
+    pre = flat.groupBy("class_name", "path", "kind", "text").agg(F.count(F.lit(1)).alias("n"), F.min("number").alias("low"), F.max("number").alias("high"))
+    counts = pre.groupBy("class_name", "path").agg(
+        F.sum("n").alias("presence"),
+        *[F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"n_{k}") for k in KINDS],
+        F.sum(F.when(F.col("text").rlike("^https?://"), F.col("n")).otherwise(0)).alias("url_count0"),
+        F.min("low").alias("min"),
+        F.max("high").alias("max"),
+        F.count("text").alias("n0"),
     )
-    distinct = flat.where("text IS NOT NULL").select("class_name", "path", "text").distinct()
-    sizes = distinct.groupBy("class_name", "path").agg(F.count(F.lit(1)).alias("n0"))
-    small = sizes.where(F.col("n0") < OVERFLOW).select("class_name", "path")
-    texts = distinct.join(small, ["class_name", "path"]).groupBy("class_name", "path").agg(F.array_sort(F.collect_list("text")).alias("texts"))
-    out = counts.join(sizes, ["class_name", "path"], "left").join(texts, ["class_name", "path"], "left")
+    small = counts.where((F.col("n0") > 0) & (F.col("n0") < OVERFLOW)).select("class_name", "path")
+    texts = pre.where("text IS NOT NULL").join(small, ["class_name", "path"]).groupBy("class_name", "path").agg(F.array_sort(F.collect_list("text")).alias("texts"))
+    out = counts.join(texts, ["class_name", "path"], "left")
     n = F.coalesce("n0", F.lit(0)).cast("long")
     return out.withColumns({"url_count": F.coalesce("url_count0", F.lit(0)), "n_distinct": F.least(n, F.lit(OVERFLOW).cast("long")), "overflow": n >= OVERFLOW}).drop("n0", "url_count0")
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestone.functions.plan import settled
 from lodestone.functions.pointer import kind, string_at
 
 
@@ -55,7 +56,7 @@ def read_json_tree(spark: SparkSession, path: str, target: str, formats: tuple[s
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
-    return _finish(rows.withColumn("rec", F.try_parse_json("raw")), target)
+    return _finish(rows.withColumn("rec", settled(F.try_parse_json("raw"))), target)
 
 
 def _wholetext(spark: SparkSession, path: str, pattern: str) -> DataFrame:
@@ -65,7 +66,7 @@ def _wholetext(spark: SparkSession, path: str, pattern: str) -> DataFrame:
 def from_texts(texts: DataFrame, target: str, path: str = "record_path", line: str = "record_line", raw: str = "raw") -> DataFrame:
     """Records from JSON texts that already stand in a table."""
     rows = texts.select(F.col(path).alias("record_path"), F.col(line).cast("int").alias("record_line"), F.col(raw).alias("raw"))
-    return _finish(rows.withColumn("rec", F.try_parse_json("raw")), target)
+    return _finish(rows.withColumn("rec", settled(F.try_parse_json("raw"))), target)
 
 
 def from_table(df: DataFrame, target: str, key: str, type_name: str | None = None) -> DataFrame:
