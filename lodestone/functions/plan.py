@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -14,3 +14,11 @@ def settled(value: Column) -> Column:
     with each step. A condition that is always true but not known to be keeps the expression in its place.
     """
     return F.when(F.spark_partition_id() >= 0, value)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read from there, for iterations whose plans would grow."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "/tmp/checkpoints"))
+    return df.checkpoint(eager=True)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions.iri import local_name, pascal_case
-from lodestone.functions.plan import settled
+from lodestone.functions.plan import cut, settled
 from lodestone.functions.pointer import kind, string_at, value_at
 from lodestone.plans.predicate import compile_predicate
 from lodestone.plans.schema import compile_schema
@@ -195,12 +195,14 @@ def closure_table(edges: DataFrame, depth: int = 64) -> DataFrame:
 
     Every round doubles the path length, so log2(depth) joins suffice; self pairs are dropped.
     """
-    found = edges.select("sub", "sup").where("sub <> sup").distinct()
-    n = 1
+    found = cut(edges.select("sub", "sup").where("sub <> sup").distinct())
+    n, size = 1, found.count()
     while n < depth:
         longer = found.alias("a").join(found.alias("b"), F.col("a.sup") == F.col("b.sub")).select(F.col("a.sub"), F.col("b.sup"))
-        found = found.unionByName(longer).where("sub <> sup").distinct()
-        n *= 2
+        found = cut(found.unionByName(longer).where("sub <> sup").distinct())
+        n, before, size = 2 * n, size, found.count()
+        if size == before:
+            break
     return found
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lodestone.functions.plan import cut
+
 
 def tail_of(iri: Column, base: str) -> Column:
     """What follows the canonical base, NULL for other IRIs, empty tails and hashed record IRIs."""
@@ -62,10 +64,13 @@ def rewrite_graphs(quads: DataFrame, class_graph: DataFrame, type_iri: str, hops
     typed = quads.where((F.col("p") == type_iri) & (F.col("o_type") == "iri")).join(class_graph, F.col("o") == F.col("class_iri"))
     assigned = typed.groupBy("s").agg(F.min("graph").alias("graph")).select(F.col("s").alias("node"), "graph")
     edges = quads.where((F.col("o_type") == "iri") & (F.col("p") != type_iri)).select(F.col("s").alias("a"), F.col("o").alias("b")).distinct()
-    frontier = assigned
+    assigned = cut(assigned)
+    edges, frontier = cut(edges), assigned
     for _ in range(hops):
         reached = edges.join(frontier, edges["a"] == frontier["node"]).groupBy(F.col("b").alias("node")).agg(F.min("graph").alias("graph"))
-        frontier = reached.join(assigned.select("node"), "node", "left_anti")
+        frontier = cut(reached.join(assigned.select("node"), "node", "left_anti"))
+        if frontier.isEmpty():
+            break
         assigned = assigned.unionByName(frontier)
     out = quads.join(assigned.withColumnRenamed("graph", "_graph"), quads["s"] == assigned["node"], "left").drop("node")
     return out.withColumn("g", F.coalesce("_graph", "g")).drop("_graph")
