@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestone.catalogue_records import table
 from lodestone.functions.iri import PREFIXES, RDF_TYPE, XSD, vocab
-from lodestone.operators import classify, project, reconcile, shacl, viz
+from lodestone.operators import classify, emit, project, reconcile, shacl, viz
 from lodestone.operators.project import TERMS, deduplicated, exploded, quad, type_quad
 from lodestone.sources import rdf, sinks
 from lodestone.sources.records import from_table
@@ -193,6 +193,15 @@ def _(spark, sf_dir):  # noqa: ANN001, ANN202
     return _quads(done, F.col("event_id").cast("string"), made).select("s", "p", "o")
 
 
+@query("quads_emitters", f"""
+SELECT s, p, o, l AS o_lang FROM (SELECT '{INSTANCES}/supplier/' || regexp_replace(lower(s_name), '[^a-z0-9]+', '-', 'g') AS b, * FROM supplier) t, LATERAL (VALUES (b, '{T}', '{BASE}#Supplier', NULL), (b, '{PREFIXES['rdfs']}label', s_name, 'en'),
+  (b, '{BASE}#key', CAST(s_suppkey AS VARCHAR), NULL), (b, '{BASE}#region', CASE WHEN s_nationkey < 10 THEN '{BASE}#Low' END, NULL), (b, '{BASE}#nation', '{INSTANCES}/nation/n' || s_nationkey, NULL)) v(s, p, o, l) WHERE o IS NOT NULL""")
+def _(spark, sf_dir):  # noqa: ANN001, ANN202
+    s = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("rid"), F.to_variant_object(F.struct("s_name", "s_suppkey", F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("nation"))).alias("rec"))
+    spec = {"class": "Supplier", "subject": "/s_name", "label": "/s_name", "literals": {"key": ("/s_suppkey", "xsd:integer")}, "links": {"nation": ("/nation", "Nation")}, "lookups": {"region": ("/nation", {f"n{i}": "Low" for i in range(10)})}}
+    return exploded(emit.emit(s, F.lit("Supplier"), BASE, INSTANCES, {"Supplier": spec})).select("s", "p", "o", "o_lang")
+
+
 # Reconciliation.
 
 

@@ -209,3 +209,22 @@ def test_skolem_coercion(spark):
     made = project.skolem(F.col("r"), F.lit("urn:s"), "urn:v", {"a": {"fragment": "f", "type": "T", "properties": {"n": "xsd:integer", "b": "xsd:boolean", "s": "xsd:string", "z": "xsd:string"}}, "c": {"fragment": "c", "type": "U", "properties": {"v": "xsd:number"}}, "d": {"fragment": "d", "type": "V"}})
     found = {(q.p, q.o) for q in rows.select(F.explode(made).alias("q")).select("q.*").collect() if q.o_type == "literal"}
     assert found == {("urn:v#n", "-1"), ("urn:v#b", "true"), ("urn:v#s", "2.5"), ("urn:v#v", "7")}
+
+
+def test_builder_run_provenance_and_errors(spark, capsys):
+    from lodestone import errors
+    from lodestone.operators.prov import GraphBuilder, StageLog
+
+    q = GraphBuilder("http://e/", {"x": "urn:x:"}).subject("a").graph("x:g").a("x:C").add("x:n", 5).add("x:t", "hi", "en").link("x:l", "b").build()
+    assert q[1] == ("iri", "http://e/a", "urn:x:n", "literal", "5", XS + "integer", None, "urn:x:g") and q[3][4] == "http://e/b"
+    with pytest.raises(ValueError):
+        GraphBuilder().add("x", 1)
+    log = StageLog("urn:run")
+    log.add("read", "2020-01-01T00:00:00Z", "2020-01-01T00:01:00Z")
+    log.add("build", "2020-01-01T00:01:00Z", "2020-01-01T00:02:00Z")
+    assert sum(x[2].endswith("wasInformedBy") for x in log.quads()) == 1 and log.table(spark).count() == len(log.quads())
+    e = errors.FileOutputError("bad")
+    e.__cause__ = ValueError("why")
+    assert e.to_json() == {"code": "FILE_OUTPUT", "message": "bad", "metadata": {}, "causes": ["why"]}
+    errors.logger("t").warning("w", extra={"context": {"a": 1}})
+    assert json.loads(capsys.readouterr().err)["context"] == {"a": 1}
