@@ -39,7 +39,9 @@ from .common import small_batches, text_bytes, whole_text
 WINDOW = 50
 GRAM = 24
 BLOCK_BYTES = 4 << 20
-HOT = 20_000
+#: Bits of the bucket number at least, so that small inputs are dealt out as well.
+MIN_BITS = 10
+HOT = 4_096
 #: Positions hashed together, and contexts looked at together: they bound a worker's memory.
 CHUNK, SLICE = 1 << 18, 1 << 12
 #: A doc_id for rows without one: later than every other.
@@ -409,7 +411,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     small_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc_id"), F.col(key).isNull().alias("is_null"), whole_text(text).alias("text"))
     n_blocks = max(1, math.ceil(text_bytes(docs, text) / BLOCK_BYTES))
-    bits = min(20, max(4, math.ceil(math.log2(2 * n_blocks))))
+    bits = min(20, max(MIN_BITS, math.ceil(math.log2(2 * n_blocks))))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(n_blocks)))
     digits = dealt.groupBy("block").applyInPandas(lambda g: first_digits(g, bits), _FLAGS)
     repeated = digits.groupBy("bucket").applyInPandas(repeated_digits, _FLAGS)
