@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import decontam, packing, secrets, simhash, toxicity
-from lodestone.llm.common import shared_folder, table
+from lodestone.llm.common import remove_folder, shared_folder, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,10 +54,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder, each written as Parquet and read again."""
+    """All stages over the documents of a folder, each written as Parquet and read again.
+
+    A stage's files go once its successor is written, so that two stages at most are kept.
+    """
     docs, at = table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for k, (name, stage) in enumerate(STAGES):
         path = f"{at}/{k}_{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            remove_folder(spark, before)
+        before = path
     return docs

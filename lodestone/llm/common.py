@@ -36,6 +36,12 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared store, through its own file system."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def whole_text(name: str = "text") -> Column:
     """The text column with null read as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
