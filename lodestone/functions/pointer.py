@@ -48,16 +48,13 @@ def value_at(record: Column, pointer: str) -> Column:
 
 def kind(value: Column) -> Column:
     """string, number, boolean, object, array or null of a VARIANT; NULL where there is no value."""
-    schema = F.schema_of_variant(value)
-    return (
-        F.when(value.isNull(), F.lit(None).cast("string"))
-        .when(F.is_variant_null(value), F.lit("null"))
-        .when(schema == "STRING", F.lit("string"))
-        .when(schema == "BOOLEAN", F.lit("boolean"))
-        .when(schema.startswith("OBJECT"), F.lit("object"))
-        .when(schema.startswith("ARRAY"), F.lit("array"))
-        .otherwise(F.lit("number"))
-    )
+    return kind_of_schema(F.schema_of_variant(value))
+
+
+def kind_of_schema(schema: Column) -> Column:
+    """``kind`` from a VARIANT's schema text, which is looked at once."""
+    names = F.create_map(*[F.lit(x) for pair in (("STRING", "string"), ("BOOLEAN", "boolean"), ("OBJECT", "object"), ("ARRAY", "array"), ("VOID", "null")) for x in pair])
+    return F.when(schema.isNotNull(), F.coalesce(F.try_element_at(names, F.substring_index(schema, "<", 1)), F.lit("number")))
 
 
 def is_integer(value: Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.iri import PREFIXES, RDF_TYPE, XSD, XSD_STRING, expand_curie, sanitize_iri, segment, vocab
 from lodestone.functions.plan import settled
-from lodestone.functions.pointer import is_integer, kind, string_at, value_at
+from lodestone.functions.pointer import kind, string_at, value_at
 
 QUAD = "struct<s_type:string,s:string,p:string,o_type:string,o:string,o_datatype:string,o_lang:string,g:string>"
 TERMS = ["s_type", "s", "p", "o_type", "o", "o_datatype", "o_lang", "g"]
@@ -43,10 +43,10 @@ def type_quad(subject: Column, class_iri: Column, g: Column | None = None) -> Co
     return quad(subject, RDF_TYPE, class_iri, g)
 
 
-def scalar_literal(value: Column) -> tuple[Column, Column]:
-    """Lexical form and datatype of a scalar VARIANT; NULL for null, objects and arrays."""
-    own, number = kind(value), F.try_variant_get(value, "$", "double")
-    whole = (own == "number") & is_integer(value)
+def scalar_literal(value: Column, own: Column) -> tuple[Column, Column]:
+    """Lexical form and datatype of a scalar VARIANT of a known kind; NULL for null, objects and arrays."""
+    number = F.try_variant_get(value, "$", "double")
+    whole = (own == "number") & (number == F.floor(number))
     text = (
         F.when(own == "string", F.try_variant_get(value, "$", "string"))
         .when(own == "boolean", F.try_variant_get(value, "$", "boolean").cast("string"))
@@ -71,16 +71,17 @@ def property_quads(rec: Column, subject: Column, base: str, properties: dict[str
 def _one_property(rec: Column, subject: Column, base: str, name: str, spec: dict, g: Column | None, depth: int) -> Column:
     value = value_at(rec, "/" + name.replace("~", "~0").replace("/", "~1"))
     p = F.lit(spec["iri"]) if spec.get("iri") else vocab(base, name)
-    many, none = kind(value) == "array", F.array().cast(f"array<{QUAD}>")
-    items = F.when(many, F.try_variant_get(value, "$", "array<variant>")).when(value.isNotNull(), F.array(value)).otherwise(F.array().cast("array<variant>"))
+    listed, none = F.try_variant_get(value, "$", "array<variant>"), F.array().cast(f"array<{QUAD}>")
+    many = listed.isNotNull()
+    items = F.coalesce(listed, F.when(value.isNotNull(), F.array(value)), F.array().cast("array<variant>"))
 
     def nested(v: Column, i: Column) -> Column:
         own = F.when(many, F.concat(subject, F.lit(f"/{name}/"), i.cast("string"))).otherwise(F.concat(subject, F.lit(f"/{name}")))
         link = [quad(subject, p, own, g)] + ([type_quad(own, vocab(base, spec["class"]), g)] if spec.get("class") else [])
         return F.when(kind(v) == "object", F.concat(F.array(*link), property_quads(v, own, base, spec.get("properties", {}), g, depth - 1))).otherwise(none)
 
-    def literal(v: Column) -> Column:
-        text, datatype = scalar_literal(v)
+    def literal(x: Column) -> Column:
+        text, datatype = scalar_literal(x["v"], x["k"])
         return quad(subject, p, text, g, "literal", datatype)
 
     if spec.get("kind") == "object":
@@ -88,7 +89,8 @@ def _one_property(rec: Column, subject: Column, base: str, name: str, spec: dict
     if spec.get("kind") == "iri":
         texts = F.filter(F.transform(items, lambda v: F.when(kind(v) == "string", F.try_variant_get(v, "$", "string"))), lambda t: t.isNotNull() & (t != ""))
         return F.transform(texts, lambda t: quad(subject, p, sanitize_iri(t), g))
-    return F.filter(F.transform(items, literal), lambda q: q["o"].isNotNull())
+    told = F.transform(items, lambda v: F.struct(v.alias("v"), kind(v).alias("k")))
+    return F.filter(F.transform(told, literal), lambda q: q["o"].isNotNull())
 
 
 def project(records: DataFrame, classes: dict[str, dict], base: str, subject: Column, class_name: Column, graphs: dict[str, str] | None = None, rec: str = "rec") -> DataFrame:
