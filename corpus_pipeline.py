@@ -23,7 +23,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five-word shingles, similarity 0.8) stays."""
-    return simhash.one_of_each(docs, shingle=5, radius=12, similarity=0.8)
+    return simhash.one_of_each(docs, shingle=5, radius=16, similarity=0.8)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,6 +12,10 @@ A shard yields links from each fingerprint to the first of its component, never
 connectivity whole. Shards with more than MAX_SHARD fingerprints are cut into chunks that meet pairwise
 in tasks of their own. Components are then joined by large-star and small-star passes, which reduce
 neighbourhoods by map-side minima and never gather one.
+
+With ``similarity`` the bits only find candidates: the documents of each candidate component, one of each
+shingle set, then meet once, and a link needs the similarity (Jaccard) of their sets of shingles (as 64-bit
+hashes). Components are formed from those links alone.
 """
 
 from __future__ import annotations
@@ -34,26 +38,37 @@ MAX_SHARD = 20_000
 TASK_ROWS = 20_000
 #: Mean size of a shard that the choice of blocks aims at, and most trees for it; rows compared together.
 SHARD, MAX_TREES, ROWS = 8_192, 100, 64
+#: Shingle sets of a candidate component compared by one task at most, and of those a task gathers.
+MAX_SETS, TASK_SETS = 8_192, 1_000
+#: Share of 256 bits in which candidates differ at most. Sets of Jaccard 0.8 differ in about 0.15 of them.
+FAR = 0.25
 FOLD = bytes(i + 32 if 0x41 <= i <= 0x5A else i for i in range(256))
 
 
-def fingerprint(text: str, shingle: int = 4, words64: int = 1) -> list[int]:
-    """``words64`` times 64 bits, each set if it is set in over half of the shingles' hashes; 0 without words.
-
-    The first 64 are those of XXH64 (seed 42); further ones come from mixing that hash anew.
-    """
+def shingles(text: str, shingle: int) -> np.ndarray:
+    """XXH64 (seed 42) of every shingle, repeats and all; of all words if they are fewer; none without words."""
     words = text.encode("utf-8", "replace").translate(FOLD).split()
     n = len(words) - shingle + 1
     joined = b" ".join(words)
     if not words:
-        return [0] * words64
+        return np.zeros(0, np.uint64)
     if n <= 1:
-        h = np.array([xxhash.xxh64_intdigest(joined, 42)], np.uint64)
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-        starts = np.concatenate([[0], ends[:-1] + 1])
-        digest = xxhash.xxh64_intdigest
-        h = np.array([digest(joined[a:b], 42) for a, b in zip(starts[:n].tolist(), ends[shingle - 1 :].tolist())], np.uint64)
+        return np.array([xxhash.xxh64_intdigest(joined, 42)], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(joined[a:b], 42) for a, b in zip(starts[:n].tolist(), ends[shingle - 1 :].tolist())], np.uint64)
+
+
+def fingerprint(text: str, shingle: int = 4, words64: int = 1) -> list[int]:
+    """``words64`` times 64 bits, each set if it is set in over half of the shingles' hashes; 0 without words.
+
+    The first 64 are those of XXH64 (seed 42); further ones come from mixing that hash anew.
+    """
+    return _majorities(shingles(text, shingle), words64)
+
+
+def _majorities(h: np.ndarray, words64: int) -> list[int]:
     out = []
     for k in range(words64):
         counts = np.zeros(64, np.int64)
@@ -78,6 +93,28 @@ def fingerprints(texts: Column, shingle: int = 4, words64: int = 1) -> Column:
     return F.pandas_udf(make, "fp long, more binary")(texts)
 
 
+def set_fingerprints(texts: Column, shingle: int, words64: int = 4) -> Column:
+    """struct<node long, fp long, more binary>: a hash of each text's set of shingles, and the bits of that set."""
+
+    def make(batch: pd.Series) -> pd.DataFrame:
+        sets = [np.unique(shingles(t, shingle)) for t in batch]
+        found = np.array([_majorities(h, words64) for h in sets], np.uint64).reshape(-1, words64)
+        node = np.array([xxhash.xxh64_intdigest(h.tobytes(), 42) for h in sets], np.uint64)
+        return pd.DataFrame({"node": node.view(np.int64), "fp": found[:, 0].view(np.int64), "more": [x.tobytes() for x in found[:, 1:]]})
+
+    return F.pandas_udf(make, "node long, fp long, more binary")(texts)
+
+
+def shingle_sets(texts: Column, shingle: int) -> Column:
+    """binary: the sorted 64-bit hashes of each text's distinct shingles."""
+
+    @F.pandas_udf("binary")
+    def make(batch: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(shingles(t, shingle)).tobytes() for t in batch])
+
+    return make(texts)
+
+
 def as_hex(fp: Column) -> Column:
     """16 lowercase hex digits of a fingerprint."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
@@ -174,12 +211,75 @@ def _shard_links(rows: pd.DataFrame, radius: int, more_radius: int) -> pd.DataFr
     return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
 
 
+def similar(sets: list[np.ndarray], bits: np.ndarray, more_radius: int, similarity: float) -> np.ndarray:
+    """For each set, the number of the first one of its component by links of ``similarity`` (Jaccard) or more.
+
+    ``bits``: a row of 64-bit words each; only sets that differ in at most ``more_radius`` of them are
+    compared, nearest first, and only while they are in different components.
+    """
+    n, parent = len(sets), list(range(len(sets)))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a in range(0, n, ROWS):
+        b = min(n, a + ROWS)
+        far = sum(np.bitwise_count(bits[a:b, None, k] ^ bits[None, a:, k]).astype(np.int16) for k in range(bits.shape[1]))
+        i, j = np.nonzero(far <= more_radius)
+        i, j = i[j > i], j[j > i]
+        order = np.argsort(far[i, j], kind="stable")
+        for x, y in zip((i[order] + a).tolist(), (j[order] + a).tolist()):
+            u, v = root(x), root(y)
+            if u != v and jaccard(sets[x], sets[y], similarity):
+                parent[max(u, v)] = min(u, v)
+    return np.array([root(x) for x in range(n)], np.int64)
+
+
+def jaccard(x: np.ndarray, y: np.ndarray, least: float) -> bool:
+    """Whether two sorted sets share ``least`` of their union or more."""
+    if min(len(x), len(y)) < (least - 1e-9) * max(len(x), len(y)):
+        return False
+    both = np.concatenate([x, y])
+    both.sort()
+    shared = int(np.count_nonzero(both[1:] == both[:-1]))
+    return shared >= (least - 1e-9) * (len(both) - shared)
+
+
+def _set_links(rows: pd.DataFrame, more_radius: int, similarity: float) -> pd.DataFrame:
+    """Links (node, first of its component by shingle sets) inside each shard of a task."""
+    rows = rows.drop_duplicates(["shard", "node"]).sort_values(["shard", "node"])
+    out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for _, own in rows.groupby("shard", sort=False):
+        if len(own) > 1:
+            node = own["node"].to_numpy(np.int64)
+            more = np.frombuffer(b"".join(own["more"]), np.uint64).reshape(len(own), -1)
+            bits = np.column_stack([own["fp"].to_numpy(np.int64).view(np.uint64), more])
+            label = similar([np.frombuffer(x, np.uint64) for x in own["shingles"]], bits, more_radius, similarity)
+            linked = label != np.arange(len(own))
+            out_a.append(node[linked])
+            out_b.append(node[label[linked]])
+    return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
+
+
 def _branches(paths: Column, shell: Column, reach: int) -> Column:
     """The paths one level down: every shell at most ``reach`` away from the point's own."""
     near = F.sequence(F.greatest(shell - reach, F.lit(0)), shell + reach)
     return F.flatten(F.transform(paths, lambda p: F.transform(near, lambda k: p * 65 + k)))
 
 
+def _shards(placed: DataFrame, key: str, most: int) -> DataFrame:
+    """``placed`` with a shard by ``key`` each; keys of over ``most`` rows are cut into chunks that meet pairwise."""
+    counts = placed.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
+    big = counts.select(key, F.ceil(F.col("n") / most * 2).cast("int").alias("chunks"))
+    placed = placed.join(big, key, "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    pair = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda k: F.xxhash64(key, F.least(chunk, k), F.greatest(chunk, k)))
+    return placed.withColumn("shard", F.explode(pair)).drop("chunks", key)
+
+
 def links(fps: DataFrame, radius: int = RADIUS, more_radius: int = 0, overlap: int = 0) -> DataFrame:
     """Links (a, b) of nodes that connect the same nodes as all pairs within ``radius`` do; ``fps``: node, fp, more."""
     n = fps.count()
@@ -197,12 +297,7 @@ def links(fps: DataFrame, radius: int = RADIUS, more_radius: int = 0, overlap: i
         else:
             trees.append(F.array(path))
     placed = fps.select("node", "fp", "more", F.explode(F.concat(*trees)).alias("path"))
-    counts = placed.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MAX_SHARD)
-    big = counts.select("path", F.ceil(F.col("n") / MAX_SHARD * 2).cast("int").alias("chunks"))
-    placed = placed.join(big, "path", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    pair = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda k: F.xxhash64("path", F.least(chunk, k), F.greatest(chunk, k)))
-    dealt = placed.select("node", "fp", "more", F.explode(pair).alias("shard"))
+    dealt = _shards(placed, "path", MAX_SHARD)
     tasks = max(1, n * len(masks) // TASK_ROWS)
     return (
         dealt.withColumn("task", F.pmod("shard", F.lit(tasks)))
@@ -237,32 +332,62 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = RADIUS, similarity: float | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, fp (signed long), text_hash, component_id (smallest doc_id reachable).
 
-    Documents whose fingerprints differ in ``radius`` bits or fewer are linked. With ``similarity``, 256 bits
-    are made, and a link also needs that share of them to agree: a wide radius then finds candidates, and the
-    further bits keep chance neighbours apart. Null and empty texts have fingerprint zero and are linked like
+    Documents whose fingerprints differ in ``radius`` bits or fewer are linked. With ``similarity``, a link
+    needs that Jaccard similarity of the sets of shingles instead, and the bits (256 of the set) only find the
+    candidates. Null and empty texts have fingerprint zero and are linked like
     any other; a null key is never the smallest of a component that has another key; repeated rows
     share their component; an empty table gives no rows; very long texts are read whole; other columns are
     ignored.
     """
     small_batches(docs.sparkSession)
     whole = whole_text(text)
-    made = docs.select(F.col(key).alias("doc_id"), F.xxhash64(whole).alias("text_hash"), fingerprints(whole, shingle, 4 if similarity else 1).alias("f"))
-    node = F.xxhash64("f.fp", "f.more") if similarity else F.col("f.fp")
+    made = fingerprints(whole, shingle) if similarity is None else set_fingerprints(whole, shingle)
+    made = docs.select(F.col(key).alias("doc_id"), F.xxhash64(whole).alias("text_hash"), made.alias("f"))
+    node = F.col("f.fp" if similarity is None else "f.node")
     marked = checkpointed(made.select("doc_id", "text_hash", node.alias("node"), "f.fp", "f.more"))
-    return cluster(marked, radius, math.floor(256 * (1 - similarity)) if similarity else 0)
+    if similarity is None:
+        return cluster(marked, radius)
+    more_radius = math.floor(256 * FAR)
+    candidates = components(links(marked.select("node", "fp", "more").distinct(), radius, more_radius))
+    texts = docs.select(F.col(key).alias("doc_id"), F.xxhash64(whole).alias("text_hash"), whole.alias("whole"))
+    return named(marked, components(set_links(marked, candidates, texts, shingle, more_radius, similarity)))
+
+
+def set_links(marked: DataFrame, candidates: DataFrame, texts: DataFrame, shingle: int, more_radius: int, similarity: float) -> DataFrame:
+    """Links (a, b) of nodes by the shingle sets of one text each, inside the candidate components."""
+    tops = candidates.select(F.col("component").alias("node"), "component").distinct()
+    members = candidates.select("node", "component").unionByName(tops)
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("k")
+    picked = marked.groupBy("node", "fp", "more").agg(one).join(members, "node")
+    picked = picked.select("node", "fp", "more", "component", F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash"))
+    dealt = _shards(picked, "component", MAX_SETS)
+    found = texts.join(dealt, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
+    # A text that the table repeats is dropped by its task.
+    dealt = found.select("node", "fp", "more", "shard", shingle_sets(F.col("whole"), shingle).alias("shingles"))
+    tasks = max(1, candidates.count() // TASK_SETS)
+    return (
+        dealt.withColumn("task", F.pmod(F.xxhash64("shard"), F.lit(tasks)))
+        .groupBy("task").applyInPandas(lambda rows: _set_links(rows, more_radius, similarity), "a long, b long")
+        .distinct()
+    )
 
 
 def cluster(marked: DataFrame, radius: int = RADIUS, more_radius: int = 0) -> DataFrame:
     """(doc_id, fp, text_hash, component_id) from (doc_id, text_hash, node, fp, more)."""
+    return named(marked, components(links(marked.select("node", "fp", "more").distinct(), radius, more_radius)))
+
+
+def named(marked: DataFrame, found: DataFrame) -> DataFrame:
+    """(doc_id, fp, text_hash, component_id) from (doc_id, text_hash, node, fp) and the nodes' components."""
     distinct = marked.groupBy("node").agg(F.min("doc_id").alias("least"))
-    found = components(links(marked.select("node", "fp", "more").distinct(), radius, more_radius)).withColumnRenamed("node", "linked")
-    named = distinct.join(found, distinct["node"] == found["linked"], "left").select("node", "least", F.coalesce("component", "node").alias("root"))
-    smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_node = named.join(smallest, "root").select("node", "root", "component_id")
+    found = found.withColumnRenamed("node", "linked")
+    roots = distinct.join(found, distinct["node"] == found["linked"], "left").select("node", "least", F.coalesce("component", "node").alias("root"))
+    smallest = roots.groupBy("root").agg(F.min("least").alias("component_id"))
+    by_node = roots.join(smallest, "root").select("node", "root", "component_id")
     return marked.join(by_node, "node").select("doc_id", "fp", "text_hash", "root", "component_id")
 
 
-def one_of_each(docs: DataFrame, shingle: int = 5, radius: int = 12, similarity: float = 0.8) -> DataFrame:
+def one_of_each(docs: DataFrame, shingle: int = 5, radius: int = 16, similarity: float = 0.8) -> DataFrame:
     """The documents with one of each near-duplicate component kept, with their own columns.
 
     The row of the smallest doc_id stays (of several, that of the smallest text hash; a null doc_id comes

@@ -155,3 +155,36 @@ def test_hot_anchors_and_chunks_give_the_same():
 def test_radix_passes():
     d1, d2, doc = np.array([1, 1, 1, 2], np.uint64), np.array([5, 5, 6, 5], np.uint64), np.array([4, 3, 1, 0])
     assert suffix_dedup.radix(d1, d2, doc).tolist() == [True, False, False, False]
+
+
+def test_near_duplicates_by_shingle_sets(spark):
+    import random
+
+    rng = random.Random(4)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    line, base = words(14), words(400)
+    texts = [base, base[:380] + words(20), base[:310] + words(90), base[:322] + words(78)]
+    # Two texts that share one line only, twenty times over: SimHash with repeats takes them for copies.
+    texts += [words(150) + line * 20 for _ in range(6)]
+    for _ in range(30):
+        t = words(rng.randint(60, 300))
+        cut = rng.randint(1, len(t) // 8)
+        texts += [t, t[:-cut] + words(cut)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    sets = [{tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in texts]
+    label = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j]):
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, 16, 0.8).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(label))
+
+
+def test_set_search_in_chunks(spark, monkeypatch):
+    base = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(base[:i] + [f"x{i}"] + base[i + 1 :])) for i in range(0, 200, 5)] + [(None, "a b"), (None, "a c")]
+    monkeypatch.setattr(simhash, "MAX_SETS", 7)
+    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, 16, 0.8).collect()
+    assert {r.component_id for r in got if r.doc_id is not None} == {0} and len({r.root for r in got}) == 3
