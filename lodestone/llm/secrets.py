@@ -33,10 +33,12 @@ ASSIGN_WORDS = ("passw", "secret", "token", "apikey", "api_key")
 CONTEXT_WORDS = ("auth", "bearer", "credential", "private", "access", "pwd", "passphrase", "signature", "session", "cookie", "key", "secret", "token", "passw")
 CONTEXT = re.compile(
     r"""(?:auth(?:orization)?|bearer|credentials?|private[_ -]?key|access[_ -]?key(?:[_ -]?id)?|(?:client|shared)[_ -]?secret|secret|pwd|passwd|password|passphrase|signature|session(?:[_ -]?id)?|cookie|token|(?<![a-z])key)"""
-    r"""["']?[\x20\t]*(?:[:=]|=>|is\b|bearer\b|basic\b)?[\x20\t]*["'(]?([A-Za-z0-9+/_=~.-]{16,256})""",
+    r"""["']?[\x20\t]*(?:[:=]|=>|is\b|bearer\b|basic\b)?[\x20\t]*["'(]?([A-Za-z0-9+/_=~.-]{16,})""",
     re.IGNORECASE | re.ASCII,
 )
 AROUND = 160
+#: Longer candidates are compressed in pieces of this many characters at most; a novel piece makes the whole one novel.
+PIECE = 256
 NOVELTY = 0.8
 #: Identifiers and words of code and prose that candidates are often made of.
 DICTIONARY = " ".join(
@@ -63,6 +65,12 @@ def novelty(candidate: str, before: str, after: str, compressor: zstandard.ZstdC
     return (len(compressor.compress(around + own)) - len(compressor.compress(around))) / max(1, len(own))
 
 
+def pieces(candidate: str) -> list[str]:
+    """The candidate in as few equal parts of PIECE characters or fewer as there can be."""
+    n, k = len(candidate), -(-len(candidate) // PIECE)
+    return [candidate[n * i // k : n * (i + 1) // k] for i in range(k)]
+
+
 def mixed(candidate: str) -> bool:
     """Letters and digits both, and at least 8 different characters."""
     return any(c.isdigit() for c in candidate) and any(c.isalpha() for c in candidate) and len(set(candidate)) >= 8
@@ -80,7 +88,8 @@ def find(text: str, compressor: zstandard.ZstdCompressor, least: float = NOVELTY
     if any(w in low for w in CONTEXT_WORDS):
         for m in CONTEXT.finditer(text):
             a, b = m.span(1)
-            if mixed(m[1]) and not any(s < b and a < e for s, _, e in base) and novelty(m[1], text[max(0, a - AROUND) : a], text[b : b + AROUND], compressor) >= least:
+            before, after = text[max(0, a - AROUND) : a], text[b : b + AROUND]
+            if mixed(m[1]) and not any(s < b and a < e for s, _, e in base) and any(novelty(x, before, after, compressor) >= least for x in pieces(m[1])):
                 spans.append((a, 3, b))
     return sorted(spans)
 

@@ -78,3 +78,18 @@ def test_scan(docs, rows, empty):
     clean = {r.doc_id: r.text for r in secrets.redacted(docs).select("doc_id", "text").collect()}
     assert clean[10] == '[SECRET]" [SECRET]' and clean[0] is None and clean[4] == rows[4][1]
     assert secrets.scan_secrets(empty).count() == 0
+
+
+def test_long_tokens_are_found_whole():
+    rng, c = random.Random(5), secrets.primed()
+    base64url = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"
+    token = lambda n: "".join(rng.choice(base64url) for _ in range(n))
+    for n in (200, 257, 300, 340, 400, 600, 1000, 5000):
+        for tail in ("", " and more text of the page, which goes on for a while after the token."):
+            own = token(n)
+            text = f"The header was sent as Authorization: Bearer {own}{tail}"
+            assert secrets.find(text, c) == [(text.index(own), 3, text.index(own) + n)], n
+            assert own[-20:] not in secrets._redact(text, secrets.find(text, c), "[SECRET]")
+    jwt = "eyJhbGciOiJSUzI1NiIsInR5cCI6IkpXVCJ9.eyJzdWIiOiIxMjM0NTY3ODkwIiwibmFtZSI6IkpvaG4gRG9lIiwiYWRtaW4iOnRydWUsImlhdCI6MTUxNjIzOTAyMn0." + token(342)
+    assert secrets.find(f"Bearer {jwt}\n", c) == [(7, 3, 7 + len(jwt))]
+    assert secrets.find("private key: " + "configuration_settings_version1." * 60, c) == []
