@@ -3,15 +3,19 @@
 The base patterns find assignments, access keys and long hexadecimal runs. The novelty scan looks at
 strings in a sensitive context (after words such as ``bearer`` or ``private key``): a compressor primed
 with a dictionary of identifiers and common words compresses the surrounding code alone and with the
-candidate; the bytes the candidate adds, per byte of its own, are its novelty. Words, paths and
-identifiers are mostly matched by the dictionary or their surroundings; secrets add nearly all their bytes.
+candidate; the bytes the candidate adds, against its own length or against what a random string of its own
+alphabet and length adds there, are its novelty. Words, paths and identifiers are mostly matched by the
+dictionary or their surroundings; secrets add nearly all their bytes, or, where the alphabet is small, nearly
+as many as a random string.
 
 One pass over the texts; nothing is shuffled.
 """
 
 from __future__ import annotations
 
+import random
 import re
+from functools import lru_cache
 
 import pandas as pd
 import zstandard
@@ -40,6 +44,8 @@ AROUND = 160
 #: Longer candidates are compressed in pieces of this many characters at most; a novel piece makes the whole one novel.
 PIECE = 256
 NOVELTY = 0.8
+#: So much of what a random string of the same alphabet adds is as novel as NOVELTY bytes a character.
+RANDOM = 0.92
 #: Identifiers and words of code and prose that candidates are often made of.
 DICTIONARY = " ".join(
     "password passwd secret token api_key apikey authorization bearer credential private_key public_key access_key session_id cookie signature "
@@ -58,11 +64,36 @@ def primed() -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=6, dict_data=raw, write_checksum=False, write_content_size=False, write_dict_id=False)
 
 
-def novelty(candidate: str, before: str, after: str, compressor: zstandard.ZstdCompressor) -> float:
-    """Compressed bytes that the candidate adds to its surroundings, per byte of its own."""
+#: Alphabets of keys, smallest first; a candidate's own is the first that holds its letters and digits.
+DIGITS, LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+ALPHABETS = [DIGITS, DIGITS + "abcdef", DIGITS + "ABCDEF", "234567" + LOWER, "234567" + LOWER.upper(), DIGITS + LOWER, DIGITS + LOWER.upper(), DIGITS + LOWER + LOWER.upper()]
+
+
+def alphabet(candidate: str) -> str:
+    """The alphabet that the candidate was made of: that of its letters and digits, and its own other characters."""
+    own = set(candidate)
+    signs = {c for c in own if not c.isalnum()}
+    return next(a for a in ALPHABETS if own - signs <= set(a)) + "".join(sorted(signs))
+
+
+@lru_cache(maxsize=4096)
+def random_text(letters: str) -> str:
+    """PIECE random characters of an alphabet, always the same."""
+    return "".join(random.Random(letters).choices(letters, k=PIECE))
+
+
+def novelty(candidate: str, before: str, after: str, compressor: zstandard.ZstdCompressor, letters: str | None = None) -> float:
+    """Compressed bytes that the candidate adds to its surroundings, per byte of its own.
+
+    A random string of the candidate's length and alphabet (``letters``) in its place adds less than a byte a
+    character where the alphabet is small; RANDOM of that then stands for NOVELTY. A candidate has PIECE
+    characters at most.
+    """
     around = (after + "\n" + before).encode("utf-8", "replace")
-    own = candidate.encode("utf-8", "replace")
-    return (len(compressor.compress(around + own)) - len(compressor.compress(around))) / max(1, len(own))
+    alone = len(compressor.compress(around))
+    added = lambda x: len(compressor.compress(around + x.encode("utf-8", "replace"))) - alone
+    most = added(random_text(letters or alphabet(candidate))[: len(candidate)])
+    return added(candidate) / max(1, min(len(candidate), most * RANDOM / NOVELTY))
 
 
 def pieces(candidate: str) -> list[str]:
@@ -89,7 +120,7 @@ def find(text: str, compressor: zstandard.ZstdCompressor, least: float = NOVELTY
         for m in CONTEXT.finditer(text):
             a, b = m.span(1)
             before, after = text[max(0, a - AROUND) : a], text[b : b + AROUND]
-            if mixed(m[1]) and not any(s < b and a < e for s, _, e in base) and any(novelty(x, before, after, compressor) >= least for x in pieces(m[1])):
+            if mixed(m[1]) and not any(s < b and a < e for s, _, e in base) and any(novelty(x, before, after, compressor, alphabet(m[1])) >= least for x in pieces(m[1])):
                 spans.append((a, 3, b))
     return sorted(spans)
 

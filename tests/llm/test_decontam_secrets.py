@@ -93,3 +93,22 @@ def test_long_tokens_are_found_whole():
     jwt = "eyJhbGciOiJSUzI1NiIsInR5cCI6IkpXVCJ9.eyJzdWIiOiIxMjM0NTY3ODkwIiwibmFtZSI6IkpvaG4gRG9lIiwiYWRtaW4iOnRydWUsImlhdCI6MTUxNjIzOTAyMn0." + token(342)
     assert secrets.find(f"Bearer {jwt}\n", c) == [(7, 3, 7 + len(jwt))]
     assert secrets.find("private key: " + "configuration_settings_version1." * 60, c) == []
+
+
+def test_novelty_over_alphabets_and_lengths():
+    rng, c = random.Random(6), secrets.primed()
+    prose = "the committee said on tuesday that the new rules would apply to every office in the region and to those who had not replied "
+    upper, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    for letters in (digits + "ABCDEF", upper + "234567", digits + upper.lower(), digits + upper + upper.lower()):
+        for n in (16, 24, 40, 64, 100, 128, 160, 256, 400, 1000):
+            for before, after in (("", ""), (prose, " " + prose)):
+                found = of = 0
+                while of < 20:
+                    own = "".join(rng.choice(letters) for _ in range(n))
+                    if secrets.mixed(own):
+                        a, of = len(before) + len("Authorization: Bearer "), of + 1
+                        found += (a, 3, a + n) in secrets.find(f"{before}Authorization: Bearer {own}{after}", c)
+                assert found >= 17, (letters, n, before, found)
+    words = "user account status active index report month system network data model order invoice number region stream queue topic".split()
+    for n in (16, 40, 100):
+        assert sum(bool(secrets.find(f"private key: {'_'.join(rng.choice(words) for _ in range(n))}_7", c)) for _ in range(50)) <= 2
