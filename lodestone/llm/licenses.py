@@ -7,6 +7,9 @@ runs of that sequence, and each run that a rule consumes names a licence.
 
 The scan is one projection over the texts: no shuffle, no Python. Texts that contain none of the stems
 every known sentence has are passed over by plain substring tests.
+
+A known sentence is also found where it is wrapped, in a comment block or numbered: before the cut, one
+pattern a sentence puts it on a line of its own, without its line breaks, comment signs and list number.
 """
 
 from __future__ import annotations
@@ -83,13 +86,39 @@ def _normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(sentence, UPPER, LOWER), "[^a-z0-9]+", " "))
 
 
+#: Marks the end of a sentence or an empty line while wrapped sentences are put together.
+END = "\x01"
+
+
+def wrapped(sentence: str) -> str:
+    """The Java pattern of a known sentence that may go over several lines, with its list number.
+
+    It starts and ends where a sentence or a line does. Between two words are any signs and line breaks, but
+    no END, except before an address, which licence texts set apart.
+    """
+    words = normal(sentence).split()
+    gaps = ["[^A-Za-z0-9]++" if then == "http" else f"[^A-Za-z0-9{END}]++" for then in words[1:]]
+    number = rf"(?:(?:[0-9]{{1,2}}|[a-z]|[ivx]{{1,4}})[.){END}][ \t{END}]*+)?"
+    body = words[0] + "".join(g + w for g, w in zip(gaps, words[1:]))
+    return rf"(?i)(?<![^\n{END}])[^A-Za-z0-9\n{END}]*+{number}{body}(?=[^A-Za-z0-9\n{END}]*+(?:[\n{END}]|\z))"
+
+
+def unwrapped(text: Column, sentences: dict[str, str]) -> Column:
+    """``text`` with END after each sentence, empty line and colon of a numbered list, and the known sentences in normal form on lines of their own."""
+    out = F.regexp_replace(F.translate(text, END, " "), "[.!?](?=[ \\t\\r\\f\\n])|:(?=[ \\t\\r\\f\\n]+[(]?(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})[.)][ \\t])", END)
+    out = F.regexp_replace(out, "\n[^A-Za-z0-9\n]*(?=\n)", "\n" + END)
+    for s in sorted(sentences.values(), key=lambda s: -len(normal(s).split())):
+        out = F.regexp_replace(out, wrapped(s), f"\n{normal(s)}\n")
+    return out
+
+
 def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", sentences: dict[str, str] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES) -> DataFrame:
     """One row per input row: key, n_known, sequence, licenses, n_matches.
 
     ``sequence`` has the known sentences' identifiers in text order, ``<id>`` each, with one ``~`` for any
     run of unknown sentences (empty if none is known); ``licenses`` the licences of the rules that matched, sorted and
     comma-joined; ``n_matches`` the number of rule matches. A sentence ends at ``.``, ``!`` or ``?`` before
-    white space, or at a line break. Null and empty texts have no known sentence; repeated sentences each
+    white space, or at a line break; a known sentence may go over line breaks, but not over an empty line. Null and empty texts have no known sentence; repeated sentences each
     count; repeated rows give repeated results; other columns are ignored.
     """
     known = F.create_map(*[F.lit(x) for name, s in sentences.items() for x in (normal(s), f"<{name}>")])
@@ -98,8 +127,7 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", sent
     worth = low.contains(STEMS[0])
     for stem in STEMS[1:]:
         worth = worth | low.contains(stem)
-    marked = F.regexp_replace(whole, "([.!?])[ \\t\\r\\f]+", "$1\n")
-    normals = F.filter(F.transform(F.split(marked, "\n"), _normalised), lambda s: s != "")
+    normals = F.filter(F.transform(F.split(unwrapped(whole, sentences), f"[\n{END}]"), _normalised), lambda s: s != "")
     ids = F.transform(normals, lambda s: F.coalesce(F.element_at(known, s), F.lit("~")))
     out = docs.select(F.col(key).alias("doc_id"), F.when(worth, F.array_join(ids, "")).otherwise(F.lit("")).alias("seq0"))
     out = out.select("doc_id", F.when(F.col("seq0").contains("<"), F.regexp_replace("seq0", "~+", "~")).otherwise(F.lit("")).alias("sequence"))
@@ -121,7 +149,7 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", sent
 
 
 def licenses_sql() -> str:
-    """DuckDB SQL for ``scan_licenses`` over ``documents``."""
+    """DuckDB SQL for ``scan_licenses`` over ``documents``, of known sentences on one line and without a number."""
     quote = lambda s: s.replace("'", "''")
     known = ", ".join(f"'{quote(normal(s))}': '<{name}>'" for name, s in SENTENCES.items())
     steps, last = [], "base"

@@ -103,3 +103,69 @@ def test_licenses(spark, docs, empty):
     got = {r.doc_id: (r.licenses, r.n_matches) for r in licenses.scan_licenses(df).collect()}
     assert got == {i: (names, n) for i, (_, names, n) in enumerate(texts)}
     assert licenses.scan_licenses(docs).count() == docs.count() and licenses.scan_licenses(empty).count() == 0
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND."""
+BSD2 = """Copyright (c) 2020, Somebody. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+
+
+def test_wrapped_licence_texts(spark):
+    texts, want = [], []
+    for text, name in ((MIT, "MIT"), (BSD2, "BSD-2-Clause"), (BSD3, "BSD-3-Clause"), (GPL, "GPL-3.0-or-later"), (APACHE, "Apache-2.0")):
+        for prefix in ("", "# ", " * ", "// "):
+            texts.append("import x\n\n" + "\n".join(prefix + line for line in text.split("\n")) + "\n\nand more.")
+            want.append((name, 1))
+    texts += [BSD2.replace("\n", " "), BSD2.replace("\n", "\r\n"), "Released under\n\nthe MIT License", "Released under. The MIT License", "Released under the\nMIT License or not", "It was\nReleased under the MIT License\nand so on"]
+    want += [("BSD-2-Clause", 1)] * 2 + [("", 0)] * 3 + [("MIT", 1)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.licenses, r.n_matches) for r in licenses.scan_licenses(df).collect()}
+    assert got == dict(enumerate(want))
