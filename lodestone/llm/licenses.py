@@ -94,10 +94,10 @@ def wrapped(sentence: str) -> str:
     """The Java pattern of a known sentence that may go over several lines, with its list number.
 
     It starts and ends where a sentence or a line does. Between two words are any signs and line breaks, but
-    no END, except before an address, which licence texts set apart.
+    no END, except before an address, which licence texts set apart, and after the abbreviation "v.".
     """
     words = normal(sentence).split()
-    gaps = ["[^A-Za-z0-9]++" if then == "http" else f"[^A-Za-z0-9{END}]++" for then in words[1:]]
+    gaps = ["[^A-Za-z0-9]++" if then == "http" or word == "v" else f"[^A-Za-z0-9{END}]++" for word, then in zip(words, words[1:])]
     number = rf"(?:(?:[0-9]{{1,2}}|[a-z]|[ivx]{{1,4}})[.){END}][ \t{END}]*+)?"
     body = words[0] + "".join(g + w for g, w in zip(gaps, words[1:]))
     return rf"(?i)(?<![^\n{END}])[^A-Za-z0-9\n{END}]*+{number}{body}(?=[^A-Za-z0-9\n{END}]*+(?:[\n{END}]|\z))"

@@ -169,3 +169,13 @@ def test_wrapped_licence_texts(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: (r.licenses, r.n_matches) for r in licenses.scan_licenses(df).collect()}
     assert got == dict(enumerate(want))
+
+
+def test_every_rule_by_its_published_sentences(spark):
+    S = licenses.SENTENCES
+    text = lambda parts, gap: "".join(S[p] + ("\n\n" if S[p].endswith(":") else ".\n") for p in parts).replace(" ", gap)
+    rows = [(i, text(parts, gap) + " And more.") for i, (_, parts) in enumerate(licenses.RULES) for gap in (" ", "\n", "\n# ")]
+    rows += [(1000, "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.")]
+    names = {i: name for i, (name, _) in enumerate(licenses.RULES)} | {1000: "MPL-2.0"}
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.licenses) for r in got if r.licenses != names[r.doc_id]] == [] and len(got) == len(rows)
