@@ -37,7 +37,7 @@ ASSIGN_WORDS = ("passw", "secret", "token", "apikey", "api_key")
 CONTEXT_WORDS = ("auth", "bearer", "credential", "private", "access", "pwd", "passphrase", "signature", "session", "cookie", "key", "secret", "token", "passw")
 CONTEXT = re.compile(
     r"""(?:auth(?:orization)?|bearer|credentials?|private[_ -]?key|access[_ -]?key(?:[_ -]?id)?|(?:client|shared)[_ -]?secret|secret|pwd|passwd|password|passphrase|signature|session(?:[_ -]?id)?|cookie|token|(?<![a-z])key)"""
-    r"""["']?[\x20\t]*(?:[:=]|=>|is\b|bearer\b|basic\b)?[\x20\t]*["'(]?([A-Za-z0-9+/_=~.-]{16,})""",
+    r"""["']?[\x20\t]*(?:[:=]|=>|is\b)?[\x20\t]*["'(]?(?:(?:bearer|basic|digest|negotiate|token)(?:[\x20\t]+|(?=["'(])))?["'(]?([A-Za-z0-9+/_=~.-]{16,})""",
     re.IGNORECASE | re.ASCII,
 )
 AROUND = 160
@@ -107,6 +107,16 @@ def mixed(candidate: str) -> bool:
     return any(c.isdigit() for c in candidate) and any(c.isalpha() for c in candidate) and len(set(candidate)) >= 8
 
 
+def covered(candidate: str, at: int, base: list[tuple[int, int, int]]) -> bool:
+    """Whether base spans hold all letters and digits of the candidate that starts at ``at``."""
+    done, end = at, at + len(candidate)
+    for s, e in sorted((s, e) for s, _, e in base if s < end and at < e):
+        if any(map(str.isalnum, candidate[done - at : max(s, done) - at])):
+            return False
+        done = max(done, e)
+    return done > at and not any(map(str.isalnum, candidate[done - at :]))
+
+
 def find(text: str, compressor: zstandard.ZstdCompressor, least: float = NOVELTY) -> list[tuple[int, int, int]]:
     """(start, kind, end) of all spans in code points, sorted; kind counts as in KINDS."""
     spans, low = [], text.lower()
@@ -120,7 +130,7 @@ def find(text: str, compressor: zstandard.ZstdCompressor, least: float = NOVELTY
         for m in CONTEXT.finditer(text):
             a, b = m.span(1)
             before, after = text[max(0, a - AROUND) : a], text[b : b + AROUND]
-            if mixed(m[1]) and not any(s < b and a < e for s, _, e in base) and any(novelty(x, before, after, compressor, alphabet(m[1])) >= least for x in pieces(m[1])):
+            if mixed(m[1]) and not covered(m[1], a, base) and any(novelty(x, before, after, compressor, alphabet(m[1])) >= least for x in pieces(m[1])):
                 spans.append((a, 3, b))
     return sorted(spans)
 
