@@ -15,7 +15,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of each whole document, learnt from the labels outside the held-out fold."""
     scored = toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
-    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "worst_score", "worst_sentence", "n_offending")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "worst_score", "worst_sentence", "n_offending", "offending")
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

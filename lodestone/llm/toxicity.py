@@ -116,14 +116,20 @@ def train(texts: list[str], labels: list[int], max_features: int = MAX_FEATURES,
 
 def score(text: str, weights: ByWord, bias: float) -> tuple[float, float, int, int]:
     """(document score, its highest sentence score, that sentence's number or -1, number of sentences of 0.5 and more)."""
+    return judged(text, weights, bias)[:4]
+
+
+def judged(text: str, weights: ByWord, bias: float) -> tuple[float, float, int, int, list[dict]]:
+    """As ``score``, and the number and score of every sentence of 0.5 and more."""
     get = weights.__getitem__
     zs = [bias + sum(map(get, set(s))) for s in sentences(text)]
     if not zs:
-        return 0.0, 0.0, -1, 0
+        return 0.0, 0.0, -1, 0, []
     z = np.array(zs)
     p = -np.expm1(-np.logaddexp(0, z).sum())
     top = int(z.argmax())
-    return float(p), float(1 / (1 + np.exp(-z[top]))), top, int((z >= 0).sum())
+    offending = [{"sentence": k, "score": float(1 / (1 + np.exp(-z[k])))} for k in np.flatnonzero(z >= 0).tolist()]
+    return float(p), float(1 / (1 + np.exp(-z[top]))), top, len(offending), offending
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, fold: int = 5) -> tuple[list[str], list[int]]:
@@ -149,7 +155,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> tuple
 
 
 def toxicity(texts: Column, model: tuple[dict[int, float], float], spark) -> Column:  # noqa: ANN001
-    """struct<score, worst_score, worst_sentence, n_offending>: noisy-or and where it comes from.
+    """struct<score, worst_score, worst_sentence, n_offending, offending>: noisy-or and where it comes from.
 
     Null and empty texts score 0. Texts are scored whole; sentences are numbered from 0 among those
     with words (-1: none).
@@ -159,13 +165,13 @@ def toxicity(texts: Column, model: tuple[dict[int, float], float], spark) -> Col
 
     def judge(batch: pd.Series) -> pd.DataFrame:
         weights, bias = word_scores(shared.value[0]), shared.value[1]
-        return pd.DataFrame([score(t, weights, bias) for t in batch], columns=["score", "worst_score", "worst_sentence", "n_offending"])
+        return pd.DataFrame([judged(t, weights, bias) for t in batch], columns=["score", "worst_score", "worst_sentence", "n_offending", "offending"])
 
-    return F.pandas_udf(judge, "score double, worst_score double, worst_sentence int, n_offending int")(texts)
+    return F.pandas_udf(judge, "score double, worst_score double, worst_sentence int, n_offending int, offending array<struct<sentence:int,score:double>>")(texts)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
-    """One row per document: doc_id, score, worst_score, worst_sentence, n_offending.
+    """One row per document: doc_id, score, worst_score, worst_sentence, n_offending, offending (sentence, score).
 
     Nothing but the text enters a score. Null or empty texts score 0; equal texts score equally; repeated
     rows give repeated results; empty tables give no rows; other columns are ignored.

@@ -290,3 +290,12 @@ def test_pipeline_decisions(spark, tmp_path):
     pieces = left[4].groupBy("doc_id").sum("length").collect()
     assert {r[0]: r[1] for r in pieces} == {i: len((t or "").encode()) + 1 for i, t in texts.items()}
     assert corpus_pipeline.run(spark, d).count() == left[4].count()
+
+
+def test_every_offending_sentence_is_located(spark):
+    labelled = [(i, "you moron" if i % 2 else "fine words here", i % 2) for i in range(200)]
+    labels = spark.createDataFrame([(i, y) for i, _, y in labelled], "doc_id long, toxic int")
+    docs = spark.createDataFrame([(i, t) for i, t, _ in labelled] + [(1000, "Fine words here. You moron. Fine words. A moron you."), (1001, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.score_documents(docs, labels).where("doc_id >= 1000").collect()}
+    assert [s.sentence for s in got[1000].offending] == [1, 3] and got[1000].n_offending == 2 and got[1001].offending == []
+    assert max(s.score for s in got[1000].offending) == got[1000].worst_score and min(s.score for s in got[1000].offending) >= 0.5
