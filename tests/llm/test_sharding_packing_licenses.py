@@ -92,7 +92,7 @@ def test_cluster_column(docs):
 
 
 def test_licenses(spark, docs, empty):
-    assert all(any(s in licenses.normal(x) for s in licenses.STEMS) for x in licenses.SENTENCES.values())
+    assert all(any(s in licenses.normal(x) for s in licenses.stems(licenses.SENTENCES)) for x in licenses.SENTENCES.values())
     S = licenses.SENTENCES
     apache = ". ".join(S[k] for k in ("apache_ref_the_license", "apache_no_use", "apache_copy", "apache_as_is", "apache_see")) + "."
     texts = [
@@ -173,7 +173,7 @@ def test_wrapped_licence_texts(spark):
 
 def test_every_rule_by_its_published_sentences(spark):
     S = licenses.SENTENCES
-    text = lambda parts, gap: "".join(S[p] + ("\n\n" if S[p].endswith(":") else ".\n") for p in parts).replace(" ", gap)
+    text = lambda parts, gap: "".join(S[p] + ("\n\n" if S[p].endswith(":") else ".\n") for p in parts if p != licenses.GAP).replace(" ", gap)
     rows = [(i, text(parts, gap) + " And more.") for i, (_, parts) in enumerate(licenses.RULES) for gap in (" ", "\n", "\n# ")]
     rows += [(1000, "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.")]
     names = {i: name for i, (name, _) in enumerate(licenses.RULES)} | {1000: "MPL-2.0"}
