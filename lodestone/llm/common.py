@@ -1,47 +1,73 @@
-"""Helpers shared by the corpus operators."""
+"""Helpers shared by the corpus operators.
+
+Batches that go to Python workers are bounded by Spark itself: at most 10,000 rows and 64 MiB of data (its
+defaults), so a batch of long texts is cut by bytes. No operator changes an option of the caller's session.
+"""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows in one Arrow batch: bounds a Python worker's memory when texts are long.
-BATCH_ROWS = 512
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the input folder, through Spark's reader (the folder may be in any store)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most BATCH_ROWS rows, for operators that read whole texts in Python."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the one that spark.checkpoint.dir names.
 
+    Where none is named, a local session (as in tests) gets a folder of its own; on a cluster that is an
+    error, since executors would write to their own disks.
+    """
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not context.master.split("[")[0] == "local":
+            raise ValueError("name a folder that driver and executors share in spark.checkpoint.dir")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
+    return context.getCheckpointDir()
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read from there (cuts the lineage).
 
-    The folder is the one the cluster names in spark.checkpoint.dir; a folder of our own is set only
-    where none is named, as in local tests.
-    """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def written(df: DataFrame, *partition_by: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder and read from there (cuts the lineage), and the folder."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
+    where = _path(spark, path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the checkpoint folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "/tmp/checkpoints"))
-    return spark.sparkContext.getCheckpointDir()
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read from there; the files go when the session's JVM ends."""
+    return written(df)[0]
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Deletes a folder of the shared store, through its own file system."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where = _path(spark, path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def _path(spark: SparkSession, path: str):  # noqa: ANN202
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def fresh(name: str) -> str:
+    """A column name that no caller's column has."""
+    return f"{name}_{uuid.uuid4().hex}"
+
+
+def own_columns(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever signs their names hold."""
+    return [df[f"`{c.replace('`', '``')}`"] for c in df.columns]
+
+
 def whole_text(name: str = "text") -> Column:
     """The text column with null read as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

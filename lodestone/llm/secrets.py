@@ -4,7 +4,8 @@ The base patterns find assignments, access keys and long hexadecimal runs. The n
 strings in a sensitive context (after words such as ``bearer`` or ``private key``): a compressor primed
 with a dictionary of identifiers and common words compresses the surrounding code alone and with the
 candidate; the bytes the candidate adds, against its own length or against what a random string of its own
-alphabet and length adds there, are its novelty. Words, paths and identifiers are mostly matched by the
+alphabet and length adds there, are its novelty. The surroundings are the AROUND characters before and after the
+whole candidate, without copies of it, so that a secret written twice is as novel as one written once. Words, paths and identifiers are mostly matched by the
 dictionary or their surroundings; secrets add nearly all their bytes, or, where the alphabet is small, nearly
 as many as a random string.
 
@@ -22,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, whole_text
+from .common import own_columns, whole_text
 
 KINDS = ["assign", "access", "hex", "novel"]
 # The base patterns.
@@ -40,6 +41,7 @@ CONTEXT = re.compile(
     r"""["']?[\x20\t]*(?:[:=]|=>|is\b)?[\x20\t]*["'(]?(?:(?:bearer|basic|digest|negotiate|token)(?:[\x20\t]+|(?=["'(])))?["'(]?([A-Za-z0-9+/_=~.-]{16,})""",
     re.IGNORECASE | re.ASCII,
 )
+#: Characters of surrounding code on either side of a candidate.
 AROUND = 160
 #: Longer candidates are compressed in pieces of this many characters at most; a novel piece makes the whole one novel.
 PIECE = 256
@@ -102,6 +104,20 @@ def pieces(candidate: str) -> list[str]:
     return [candidate[n * i // k : n * (i + 1) // k] for i in range(k)]
 
 
+def around(surroundings: str, candidate: str) -> str:
+    """The surroundings without the candidate's copies, whole ones or cut off at the edges (8 characters and more)."""
+    out = surroundings.replace(candidate, " ")
+    for n in range(min(len(out), len(candidate)) - 1, 7, -1):
+        if out.startswith(candidate[-n:]):
+            out = out[n:]
+            break
+    for n in range(min(len(out), len(candidate)) - 1, 7, -1):
+        if out.endswith(candidate[:n]):
+            out = out[:-n]
+            break
+    return out
+
+
 def mixed(candidate: str) -> bool:
     """Letters and digits both, and at least 8 different characters."""
     return any(c.isdigit() for c in candidate) and any(c.isalpha() for c in candidate) and len(set(candidate)) >= 8
@@ -129,7 +145,7 @@ def find(text: str, compressor: zstandard.ZstdCompressor, least: float = NOVELTY
     if any(w in low for w in CONTEXT_WORDS):
         for m in CONTEXT.finditer(text):
             a, b = m.span(1)
-            before, after = text[max(0, a - AROUND) : a], text[b : b + AROUND]
+            before, after = (around(x, m[1]) for x in (text[max(0, a - AROUND) : a], text[b : b + AROUND]))
             if mixed(m[1]) and not covered(m[1], a, base) and any(novelty(x, before, after, compressor, alphabet(m[1])) >= least for x in pieces(m[1])):
                 spans.append((a, 3, b))
     return sorted(spans)
@@ -152,22 +168,24 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     Null and empty texts have no spans; very long texts are scanned whole; repeated rows give repeated
     results; an empty table gives no rows; other columns are ignored.
     """
-    small_batches(docs.sparkSession)
     out = docs.select(F.col(key).alias("doc_id"), secret_spans(whole_text(text)).alias("spans"))
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
     return out.withColumns({f"n_{k}": count(k) for k in KINDS})
 
 
 def redacted(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every span in ``text`` replaced by ``mark`` (overlapping spans by one)."""
-    small_batches(docs.sparkSession)
+    """``docs`` with every span in ``text`` replaced by ``mark`` (overlapping spans by one).
+
+    Null and empty texts stay as they are; very long texts are scanned whole; repeated rows and equal texts
+    are changed alike; an empty table gives no rows; other columns keep their values, whatever their names.
+    """
 
     @F.pandas_udf("string")
     def redact(batch: pd.Series) -> pd.Series:
         compressor = primed()
         return pd.Series([None if t is None else _redact(t, find(t, compressor), mark) for t in batch])
 
-    return docs.withColumn(text, redact(F.col(text).cast("string")))
+    return docs.select(*[redact(F.col(text).cast("string")).alias(c) if c == text else own for c, own in zip(docs.columns, own_columns(docs))])
 
 
 def _redact(text: str, spans: list[tuple[int, int, int]], mark: str) -> str:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, small_batches, whole_text
+from .common import checkpointed, whole_text
 
 RADIUS = 4
 #: Distinct fingerprints of a shard compared by one task at most, and of those a task gathers.
@@ -339,7 +339,6 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = RADIUS, sim
     share their component; an empty table gives no rows; very long texts are read whole; other columns are
     ignored.
     """
-    small_batches(docs.sparkSession)
     whole = whole_text(text)
     made = fingerprints(whole, shingle) if similarity is None else set_fingerprints(whole, shingle)
     made = docs.select(F.col(key).alias("doc_id"), F.xxhash64(whole).alias("text_hash"), made.alias("f"))

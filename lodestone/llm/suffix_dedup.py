@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_bytes, whole_text
+from .common import text_bytes, whole_text
 
 WINDOW = 50
 GRAM = 24
@@ -408,7 +408,6 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     they lose nothing to each other. Texts shorter than the window lose nothing; an empty table gives no
     rows; very long texts are sorted whole; other columns are ignored.
     """
-    small_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc_id"), F.col(key).isNull().alias("is_null"), whole_text(text).alias("text"))
     n_blocks = max(1, math.ceil(text_bytes(docs, text) / BLOCK_BYTES))
     bits = min(20, max(MIN_BITS, math.ceil(math.log2(2 * n_blocks))))

@@ -5,8 +5,10 @@ combines them: ``p(doc) = 1 - prod(1 - p(sentence))``. The sentence model is tra
 alone, by gradient descent through the noisy-or, so that the sentences that explain a label get the
 weight; scored documents then show their offending sentences.
 
-Training uses a bounded sample of labelled rows (``max_train`` rows, the lowest by a hash of the key);
-scoring covers every document, whole, in one pass without a shuffle. The model is a table of at most
+Training uses a bounded sample of labelled rows: ``max_train`` of them, the lowest by a hash of the key, and of
+those, in the same order, as many as hold MAX_TRAIN_BYTES of text together, each of them whole. Scoring
+covers every document, whole, in one pass without a shuffle. A sentence is the set of its words' features, in
+training as in scoring. The model is a table of at most
 ``max_features`` words and word beginnings, which bounds what is broadcast.
 """
 
@@ -18,13 +20,14 @@ from array import array
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import small_batches, whole_text
+from .common import fresh, own_columns, whole_text
 
-#: Labelled rows to train on at most, and the longest text among them in bytes.
+#: Labelled rows to train on at most, and the bytes of text that they hold together at most.
 MAX_TRAIN = 8_000
-MAX_TRAIN_BYTES = 200_000
+MAX_TRAIN_BYTES = 64 << 20
 MAX_FEATURES = 6_000
 ROUNDS = 100
 #: Numbers that features are hashed to, and lengths of the word beginnings, in bytes.
@@ -59,9 +62,19 @@ class ByWord(dict):
         return found
 
 
-def word_scores(weights: dict[int, float]) -> ByWord:
-    """The summed weights of a word's features."""
-    return ByWord(lambda w: sum(weights.get(f, 0.0) for f in features(w)))
+class SentenceModel:
+    """Feature weights and a bias; the score of a sentence sums the weights of its distinct features."""
+
+    def __init__(self, weights: dict[int, float], bias: float):
+        self.weights, self.bias = weights, bias
+        self.known = ByWord(lambda w: tuple(f for f in features(w) if f in weights))
+
+    def logit(self, sentence: list[bytes]) -> float:
+        known, own = self.known, set()
+        for word in sentence:
+            if found := known[word]:
+                own.update(found)
+        return self.bias + sum(map(self.weights.__getitem__, own))
 
 
 def choose_features(texts: list[str], labels: np.ndarray, most: int) -> np.ndarray:
@@ -114,15 +127,9 @@ def train(texts: list[str], labels: list[int], max_features: int = MAX_FEATURES,
     return {int(x): float(t) for x, t in zip(chosen, theta)}, float(theta[-1])
 
 
-def score(text: str, weights: ByWord, bias: float) -> tuple[float, float, int, int]:
-    """(document score, its highest sentence score, that sentence's number or -1, number of sentences of 0.5 and more)."""
-    return judged(text, weights, bias)[:4]
-
-
-def judged(text: str, weights: ByWord, bias: float) -> tuple[float, float, int, int, list[dict]]:
-    """As ``score``, and the number and score of every sentence of 0.5 and more."""
-    get = weights.__getitem__
-    zs = [bias + sum(map(get, set(s))) for s in sentences(text)]
+def judged(text: str, model: SentenceModel) -> tuple[float, float, int, int, list[dict]]:
+    """(document score, its highest sentence score, that sentence's number or -1, number of sentences of 0.5 and more, their numbers and scores)."""
+    zs = [model.logit(s) for s in sentences(text)]
     if not zs:
         return 0.0, 0.0, -1, 0, []
     z = np.array(zs)
@@ -132,18 +139,24 @@ def judged(text: str, weights: ByWord, bias: float) -> tuple[float, float, int,
     return float(p), float(1 / (1 + np.exp(-z[top]))), top, len(offending), offending
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, fold: int = 5) -> tuple[list[str], list[int]]:
+def training_sample(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, fold: int = 5, max_bytes: int = MAX_TRAIN_BYTES) -> tuple[list[str], list[int]]:
     """A bounded sample of labelled texts outside the held-out fold (crc32 of the key divides by ``fold``).
 
     The keys are chosen from the labels alone, so the join's small side has ``max_train`` rows at most.
-    Labels that are null are no labels; of several rows of a key the highest label counts.
+    Labels that are null are no labels; of several rows of a key the highest label counts, and the shortest text.
+    Texts are whole; the sample ends where they would hold more than ``max_bytes`` together.
     """
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % fold != 0)
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
+    chosen = known.withColumn("order", F.xxhash64("doc_id")).orderBy("order", "doc_id").limit(max_train)
+    labelled = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id")
+    # max_train rows at most meet in this window; it sees sizes and hashes, and decides before texts are gathered.
+    sizes = labelled.groupBy("doc_id", "order").agg(F.min(F.struct(F.octet_length("text").alias("size"), F.xxhash64("text").alias("hash"))).alias("one"))
+    total = F.sum("one.size").over(W.orderBy("order", "doc_id").rowsBetween(W.unboundedPreceding, W.currentRow))
+    within = sizes.select("doc_id", "one", total.alias("total")).where(F.col("total") <= max_bytes).select("doc_id", "one.size", "one.hash")
     rows = (
-        docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id")
-        .where(F.octet_length("text") <= MAX_TRAIN_BYTES).groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+        labelled.join(F.broadcast(within), "doc_id").where((F.octet_length("text") == F.col("size")) & (F.xxhash64("text") == F.col("hash")))
+        .groupBy("doc_id").agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
         .orderBy("doc_id").collect()
     )
     return [r.text for r in rows], [int(r.toxic > 0) for r in rows]
@@ -160,12 +173,11 @@ def toxicity(texts: Column, model: tuple[dict[int, float], float], spark) -> Col
     Null and empty texts score 0. Texts are scored whole; sentences are numbered from 0 among those
     with words (-1: none).
     """
-    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     def judge(batch: pd.Series) -> pd.DataFrame:
-        weights, bias = word_scores(shared.value[0]), shared.value[1]
-        return pd.DataFrame([judged(t, weights, bias) for t in batch], columns=["score", "worst_score", "worst_sentence", "n_offending", "offending"])
+        own = SentenceModel(*shared.value)
+        return pd.DataFrame([judged(t, own) for t in batch], columns=["score", "worst_score", "worst_sentence", "n_offending", "offending"])
 
     return F.pandas_udf(judge, "score double, worst_score double, worst_sentence int, n_offending int, offending array<struct<sentence:int,score:double>>")(texts)
 
@@ -182,7 +194,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRA
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The documents that score below ``threshold``, with their own columns."""
-    model = fit(docs, labels)
-    verdict = toxicity(whole_text(), model, docs.sparkSession)
-    return docs.withColumn("_toxic", verdict).where(F.col("_toxic.score") < threshold).select(*docs.columns)
+    """The documents that score below ``threshold``, with their own columns, whatever their names.
+
+    Null and empty texts score 0 and stay; repeated rows stay or go together; very long texts are scored
+    whole; an empty table gives no rows; without labels of both kinds the majority decides.
+    """
+    model, name = fit(docs, labels), fresh("toxic")
+    scored = docs.select(*own_columns(docs), toxicity(whole_text(), model, docs.sparkSession)["score"].alias(name))
+    return scored.where(F.col(name) < threshold).drop(name)
