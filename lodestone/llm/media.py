@@ -5,9 +5,10 @@ into coefficient arrays, dequantises, inverse-transforms all blocks at once in n
 and gives the full-resolution RGB tensor. ``encode`` stores bytes as quantised coefficients, one byte a
 coefficient, so that the scans carry them without loss.
 
-The encoder's scans use Huffman tables of one code (every coefficient has the same magnitude class), which
-makes the entropy-coded data a fixed layout; scans of that kind are decoded as arrays, any other scan bit
-by bit. The inverse transform works on integers held in doubles, so results do not depend on how blocks
+The encoder's files have halved chroma, as most photographs, so that rendering upsamples it. Its scans use Huffman
+tables of one code (every coefficient has the same magnitude class), which makes the entropy-coded data a
+fixed layout; scans of that kind are accumulated as arrays, any other scan bit by bit, with the same
+coefficients (held by a test). The inverse transform works on integers held in doubles, so results do not depend on how blocks
 are batched.
 
 One pass over the rows; nothing is shuffled.
@@ -27,7 +28,10 @@ from pyspark.sql import functions as F
 from .common import whole_text
 
 UNIT = 192
-MAX_COLUMNS = 1024
+#: Minimum coded units (16 x 16 pixels: four blocks of luma, one of each chroma) in a row, unless a file needs more; rows that a file can have.
+MAX_COLUMNS, MAX_ROWS = 1024, 4095
+#: Bytes of text that go into one batch of results at most, unless one row has more.
+PART_BYTES = 8 << 20
 #: Zigzag order: the natural (row-major) place of each coefficient.
 ZIGZAG = np.array(sorted(range(64), key=lambda i: (i // 8 + i % 8, (i // 8 if (i // 8 + i % 8) % 2 else i % 8))))
 SCALE = 13
@@ -59,49 +63,54 @@ def _scan(components: list[tuple[int, int]], first: int, last: int, high: int, l
 
 
 def encode(payload: bytes) -> bytes:
-    """A progressive JPEG that holds ``payload`` (a multiple of 192 bytes) as its coefficients.
+    """A progressive JPEG with halved chroma (4:2:0) that holds ``payload`` (a multiple of 64 bytes) as its coefficients.
 
     Byte b becomes the coefficient b for b of 128 and more, else b - 255: magnitudes 128 to 255, whose
-    additional bits are the byte itself. 192 bytes fill one block of each component, in zigzag order.
-    Scans: all DC values with a restart after each unit; for each component its AC values in two
-    spectral bands without their lowest bit, then that bit for all of them.
+    additional bits are the byte itself. The payload fills the blocks of luma, then of both chromas, each in
+    raster order and each block in zigzag order. Scans of each component: its DC values with a restart after
+    each block; its AC values in two spectral bands without their lowest bit; then that bit for all of them.
     """
-    units = len(payload) // UNIT
-    columns = min(units, MAX_COLUMNS)
+    blocks = len(payload) // 64
+    units = -(-blocks // 6)
+    columns = max(min(units, MAX_COLUMNS), -(-units // MAX_ROWS))
     rows = -(-units // columns)
-    data = np.zeros((rows * columns, 3, 64), np.uint8)
-    data[:units] = np.frombuffer(payload, np.uint8).reshape(units, 3, 64)
+    units = rows * columns
+    data = np.zeros((units * 6, 64), np.uint8)
+    data[:blocks] = np.frombuffer(payload, np.uint8).reshape(blocks, 64)
     parts = [
         b"\xff\xd8",
         _segment(0xFE, b"payload %d" % len(payload)),
         _segment(0xDB, b"\x00" + b"\x01" * 64),
-        _segment(0xC2, struct.pack(">BHHB", 8, rows * 8, columns * 8, 3) + bytes([1, 0x11, 0, 2, 0x11, 0, 3, 0x11, 0])),
+        _segment(0xC2, struct.pack(">BHHB", 8, rows * 16, columns * 16, 3) + bytes([1, 0x22, 0, 2, 0x11, 0, 3, 0x11, 0])),
         _segment(0xC4, _one_code(0x00, 8) + _one_code(0x10, 7) + _one_code(0x11, 0)),
-        _segment(0xDD, b"\x00\x01"),
-        _scan([(1, 0), (2, 0), (3, 0)], 0, 0, 0, 0),
     ]
-    dc = data[:, :, 0].astype(np.uint32)
-    words = (dc[:, 0] << 23 | dc[:, 1] << 14 | dc[:, 2] << 5 | 31).astype(">u4")
-    flat = np.empty((len(words), 6), np.uint8)
-    flat[:, :4] = words.view(np.uint8).reshape(-1, 4)
-    flat[:, 4], flat[:, 5] = 0xFF, 0xD0 + np.arange(len(words)) % 8
-    stuffed = flat == 0xFF
-    stuffed[:, 4] = False
-    stuffed = stuffed.ravel()[:-2]
-    times = 1 + stuffed
-    out = np.repeat(flat.ravel()[:-2], times)
-    out[(np.cumsum(times) - 1)[stuffed]] = 0
-    parts += [out.tobytes(), _segment(0xDD, b"\x00\x00")]
     half = data >> 1
     lowest = np.where(data >= 128, data & 1, ~data & 1)
-    lowest[:, :, 0] = 0
-    refined = np.packbits(lowest, axis=2)
+    lowest[:, 0] = 0
+    refined = np.packbits(lowest, axis=1)
+    bounds = [0, 4 * units, 5 * units, 6 * units]
     for c in range(3):
-        parts += [_scan([(c + 1, 0x00)], 1, 5, 0, 1), half[:, c, 1:6].tobytes(), _scan([(c + 1, 0x00)], 6, 63, 0, 1), half[:, c, 6:].tobytes()]
-        parts += [_scan([(c + 1, 0x01)], 1, 63, 1, 0), refined[:, c].tobytes().replace(b"\xff", b"\xff\x00")]
+        own = slice(bounds[c], bounds[c + 1])
+        parts += [_segment(0xDD, b"\x00\x01"), _scan([(c + 1, 0)], 0, 0, 0, 0), _dc_values(data[own, 0]), _segment(0xDD, b"\x00\x00")]
+        parts += [_scan([(c + 1, 0x00)], 1, 5, 0, 1), half[own, 1:6].tobytes(), _scan([(c + 1, 0x00)], 6, 63, 0, 1), half[own, 6:].tobytes()]
+        parts += [_scan([(c + 1, 0x01)], 1, 63, 1, 0), refined[own].tobytes().replace(b"\xff", b"\xff\x00")]
     return b"".join([*parts, b"\xff\xd9"])
 
 
+def _dc_values(dc: np.ndarray) -> bytes:
+    """Each value after the code 0, padded with ones to two bytes, with stuffed zeros and restart markers between."""
+    words = (dc.astype(np.uint16) << 7 | 127).astype(">u2")
+    flat = np.empty((len(words), 4), np.uint8)
+    flat[:, :2] = words.view(np.uint8).reshape(-1, 2)
+    flat[:, 2], flat[:, 3] = 0xFF, 0xD0 + np.arange(len(words)) % 8
+    stuffed = flat == 0xFF
+    stuffed[:, 2] = False
+    stuffed = stuffed.ravel()[:-2]
+    out = np.repeat(flat.ravel()[:-2], 1 + stuffed)
+    out[(np.cumsum(1 + stuffed) - 1)[stuffed]] = 0
+    return out.tobytes()
+
+
 @dataclass
 class Component:
     """One colour component: sampling factors, its quantisation table, blocks and coefficients (zigzag)."""
@@ -198,31 +207,30 @@ class Image:
             self._bit_by_bit(parts, data, first, last, high, low)
 
     def _fixed(self, parts: list, data: bytes, first: int, last: int, high: int, low: int) -> bool:
-        """Decodes a scan whose one-code tables fix its layout; False if it is of another kind."""
+        """Decodes a scan of one component whose one-code tables fix its layout; False if it is of another kind."""
+        c, table = parts[0]
+        if len(parts) != 1 or c.across != c.stride or c.across * c.down != len(c.coefficients):
+            return False
+        n = len(c.coefficients)
         if first == 0:
-            tables = [self.huffman.get(t >> 4, {}) for _, t in parts]
-            if high or self.restart != 1 or any(len(t) != 1 for t in tables) or (self.h, self.v) != (1, 1):
+            codes = self.huffman.get(table >> 4, {})
+            if high or self.restart != 1 or len(codes) != 1:
                 return False
-            widths = [(next(iter(t))[0], next(iter(t.values()))) for t in tables]
-            size = -(-sum(a + b for a, b in widths) // 8)
+            (length, _), width = next(iter(codes.items()))
+            size = -(-(length + width) // 8)
             plain = _RESTART.sub(b"", data).replace(b"\xff\x00", b"\xff")
-            n = parts[0][0].stride * self.units_down
-            if len(plain) != n * size or not all(b for _, b in widths):
+            if len(plain) != n * size or not width:
                 return False
             bits = np.unpackbits(np.frombuffer(plain, np.uint8).reshape(n, size), axis=1).astype(np.int32)
-            at = 0
-            for (c, _), (a, b) in zip(parts, widths):
-                if bits[:, at : at + a].any():
-                    return False
-                c.coefficients[:, 0] = _extended(bits[:, at + a : at + a + b] @ (1 << np.arange(b - 1, -1, -1)), b) << low
-                at += a + b
+            if bits[:, :length].any():
+                return False
+            c.coefficients[:, 0] = _extended(bits[:, length : length + width] @ (1 << np.arange(width - 1, -1, -1)), width) << low
             return True
-        c, table = parts[0]
         codes = self.huffman.get(0x10 | table & 15, {})
-        if len(parts) != 1 or self.restart or len(codes) != 1 or c.across != c.stride or (c.h, c.v) != (self.h, self.v):
+        if self.restart or len(codes) != 1:
             return False
         (length, _), symbol = next(iter(codes.items()))
-        n, band = len(c.coefficients), last - first + 1
+        band = last - first + 1
         raw = np.frombuffer(data.replace(b"\xff\x00", b"\xff"), np.uint8)
         if not high and 0 < symbol < 16 and length + symbol == 8 and len(raw) == n * band:
             c.coefficients[:, first : last + 1] = _extended(raw.reshape(n, band).astype(np.int32) & ((1 << symbol) - 1), symbol) * (1 << low)
@@ -298,7 +306,7 @@ class Image:
     def payload(self) -> bytes:
         """The bytes that ``encode`` stored."""
         n = int(self.comment.removeprefix(b"payload "))
-        values = np.stack([c.coefficients for c in self.components], axis=1)
+        values = np.concatenate([c.coefficients for c in self.components])
         return np.where(values > 0, values, values + 255).astype(np.uint8).tobytes()[:n]
 
 
@@ -401,27 +409,57 @@ def padded(text: str) -> bytes:
     return raw + b" " * (max(UNIT, -(-len(raw) // UNIT) * UNIT) - len(raw))
 
 
-MEDIA = "media binary, payload binary, height int, width int, rgb binary"
+def feature(image: Image, rgb: np.ndarray) -> str:
+    """Features of a picture, as integers: size; each channel's mean and variance and its histogram of eight bins; luma energy by spectral band."""
+    flat = rgb.reshape(-1, 3)
+    n = len(flat)
+    total, square = flat.sum(axis=0, dtype=np.int64), (flat.astype(np.int64) ** 2).sum(axis=0)
+    told = [image.height, image.width, *(total // n).tolist(), *(square // n - (total // n) ** 2).tolist()]
+    for c in range(3):
+        told += np.bincount(flat[:, c] >> 5, minlength=8).tolist()
+    energy = (image.components[0].coefficients.astype(np.int64) ** 2).sum(axis=0)
+    told += [int(energy[a:b].sum()) // n for a, b in ((0, 1), (1, 6), (6, 28), (28, 64))]
+    return ",".join(map(str, told))
 
 
-def media_columns(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: key, n_bytes, media (the file), payload (read back), height, width, rgb.
+def media_columns(docs: DataFrame, key: str = "doc_id", text: str = "text", tensors: bool = True) -> DataFrame:
+    """One row per input row: doc_id, n_bytes, media (the file), payload (read back), height, width, feature and, with ``tensors``, rgb.
 
-    Each whole text is stored in a progressive JPEG's coefficients, the file is read again, and the
-    tensor is rendered from what was read. Null texts count as empty (one unit of spaces); equal texts
-    give equal values; repeated rows repeat; an empty table gives no rows; other columns are ignored.
+    Each whole text is stored in a progressive JPEG's coefficients, the file is read again, chroma is
+    upsampled, and the tensor is rendered from what was read. Null texts count as empty (one unit of spaces); equal
+    texts give equal values; repeated rows repeat; an empty table gives no rows; very long texts are stored
+    whole (a file holds over 6 GB, more than a string can); other columns are ignored, whatever their names.
     """
-
-    def store(batch: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t in batch:
-            media = encode(padded(t))
-            image = decode(media)
-            rows.append((media, image.payload(), image.height, image.width, image.rgb().tobytes()))
-        return pd.DataFrame(rows, columns=["media", "payload", "height", "width", "rgb"])
-
-    out = docs.select(F.col(key).alias("doc_id"), F.octet_length(whole_text(text)).cast("long").alias("n_bytes"), F.pandas_udf(store, MEDIA)(whole_text(text)).alias("m"))
-    return out.select("doc_id", "n_bytes", "m.*")
+    rows = docs.select(F.col(key).alias("doc_id"), whole_text(text).alias("text"))
+    columns = ["doc_id", "n_bytes", "media", "payload", "height", "width", "feature", *(["rgb"] if tensors else [])]
+    kinds = dict(zip(columns, [rows.schema["doc_id"].dataType.simpleString(), "long", "binary", "binary", "int", "int", "string", "binary"]))
+
+    def store(batches):  # noqa: ANN001, ANN202
+        for batch in batches:
+            done, size = [], 0
+            for own, t in zip(batch["doc_id"], batch["text"]):
+                payload = padded(t)
+                media = encode(payload)
+                image = decode(media)
+                rgb = image.rgb()
+                row = (own, len(t.encode("utf-8", "replace")), media, image.payload(), image.height, image.width, feature(image, rgb))
+                done.append((*row, rgb.tobytes()) if tensors else row)
+                size += len(payload)
+                if size >= PART_BYTES:
+                    yield _typed(done, columns, batch)
+                    done, size = [], 0
+            if done:
+                yield _typed(done, columns, batch)
+
+    return rows.mapInPandas(store, ", ".join(f"{c} {k}" for c, k in kinds.items()))
+
+
+def _typed(rows: list[tuple], columns: list[str], batch: pd.DataFrame) -> pd.DataFrame:
+    """The rows, with keys of the batch's own kind."""
+    out = pd.DataFrame(rows, columns=columns)
+    if batch["doc_id"].dtype.kind == "f":  # integers with nulls among them
+        out["doc_id"] = out["doc_id"].astype("Int64")
+    return out
 
 
 def decode_column(files: DataFrame, key: str, media: str = "media") -> DataFrame:

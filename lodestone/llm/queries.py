@@ -75,8 +75,7 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's bytes through a progressive JPEG and back, with features of the rendered tensor."""
-    stored = media.media_columns(table(spark, sf_dir, "documents"))
-    feature = F.concat_ws(",", F.col("height").cast("string"), F.col("width").cast("string"), F.octet_length("rgb").cast("string"), F.crc32("rgb").cast("string"))
+    stored = media.media_columns(table(spark, sf_dir, "documents"), tensors=False)
     return stored.select(
         "doc_id",
         "n_bytes",
@@ -85,7 +84,7 @@ def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32(F.expr("substring(payload, -16, 16)")).alias("tail_crc32"),
         F.octet_length("media").cast("long").alias("media_bytes"),
         F.sha2("media", 256).alias("media_sha256"),
-        feature.alias("feature"),
+        "feature",
     )
 
 

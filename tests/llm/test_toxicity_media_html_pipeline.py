@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import numpy as np
@@ -25,19 +26,46 @@ def labelled(n, seed):
 def test_noisy_or_learns_and_locates():
     data = labelled(400, 1)
     model = toxicity.train([t for _, t, _ in data[:300]], [y for _, _, y in data[:300]])
-    w = toxicity.word_scores(model[0])
-    scored = [(toxicity.score(t, w, model[1]), y, t) for _, t, y in data[300:]]
+    own = toxicity.SentenceModel(*model)
+    scored = [(toxicity.judged(t, own), y, t) for _, t, y in data[300:]]
     assert sum((s[0] >= 0.5) == bool(y) for s, y, _ in scored) >= 97
     for s, y, t in scored:
         if y and s[0] >= 0.5:
             assert any(x in t.split(".")[s[2]] for x in ("moron", "idiot", "scumbag"))
-    p, worst, at, _ = toxicity.score("a moron. fine words", w, model[1])
-    by_hand = 1 - np.prod([1 - 1 / (1 + np.exp(-(model[1] + sum(w[x] for x in set(s))))) for s in toxicity.sentences("a moron. fine words")])
-    assert abs(p - by_hand) < 1e-9 and at == 0 and worst <= p
-    assert toxicity.score("", w, model[1]) == (0.0, 0.0, -1, 0)
+    p, worst, at, *_ = toxicity.judged("a moron. fine words", own)
+    assert abs(p - plain_score("a moron. fine words", *model)) < 1e-9 and at == 0 and worst <= p
+    assert toxicity.judged("", own) == (0.0, 0.0, -1, 0, [])
     assert toxicity.train([], []) == ({}, -20.0) and toxicity.train(["a"], [1])[1] == 20.0
 
 
+def plain_score(text, weights, bias):
+    """Noisy-or of sentences, each the sum of its distinct features' weights, written out by the definitions."""
+    keep = 1.0
+    for sentence in re.split(r"[.!?\n\r]", text.lower()):
+        words = re.findall(r"[0-9a-z\x80-\U0010ffff]+", sentence)
+        found = set()
+        for raw in (w.encode() for w in words):
+            found |= {zlib.crc32(raw) % (1 << 20)} | {zlib.crc32(str(n).encode() + b":" + raw[:n]) % (1 << 20) for n in (4, 5, 6) if len(raw) > n}
+        if words:
+            keep *= 1 - 1 / (1 + np.exp(-(bias + sum(weights.get(f, 0.0) for f in found))))
+    return 1 - keep
+
+
+def test_training_and_scoring_see_the_same_features():
+    text = "Stupid stupidity, stupidly; a été! Übel? one\nlast one"
+    weights = {f: 0.1 + k % 7 for k, f in enumerate(sorted({f for s in toxicity.sentences(text) for w in s for f in toxicity.features(w)}))}
+    assert abs(toxicity.judged(text, toxicity.SentenceModel(weights, -12.0))[0] - plain_score(text, weights, -12.0)) < 1e-12
+    assert toxicity.SentenceModel(dict.fromkeys(weights, 1.0), 0.0).logit([b"stupid", b"stupidity", b"stupidly"]) == 6.0
+
+
+def test_training_sample_is_bounded_by_bytes(spark):
+    docs = spark.createDataFrame([(i, "x" * (10 + i)) for i in range(50)] + [(3, "short")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int")
+    whole, _ = toxicity.training_sample(docs, labels)
+    part, _ = toxicity.training_sample(docs, labels, max_bytes=300)
+    assert "short" in whole and sum(map(len, part)) <= 300 and 0 < len(part) < len(whole) and set(part) < set(whole)
+
+
 def test_scores_use_text_alone(spark, docs, rows, empty):
     labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(30)] + [(None, 1), (3, None)], "doc_id long, toxic int")
     texts, ys = toxicity.training_sample(docs, labels)
@@ -69,6 +97,30 @@ def test_every_byte_and_wide_files():
         assert image.payload() == payload
 
 
+def test_own_files_by_the_general_decoder(monkeypatch):
+    rng = random.Random(8)
+    payloads = [rng.randbytes(192 * n) for n in (1, 2, 3, 7)] + [b"\xff" * 192, b"\x00" * 384, "Prose, with words. ".encode() * 192]
+    monkeypatch.setattr(media, "MAX_COLUMNS", 2)
+    quick = [media.decode(media.encode(p)) for p in payloads]
+    monkeypatch.setattr(media.Image, "_fixed", lambda *a: False)
+    for payload, image in zip(payloads, quick):
+        plain = media.decode(media.encode(payload))
+        assert plain.payload() == payload and (plain.rgb() == image.rgb()).all() and (plain.h, plain.v) == (2, 2)
+        assert all((a.coefficients == b.coefficients).all() for a, b in zip(plain.components, image.components))
+
+
+def test_feature_by_hand():
+    image = media.decode(media.encode(b"\x80" * 64 + b"\x00" * 128))
+    rgb = image.rgb()
+    told = list(map(int, media.feature(image, rgb).split(",")))
+    values = [[int(v) for v in rgb[:, :, c].ravel()] for c in range(3)]
+    assert told[:2] == [16, 16] and told[2:5] == [sum(v) // 256 for v in values]
+    assert told[5:8] == [sum(x * x for x in v) // 256 - (sum(v) // 256) ** 2 for v in values]
+    assert told[8:32] == [sum(x >> 5 == b for x in v) for v in values for b in range(8)]
+    energy = [sum(int(x) ** 2 for x in image.components[0].coefficients[:, k]) for k in range(64)]
+    assert told[32:] == [sum(energy[a:b]) // 256 for a, b in ((0, 1), (1, 6), (6, 28), (28, 64))]
+
+
 class Writer:
     """A scalar encoder of progressive scans with ordinary Huffman tables, for tests."""
 
@@ -226,7 +278,7 @@ def test_general_progressive_scans(restart, sampling):
 def test_decode_column(spark):
     rows = spark.createDataFrame([(1, media.encode(b"a" * 192)), (2, b"junk"), (3, None)], "id int, media binary")
     got = {r.id: r for r in media.decode_column(rows, "id").collect()}
-    assert got[1].height == 8 and got[1].error is None and "ValueError" in got[2].error and got[3].rgb is None
+    assert got[1].height == 16 and got[1].error is None and "ValueError" in got[2].error and got[3].rgb is None
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="<p>no</p>";</script></head><body>
