@@ -68,6 +68,23 @@ def own_columns(df: DataFrame) -> list[Column]:
     return [df[f"`{c.replace('`', '``')}`"] for c in df.columns]
 
 
+#: Keys of a join that count as hot at most: those of more than this share of the rows.
+HOT_KEYS = 1_000
+
+
+def join_spread(many: DataFrame, one: DataFrame, key: str, n: int, by: Column, how: str = "inner") -> DataFrame:
+    """``many`` (of about ``n`` rows) joined with ``one`` (a row a key), with hot keys dealt to many tasks.
+
+    Keys of over n / HOT_KEYS rows are HOT_KEYS at most, so their table can be broadcast: their rows of
+    ``many`` are dealt by ``by`` (a hash of the row), and their rows of ``one`` are repeated for each share.
+    """
+    share, chunks, salt = max(1, n // HOT_KEYS), fresh("chunks"), fresh("salt")
+    hot = many.groupBy(key).agg(F.count(F.lit(1)).alias(chunks)).where(F.col(chunks) > share).select(key, F.ceil(F.col(chunks) / share).cast("int").alias(chunks))
+    dealt = many.join(F.broadcast(hot), key, "left").withColumn(salt, F.when(F.col(chunks).isNull(), 0).otherwise(F.pmod(by, F.col(chunks))).cast("int"))
+    repeated = one.join(F.broadcast(hot), key, "left").withColumn(salt, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(chunks), F.lit(1)) - 1)))
+    return dealt.drop(chunks).join(repeated.drop(chunks), [key, salt], how).drop(salt)
+
+
 def whole_text(name: str = "text") -> Column:
     """The text column with null read as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -1,17 +1,24 @@
 """SimHash near-duplicates with vantage-point trees over fingerprints.
 
-Fingerprints are compared once per distinct value. Two fingerprints within ``radius`` bits differ in at
-most ``radius // blocks`` bits of one of ``blocks`` bit blocks. For each block there is a forest of
-vantage-point trees under the block's own Hamming distance: every vantage point splits the fingerprints
-into shells by distance, and the shells' numbers down the tree name the shard. By the triangle bound a
-fingerprint's partners lie in shells at most ``radius // blocks`` away, so it is sent to those shards as
-well (boundary overlap; none with radius + 1 blocks). Inside a shard a vantage-point search under the
-full distance finds the exact pairs: only shells within ``radius`` of a fingerprint's own are compared.
-
-A shard yields links from each fingerprint to the first of its component, never all pairs, which keeps
-connectivity whole. Shards with more than MAX_SHARD fingerprints are cut into chunks that meet pairwise
-in tasks of their own. Components are then joined by large-star and small-star passes, which reduce
-neighbourhoods by map-side minima and never gather one.
+Fingerprints are compared once per distinct value. They are partitioned by Hamming distance in two steps.
+
+Two fingerprints within ``radius`` bits differ in at most ``radius // blocks`` bits of one of ``blocks`` bit
+blocks. For each block there is a forest of vantage-point trees under the block's own Hamming distance:
+every vantage point splits the fingerprints into shells by distance, and the shells' numbers down the tree
+name the shard. By the triangle bound a fingerprint's partners lie in shells at most ``radius // blocks`` away,
+so it is sent to those shards as well (boundary overlap; none with radius + 1 blocks, where the bound
+leaves one shell only).
+
+A shard of over MAX_SHARD fingerprints is split further under the whole distance: a vantage point is taken from
+the shard's own fingerprints, the median of their distances is the boundary, and an inner fingerprint less
+than ``radius`` from the boundary is also sent outside, since by the triangle bound only such ones have
+partners there. This goes on while it makes shards smaller; what it cannot split is cut into chunks that
+meet pairwise in tasks of their own.
+
+Inside a shard a vantage-point search under the full distance finds the exact pairs: only shells within
+``radius`` of a fingerprint's own are compared. A shard yields links from each fingerprint to the first of its
+component, never all pairs, which keeps connectivity whole. Components are then joined by large-star and
+small-star passes, which reduce neighbourhoods by map-side minima and never gather one.
 
 With ``similarity`` the bits only find candidates: the documents of each candidate component, one of each
 shingle set, then meet once, and a link needs the similarity (Jaccard) of their sets of shingles (as 64-bit
@@ -28,14 +35,17 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import checkpointed, whole_text
+from .common import checkpointed, fresh, join_spread, own_columns, remove_folder, whole_text, written
 
 RADIUS = 4
 #: Distinct fingerprints of a shard compared by one task at most, and of those a task gathers.
 MAX_SHARD = 20_000
 TASK_ROWS = 20_000
+#: Splits of a shard under the whole distance, one after the other, at most.
+SPLITS = 12
 #: Mean size of a shard that the choice of blocks aims at, and most trees for it; rows compared together.
 SHARD, MAX_TREES, ROWS = 8_192, 100, 64
 #: Shingle sets of a candidate component compared by one task at most, and of those a task gathers.
@@ -280,6 +290,42 @@ def _shards(placed: DataFrame, key: str, most: int) -> DataFrame:
     return placed.withColumn("shard", F.explode(pair)).drop("chunks", key)
 
 
+def split_shards(placed: DataFrame, radius: int, most: int = 0) -> DataFrame:
+    """``placed`` (node, fp, more, path) with shards of over ``most`` split at vantage points of their own.
+
+    Each split takes the fingerprint of least hash as the vantage point and the median distance from it as
+    the boundary; inner fingerprints within ``radius`` of the boundary go to both sides. A shard is left as
+    it is once its larger side would hold over 0.9 of it.
+    """
+    done, most = None, most or MAX_SHARD
+    before = None
+    for _ in range(SPLITS):
+        sizes = placed.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("node"), F.col("fp"))).alias("v"))
+        big = checkpointed(sizes.where(F.col("size") > most).select("path", "size", F.col("v.fp").alias("v")))
+        if big.isEmpty():
+            break
+        known = placed.join(big, "path", "left")
+        distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("v")))
+        shells = known.where("v IS NOT NULL").groupBy("path", "size", distance.alias("d")).agg(F.count(F.lit(1)).alias("c"))
+        upto = F.sum("c").over(W.partitionBy("path").orderBy("d"))
+        edge = shells.withColumn("upto", upto).where(2 * F.col("upto") >= F.col("size")).groupBy("path", "size").agg(F.min(F.struct("d", "upto")).alias("e"))
+        near = shells.join(edge.select("path", F.col("e.d").alias("m")), "path").groupBy("path").agg(F.sum(F.when((F.col("d") <= F.col("m")) & (F.col("d") > F.col("m") - radius), F.col("c")).otherwise(0)).alias("both"))
+        kept = edge.join(near, "path").withColumn("most", F.greatest(F.col("e.upto"), F.col("size") - F.col("e.upto") + F.col("both")))
+        useful = kept.where(F.col("most") <= 0.9 * F.col("size")).select("path", F.col("e.d").alias("m"))
+        known = known.join(useful, "path", "left")
+        rest = known.where("m IS NULL").select("node", "fp", "more", "path")
+        done = rest if done is None else done.unionByName(rest)
+        d, m = distance, F.col("m")
+        sides = F.when(d > m, F.array(F.lit(1))).when(d > m - radius, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        split = known.where("m IS NOT NULL").select("node", "fp", "more", F.explode(sides).alias("side"), F.col("path").alias("above"))
+        placed, at = written(split.select("node", "fp", "more", F.xxhash64("above", "side").alias("path")).distinct())
+        done = checkpointed(done)
+        if before is not None:
+            remove_folder(placed.sparkSession, before)
+        before = at
+    return placed if done is None else done.unionByName(placed)
+
+
 def links(fps: DataFrame, radius: int = RADIUS, more_radius: int = 0, overlap: int = 0) -> DataFrame:
     """Links (a, b) of nodes that connect the same nodes as all pairs within ``radius`` do; ``fps``: node, fp, more."""
     n = fps.count()
@@ -297,7 +343,7 @@ def links(fps: DataFrame, radius: int = RADIUS, more_radius: int = 0, overlap: i
         else:
             trees.append(F.array(path))
     placed = fps.select("node", "fp", "more", F.explode(F.concat(*trees)).alias("path"))
-    dealt = _shards(placed, "path", MAX_SHARD)
+    dealt = _shards(split_shards(placed, radius), "path", MAX_SHARD)
     tasks = max(1, n * len(masks) // TASK_ROWS)
     return (
         dealt.withColumn("task", F.pmod("shard", F.lit(tasks)))
@@ -309,11 +355,15 @@ def links(fps: DataFrame, radius: int = RADIUS, more_radius: int = 0, overlap: i
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of an edge, by star contraction.
 
-    Every pass halves the distances to the minimum roughly; it ends when a pass changes nothing.
+    Every pass halves the distances to the minimum roughly. It ends when the edges are stars: no node has
+    two edges to smaller ones, and none has both smaller and larger ones. Each pass's files go when the
+    next one's are written.
     """
-    edges = checkpointed(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    state = None
+    edges, at = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     while True:
+        ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        if ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR up = 1 AND down = 1").isEmpty():
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # Large star: each larger neighbour is tied to the node's minimum.
@@ -322,11 +372,9 @@ def components(edges: DataFrame) -> DataFrame:
         small_least = large.groupBy("u").agg(F.min("v").alias("m"))
         tied = large.join(small_least, "u")
         small = tied.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small_least.select("u", F.col("m").alias("v")))
-        edges = checkpointed(small.distinct())
-        new = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
-        if new == state:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        state = new
+        before = at
+        edges, at = written(small.distinct())
+        remove_folder(edges.sparkSession, before)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = RADIUS, similarity: float | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -377,23 +425,28 @@ def cluster(marked: DataFrame, radius: int = RADIUS, more_radius: int = 0) -> Da
 
 
 def named(marked: DataFrame, found: DataFrame) -> DataFrame:
-    """(doc_id, fp, text_hash, component_id) from (doc_id, text_hash, node, fp) and the nodes' components."""
+    """(doc_id, fp, text_hash, root, component_id) from (doc_id, text_hash, node, fp) and the nodes' components."""
+    n = marked.count()
     distinct = marked.groupBy("node").agg(F.min("doc_id").alias("least"))
-    found = found.withColumnRenamed("node", "linked")
-    roots = distinct.join(found, distinct["node"] == found["linked"], "left").select("node", "least", F.coalesce("component", "node").alias("root"))
-    smallest = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_node = roots.join(smallest, "root").select("node", "root", "component_id")
-    return marked.join(by_node, "node").select("doc_id", "fp", "text_hash", "root", "component_id")
+    linked = found.select("node", "component").unionByName(found.select(F.col("component").alias("node"), "component")).distinct()
+    members = checkpointed(distinct.join(linked, "node"))
+    smallest = members.groupBy("component").agg(F.min("least").alias("smallest"))
+    told = join_spread(members, smallest, "component", members.count(), F.xxhash64("node")).select("node", F.col("component").alias("root"), "smallest")
+    by_node = distinct.join(told.withColumn("told", F.lit(True)), "node", "left").select(
+        "node", F.coalesce("root", "node").alias("root"), F.when(F.col("told"), F.col("smallest")).otherwise(F.col("least")).alias("component_id")
+    )
+    return join_spread(marked, by_node, "node", n, F.xxhash64("doc_id", "text_hash")).select("doc_id", "fp", "text_hash", "root", "component_id")
 
 
-def one_of_each(docs: DataFrame, shingle: int = 5, radius: int = 16, similarity: float = 0.8) -> DataFrame:
-    """The documents with one of each near-duplicate component kept, with their own columns.
+def one_of_each(docs: DataFrame, shingle: int = 5, radius: int = 16, similarity: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents with one of each near-duplicate component kept, with their own columns, whatever their names.
 
-    The row of the smallest doc_id stays (of several, that of the smallest text hash; a null doc_id comes
-    last); of rows that repeat it whole, one.
+    The smallest doc_id stays (of several texts with it, that of the smallest text hash; a null doc_id comes
+    last). Rows with the same doc_id and text are one document: one of them stays, whatever else they hold. Null
+    and empty texts are copies of each other; very long texts are read whole; an empty table gives no rows.
     """
-    last = F.lit((1 << 63) - 1)
-    clusters = near_duplicates(docs, shingle, radius, similarity).withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), last))
-    kept = clusters.groupBy("root").agg(F.min(F.struct("_id", "text_hash")).alias("k")).select("k._id", F.col("k.text_hash").alias("_hash"))
-    own = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), last), "_hash": F.xxhash64(whole_text())})
-    return own.join(kept, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"]).select(*docs.columns)
+    last, name, digest = F.lit((1 << 63) - 1), fresh("id"), fresh("hash")
+    clusters = near_duplicates(docs, shingle, radius, similarity, key, text).withColumn(name, F.coalesce(F.col("doc_id").cast("long"), last))
+    kept = clusters.groupBy("root").agg(F.min(F.struct(name, "text_hash")).alias("k")).select(f"k.{name}", F.col("k.text_hash").alias(digest))
+    own = docs.select(*own_columns(docs), F.coalesce(F.col(key).cast("long"), last).alias(name), F.xxhash64(whole_text(text)).alias(digest))
+    return own.join(kept, [name, digest], "left_semi").dropDuplicates([name, digest]).drop(name, digest)

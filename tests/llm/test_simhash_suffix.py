@@ -43,6 +43,8 @@ def test_components_of_documents(docs, rows, empty):
     assert simhash.near_duplicates(empty).count() == 0
     kept = simhash.one_of_each(docs)
     ids = [r.doc_id for r in kept.select("doc_id").collect()]
+    named = {(r.doc_id, r.text): r for r in docs.collect()}
+    assert all(named[r.doc_id, r.text] == r for r in kept.collect())
     assert kept.columns == docs.columns and len(ids) == len(set(ids)) and 4 in ids and not {5, 6, 7, None} & set(ids) and 0 in ids and 1 not in ids and 20 in ids
 
 
@@ -84,6 +86,26 @@ def test_trees_find_all_links(spark, monkeypatch):
         assert sorted(map(sorted, got.values())) == sorted(map(sorted, groups.values()))
 
 
+def test_shards_split_at_their_own_vantage_points(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    points = np.unique(np.concatenate([clustered(200, 9), rng.integers(0, 1 << 63, 400, dtype=np.uint64)]))
+    fps = spark.createDataFrame([(int(p), int(p), b"", 7) for p in points.view(np.int64)], "node long, fp long, more binary, path long")
+    split = simhash.split_shards(fps, 4, most=300).collect()
+    shards = defaultdict(set)
+    for r in split:
+        shards[r.path].add(r.node)
+    # Smaller shards, overlapping ones, and every pair within the radius in some shard.
+    assert len(shards) > 2 and max(map(len, shards.values())) < len(points) and len(points) < sum(map(len, shards.values())) < 4 * len(points)
+    signed = [int(p) for p in points.view(np.int64)]
+    for i, p in enumerate(signed):
+        for q in signed[:i]:
+            if bin((p ^ q) & (1 << 64) - 1).count("1") <= 4:
+                assert any(p in s and q in s for s in shards.values())
+    # One value of distance cannot be split; the shard stays whole.
+    same = spark.createDataFrame([(i, 5, b"", 1) for i in range(40)], "node long, fp long, more binary, path long")
+    assert {r.path for r in simhash.split_shards(same, 4, most=10).collect()} == {1}
+
+
 def test_block_masks_cover_and_scale():
     for n in (10, 10**6, 10**9):
         for radius in (4, 12):
