@@ -13,12 +13,14 @@ drops out as early as possible:
    travel as sorted runs of 32 bits, one run for each bucket and block of documents.
 2. Context. For the anchors that remain, the bytes of their windows (at most 2 WINDOW - GRAM) are sent once
    per block of documents and distinct content, with the smallest doc_id, and are bucketed by anchor.
-3. Radix passes. A bucket expands its contexts to windows and sorts them by two digits of half a window;
-   groups of one leave after each pass. The windows of each context that an earlier document has go back to
-   its block as a bit mask.
-
-An anchor that occurs more than HOT times sends its distinct windows instead, bucketed by the whole
-window, so that no bucket gathers what a frequent line or passage has around it. Copies inside a block
+3. Radix passes. A bucket expands its contexts to windows and sorts them by their bytes, eight a pass from
+   the first on. After each pass groups of one leave, and so do groups that agree in all bytes still to come:
+   what is equal in the end are the repeated windows, byte by byte. The windows of each context that an
+   earlier document has go back to its block as a bit mask, by the context's place in what the block sent.
+
+An anchor that occurs more than HOT times sends its distinct windows instead, as two 64-bit digits, bucketed
+by the first, so that no bucket gathers what a frequent line or passage has around it; those windows are
+equal if both digits are (128 bits). Copies inside a block
 are settled there. Blocks are documents dealt by a hash of doc_id, so hot sources spread evenly; documents are
 shuffled once, and the three steps that read blocks reuse that exchange.
 """
@@ -158,12 +160,26 @@ def _windows(context: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[
     return d1, d2, row, place
 
 
-def _firsts(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, the least doc of each, and each row's number among them."""
-    distinct, inverse = np.unique(key, return_inverse=True)
-    least = np.full(len(distinct), LAST, np.int64)
+def _distinct(context: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The row of the first of each distinct context (with its range of windows), and each row's number among them.
+
+    Found by a 64-bit hash; should two different contexts share one, by the bytes themselves.
+    """
+    _, one, inverse = np.unique(_context_key(context, first, last), return_index=True, return_inverse=True)
+    for i in range(0, len(context), SLICE):
+        part, other = slice(i, i + SLICE), one[inverse[i : i + SLICE]]
+        if not ((context[part] == context[other]).all() and (first[part] == first[other]).all() and (last[part] == last[other]).all()):
+            whole = np.ascontiguousarray(np.concatenate([context, first[:, None], last[:, None]], axis=1))
+            _, one, inverse = np.unique(whole.view(np.dtype((np.void, whole.shape[1]))).ravel(), return_index=True, return_inverse=True)
+            break
+    return one, inverse
+
+
+def _least_docs(n: int, inverse: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """The least doc of each of n distinct things."""
+    least = np.full(n, LAST, np.int64)
     np.minimum.at(least, inverse, doc)
-    return distinct, least, inverse
+    return least
 
 
 def _trimmed(rows: pd.DataFrame) -> pd.DataFrame:
@@ -238,40 +254,87 @@ def _flagged(texts: Texts, flags: pd.DataFrame, bits: int) -> tuple[np.ndarray,
     return chosen, heat[place[chosen]] > 0
 
 
+class Sent:
+    """What a block sends of its repeated anchors, in an order that it finds again when the answers come."""
+
+    def __init__(self, texts: Texts, flags: pd.DataFrame, bits: int):
+        chosen, hot = _flagged(texts, flags, bits)
+        self.own, self.hot = chosen[~hot], chosen[hot]
+        self.context, self.first, self.last = texts.contexts(self.own)
+        one, inverse = _distinct(self.context, self.first, self.last)
+        least = _least_docs(len(one), inverse, texts.doc[self.own])
+        bucket = (texts.hash[self.own][one] >> np.uint64(64 - bits)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        #: By distinct context, sorted by bucket: a row that has it, its least doc, its bucket; and each row's number among them.
+        self.one, self.least, self.bucket, self.inverse = one[order], least[order], bucket[order], place[inverse]
+
+    def hot_windows(self, texts: Texts, bits: int) -> None:
+        """Of hot anchors the distinct windows, sorted: both digits, bucket, least doc; and of all windows their number and place."""
+        context, first, last = texts.contexts(self.hot)
+        d1, d2, row, place = _windows(context, first, last)
+        order = np.lexsort((d2, d1))
+        new = np.ones(len(order), bool)
+        new[1:] = (d1[order][1:] != d1[order][:-1]) | (d2[order][1:] != d2[order][:-1])
+        self.window = np.empty(len(order), np.int64)
+        self.window[order] = np.cumsum(new) - 1
+        self.d1, self.d2 = d1[order][new], d2[order][new]
+        self.window_bucket = (self.d1 >> np.uint64(64 - bits)).astype(np.int64)
+        self.window_least = _least_docs(len(self.d1), self.window, texts.doc[self.hot[row]])
+        self.window_at = texts.at[self.hot[row]] - (WINDOW - GRAM) + place
+
+
 def send_contexts(rows: pd.DataFrame, flags: pd.DataFrame, bits: int) -> pd.DataFrame:
     """A block's distinct contexts by anchor bucket, or distinct windows by window bucket for hot anchors."""
     if not len(rows) or not len(flags):
         return _rows([])
     texts, block, out = Texts(rows), int(rows["block"].iloc[0]), []
-    chosen, hot = _flagged(texts, flags, bits)
-    own = chosen[~hot]
-    context, first, last = texts.contexts(own)
-    key, least, inverse = _firsts(_context_key(context, first, last), texts.doc[own])
-    one = np.zeros(len(key), np.int64)
-    one[inverse] = np.arange(len(own))
-    bucket = (texts.hash[own][one] >> np.uint64(64 - bits)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    one, least = one[order], least[order]
-    for b, s in _runs(bucket[order]):
-        pick = one[s]
-        out.append((b, block, 0, context[pick].tobytes(), np.stack([first[pick], last[pick]], axis=1).tobytes(), least[s].tobytes()))
-    one_d, two_d, _, _, least = _hot_windows(texts, chosen[hot])
-    bucket = (one_d >> np.uint64(64 - bits)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    for b, s in _runs(bucket[order]):
-        pick = order[s]
-        out.append((b, block, 1, one_d[pick].tobytes(), two_d[pick].tobytes(), least[pick].tobytes()))
+    sent = Sent(texts, flags, bits)
+    for b, s in _runs(sent.bucket):
+        pick = sent.one[s]
+        out.append((b, block, 0, sent.context[pick].tobytes(), np.stack([sent.first[pick], sent.last[pick]], axis=1).tobytes(), sent.least[s].tobytes()))
+    sent.hot_windows(texts, bits)
+    for b, s in _runs(sent.window_bucket):
+        out.append((b, block, 1, sent.d1[s].tobytes(), sent.d2[s].tobytes(), sent.window_least[s].tobytes()))
     return _trimmed(_rows(out))
 
 
-def _hot_windows(texts: Texts, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct windows of hot runs: both digits, (all windows' number, place in the texts), least doc."""
-    context, first, last = texts.contexts(chosen)
-    d1, d2, row, place = _windows(context, first, last)
-    key, least, inverse = _firsts(d1 ^ _mixed(d2), texts.doc[chosen[row]])
-    one = np.zeros(len(key), np.int64)
-    one[inverse] = np.arange(len(d1))
-    return d1[one], d2[one], inverse, texts.at[chosen[row]] - (WINDOW - GRAM) + place, least
+def sorted_windows(context: np.ndarray, first: np.ndarray, last: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """A bit mask of each context's windows that an equal window of a smaller doc precedes, by digit passes over their bytes."""
+    k = np.arange(WINDOW - GRAM + 1)
+    row, place = np.nonzero((k >= first[:, None]) & (k <= last[:, None]))
+    digits = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(context, 8, axis=1)).view(">u8")[..., 0].astype(np.uint64)
+    offsets = [*range(0, WINDOW - 8, 8), WINDOW - 8]
+    masks = np.zeros(len(context), np.uint32)
+    live, group = np.arange(len(row)), np.zeros(len(row), np.uint64)
+    for n, offset in enumerate(offsets):
+        digit = digits[row[live], place[live] + offset]
+        # Groups are numbered in 32 bits, so that half a digit fits beside the number.
+        for shift in (0,) if n == 0 else (32, 0):
+            value = digit if n == 0 else group << np.uint64(32) | digit >> np.uint64(shift) & np.uint64(0xFFFFFFFF)
+            order = np.argsort(value)
+            live, value, digit = live[order], value[order], digit[order]
+            start = np.ones(len(live), bool)
+            start[1:] = value[1:] != value[:-1]
+            size = np.diff(np.append(np.flatnonzero(start), len(live)))
+            several = np.repeat(size > 1, size)
+            live, digit, start = live[several], digit[several], start[several]
+            group = (np.cumsum(start) - 1).astype(np.uint64)
+        if not len(live):
+            break
+        starts = np.flatnonzero(start)
+        head, same = live[starts][group.astype(np.int64)], np.ones(len(live), bool)
+        for later in offsets[n + 1 :]:
+            same &= digits[row[live], place[live] + later] == digits[row[head], place[head] + later]
+        equal = np.logical_and.reduceat(same, starts)
+        least = np.minimum.reduceat(doc[row[live]], starts)
+        g = group.astype(np.int64)
+        found = live[equal[g] & (doc[row[live]] > least[g])]
+        np.bitwise_or.at(masks, row[found], np.uint32(1) << place[found].astype(np.uint32))
+        live, g = live[~equal[g]], g[~equal[g]]
+        group = (np.cumsum(np.diff(g, prepend=-1) != 0) - 1).astype(np.uint64)
+    return masks
 
 
 def radix(d1: np.ndarray, d2: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -315,7 +378,7 @@ def _by_anchor(context: np.ndarray):  # noqa: ANN202
 
 
 def sort_bucket(rows: pd.DataFrame) -> pd.DataFrame:
-    """The windows of each row of a bucket that an earlier document has, as masks by context or as window keys."""
+    """Of each row of a bucket the places of contexts with windows that an earlier document has, and their masks (of hot windows, 1)."""
     out = []
     for kind, own in rows.groupby("kind"):
         sizes = [len(c) // 8 for c in own["c"]]
@@ -324,38 +387,27 @@ def sort_bucket(rows: pd.DataFrame) -> pd.DataFrame:
         if kind == 0:
             context = np.frombuffer(b"".join(own["a"]), np.uint8).reshape(len(doc), -1)
             first, last = np.frombuffer(b"".join(own["b"]), np.uint8).reshape(-1, 2).T
-            key, result = _context_key(context, first, last), np.zeros(len(doc), np.uint32)
+            result = np.zeros(len(doc), np.uint32)
             for part in _by_anchor(context):
-                d1, d2, row, place = _windows(context[part], first[part], last[part])
-                later = radix(d1, d2, doc[part][row])
-                masks = np.zeros(len(part), np.uint32)
-                np.bitwise_or.at(masks, row[later], np.uint32(1) << place[later].astype(np.uint32))
-                result[part] = masks
+                result[part] = sorted_windows(context[part], first[part], last[part], doc[part])
         else:
             d1 = np.frombuffer(b"".join(own["a"]), np.uint64)
             d2 = np.frombuffer(b"".join(own["b"]), np.uint64)
             result = radix(d1, d2, doc).astype(np.uint32)
-            key = d1 ^ _mixed(d2)
         for bucket, block, a, b in zip(own["bucket"], own["block"], bounds[:-1], bounds[1:]):
-            told = result[a:b] > 0
-            if told.any():
-                out.append((bucket, block, 1 + kind, key[a:b][told].tobytes(), result[a:b][told].tobytes(), None))
+            told = np.flatnonzero(result[a:b]).astype(np.uint32)
+            if len(told):
+                out.append((bucket, block, 1 + kind, told.tobytes(), result[a:b][told].tobytes(), None))
     return _trimmed(_rows(out))
 
 
-def _answers(flags: pd.DataFrame, kind: int) -> tuple[np.ndarray, np.ndarray]:
+def _answers(flags: pd.DataFrame, kind: int, bucket: np.ndarray) -> np.ndarray:
+    """The answer to each thing that was sent, 0 where there is none; ``bucket``: theirs, sorted."""
+    result = np.zeros(len(bucket), np.uint32)
     own = flags[flags["kind"] == kind]
-    key = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(a, np.uint64) for a in own["a"])])
-    value = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(b, np.uint32) for b in own["b"])])
-    order = np.argsort(key)
-    return key[order], value[order]
-
-
-def _looked_up(key: np.ndarray, known: np.ndarray, value: np.ndarray) -> np.ndarray:
-    if not len(known):
-        return np.zeros(len(key), np.uint32)
-    place = np.minimum(np.searchsorted(known, key), len(known) - 1)
-    return np.where(known[place] == key, value[place], 0).astype(np.uint32)
+    for b, a, v in zip(own["bucket"], own["a"], own["b"]):
+        result[np.searchsorted(bucket, b) + np.frombuffer(a, np.uint32).astype(np.int64)] = np.frombuffer(v, np.uint32)
+    return result
 
 
 def remove(rows: pd.DataFrame, flags: pd.DataFrame, bits: int) -> pd.DataFrame:
@@ -365,25 +417,23 @@ def remove(rows: pd.DataFrame, flags: pd.DataFrame, bits: int) -> pd.DataFrame:
     texts = Texts(rows)
     n = len(texts.bytes)
     edges = np.zeros(n + 1, np.int32)
-    chosen, hot = _flagged(texts, flags[flags["kind"] == 0], bits)
+    sent = Sent(texts, flags[flags["kind"] == 0], bits)
     covered = [np.zeros(0, np.int64)]
-    own = chosen[~hot]
+    own, first, last = sent.own, sent.first, sent.last
     if len(own):
-        context, first, last = texts.contexts(own)
-        key, least, inverse = _firsts(_context_key(context, first, last), texts.doc[own])
-        mask = _looked_up(key, *_answers(flags, 1))[inverse]
-        mask = np.where(texts.doc[own] > least[inverse], np.uint32(0xFFFFFFFF), mask)
-        del context
+        mask = _answers(flags, 1, sent.bucket)[sent.inverse]
+        mask = np.where(texts.doc[own] > sent.least[sent.inverse], np.uint32(0xFFFFFFFF), mask)
+        del sent.context
         k = np.arange(WINDOW - GRAM + 1)
         for i in range(0, len(own), SLICE):
             part = slice(i, i + SLICE)
             row, place = np.nonzero((mask[part, None] >> k.astype(np.uint32) & 1 > 0) & (k >= first[part, None]) & (k <= last[part, None]))
             covered.append(texts.at[own[part][row]] - (WINDOW - GRAM) + place)
-    if hot.any():
-        d1, d2, inverse, at, least = _hot_windows(texts, chosen[hot])
-        later = _looked_up(d1 ^ _mixed(d2), *_answers(flags, 2))[inverse] > 0
-        doc = texts.doc_id[np.searchsorted(texts.start, at, side="right") - 1]
-        covered.append(at[later | (doc > least[inverse])])
+    if len(sent.hot):
+        sent.hot_windows(texts, bits)
+        later = _answers(flags, 2, sent.window_bucket)[sent.window] > 0
+        doc = texts.doc_id[np.searchsorted(texts.start, sent.window_at, side="right") - 1]
+        covered.append(sent.window_at[later | (doc > sent.window_least[sent.window])])
     for at in covered:
         np.add.at(edges, at, 1)
         np.add.at(edges, at + WINDOW, -1)
