@@ -6,7 +6,7 @@ walking the successors of its size until one is compatible. A bin carries bitmap
 duplicate cluster it has (two copies never share a bin), and for each source one bit in each of
 ``per_source`` layers (a bin holds at most that many pieces of a source).
 
-Packing is sequential, so pieces are dealt at random (by hash) into groups of about GROUP_ROWS, each packed by
+Packing is sequential, so pieces are dealt at random (by hash) into groups of about GROUP_ROWS pieces, each packed by
 itself: a hot source or cluster is spread evenly over the groups, and each group's last bins are the
 only loss. Only keys and lengths are shuffled, never texts.
 """
@@ -88,15 +88,16 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE
     shorter, so the pieces of a document cover it whole. ``cluster`` names a column of duplicate clusters;
     without it, equal texts are a cluster. Pieces of one document are no copies of each other, but their
     bins obey the source rule. Nulls: a null text has length 1 (the separator), a null source is a source
-    of its own, a null cluster is a cluster of its own document. Repeated rows are packed each. An empty table
-    gives no rows; other columns are ignored.
+    of its own, a null cluster is a cluster of its own document. Repeated rows are packed each; very long texts
+    are cut into as many pieces as they need; pieces of equal length are placed in the order of a hash, then of
+    doc_id and piece. An empty table gives no rows; other columns are ignored, whatever their names.
     """
     whole = whole_text(text)
     by_cluster = F.xxhash64(F.lit("t"), whole) if cluster is None else F.coalesce(F.xxhash64(F.lit("c"), F.when(F.col(cluster).isNotNull(), F.col(cluster).cast("string"))), F.lit(0))
     if cluster is not None:
         by_cluster = F.when(F.col(cluster).isNull(), F.xxhash64(F.lit("d"), key)).otherwise(by_cluster)
-    n = docs.count()
-    groups = max(1, n // GROUP_ROWS)
+    n = docs.agg(F.sum(F.ceil((F.octet_length(whole) + 1) / capacity))).first()[0] or 0
+    groups = max(1, int(n) // GROUP_ROWS)
     rows = docs.select(
         F.col(key).cast("long").alias("doc_id"),
         (F.octet_length(whole) + 1).cast("long").alias("size"),
