@@ -37,15 +37,16 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark windows in each whole document."""
-    out = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    """Benchmark windows in each whole document, as phrases and, in n_near_items, within 20 words."""
+    out = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), within=2 * decontam.WINDOW)
     return out.select(
         "doc_id",
-        F.col("_n_words").alias("n_words"),
-        F.col("_n_hit").alias("n_hit"),
-        F.size("_items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("_items", ",").cast("binary"), 256).alias("items_sha256"),
-        (F.col("_n_hit") > 0).alias("contaminated"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near").cast("long").alias("n_near_items"),
     )
 
 

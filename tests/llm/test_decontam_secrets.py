@@ -28,34 +28,61 @@ def test_windows_by_brute_force(spark, docs, rows, empty):
     items = [("7", " ".join(long[100:130])), ("12", "One"), ("3", " ".join(long[5:9]).upper()), ("e", ""), ("n", None), (None, "er er er"), ("7", " ".join(long[100:130])), ("é", rows[4][1][20:300])]
     items += [(f"r{i}", " ".join(rng.choice(["th", "er", "on"]) for _ in range(rng.randint(1, 4)))) for i in range(10)]
     bench = spark.createDataFrame(items, "item_id string, text string")
-    got = decontam.decontaminate(docs, bench, window=4).select("doc_id", "text", "_n_words", "_n_hit", "_items").collect()
-    assert len(got) == len(rows)
+    got = decontam.decontaminate(docs, bench, window=4, within=7).collect()
+    texts = sorted(((r[0] is None, r[0], r[1] or "") for r in rows), key=str)
+    mine = sorted(((r.doc_id is None, r.doc_id, r.n_words, r.n_hit, r["items"], r.near) for r in got), key=str)
+    want = sorted(((none, i, *brute(t, items, 4), brute_near(t, items, 4, 7)) for none, i, t in texts), key=str)
+    assert mine == want and any(n > h for (*_, h, n) in ((r.n_words, len(r["items"]), len(r.near)) for r in got))
     for r in got:
-        assert (r._n_words, r._n_hit, r._items) == brute(r.text, items, 4)
+        bits = "".join(f"{b:08b}" for b in r.hits)
+        assert bits.count("1") == r.n_hit and len(bits) == (8 * -(-r.n_words // 8) if r.n_hit else 0)
     clean = decontam.clean(docs, bench)
-    assert clean.columns == docs.columns and clean.count() == sum(not r._items for r in got)
+    assert clean.columns == docs.columns and clean.count() == sum(not r.n_hit for r in decontam.decontaminate(docs, bench).collect())
+    whole = {(r.doc_id, r.text): r for r in docs.collect()}
+    assert all(whole[r.doc_id, r.text] == r for r in clean.collect())
     assert decontam.decontaminate(empty, bench).count() == 0
     assert decontam.clean(docs, bench.limit(0)).count() == len(rows)
 
 
+def brute_near(text, items, size, within):
+    w, found = folded(text), set()
+    for name, t in items:
+        q = folded(t)
+        for k in range(max(1, len(q) - size + 1)) if q else ():
+            need = set(q[k : k + size])
+            if any(need <= set(w[s : s + within]) for s in range(len(w))):
+                found.add(name or "")
+    return sorted(found)
+
+
 def test_blocks_of_the_benchmark_and_proximity(spark, monkeypatch):
-    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "f x e x d"), (3, "nothing")], "doc_id long, text string")
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "f x e x d"), (3, "nothing"), (3, "nothing")], "doc_id long, text string")
     bench = spark.createDataFrame([("i", "d e f"), ("j", "a b")], "item_id string, text string")
-    one = [tuple(r) for r in decontam.decontaminate(docs, bench, within=5).select("doc_id", "_n_hit", "_items", "_near").orderBy("doc_id").collect()]
-    assert one == [(1, 5, ["i", "j"], ["i", "j"]), (2, 0, [], ["i"]), (3, 0, [], [])]
+    told = lambda: [(r.doc_id, r.n_hit, r["items"], r.near) for r in decontam.decontaminate(docs, bench, within=5).orderBy("doc_id").collect()]
+    one = told()
+    assert one == [(1, 5, ["i", "j"], ["i", "j"]), (2, 0, [], ["i"]), (3, 0, [], []), (3, 0, [], [])]
     monkeypatch.setattr(decontam, "BLOCK_BYTES", 8)
-    many = decontam.decontaminate(docs, bench, within=5).select("doc_id", "_n_hit", "_items", "_near").orderBy("doc_id").collect()
-    assert [(r[0], r[1], r[2], sorted(r[3])) for r in many] == one
+    assert told() == one
 
 
-def test_many_candidates_are_cut(monkeypatch):
+def test_seeds_and_lists_in_parts(monkeypatch):
     import pandas as pd
 
-    monkeypatch.setattr(decontam, "CANDIDATES", 7)
-    vocabulary, windows = decontam.windows_of([("x", "a b a b"), ("y", "b a b")], 3)
-    index = pd.DataFrame([decontam.post("a b " * 40, vocabulary), decontam.post("b", vocabulary)], columns=["n_words", "terms", "starts", "positions"])
-    got = decontam.search(index, windows, len(vocabulary))
-    assert list(got["items"]) == [["x", "y"], []]
+    rng = random.Random(9)
+    w = decontam.Windows([("x", "a b a b"), ("y", "b a b"), ("z", "c"), ("q", "a c c b"), ("v", "no such")], 3)
+    texts = [" ".join(rng.choice("abcx") for _ in range(rng.randint(0, 60))) for _ in range(20)]
+    frame = pd.DataFrame({"row": range(20), "id": None, "h1": 0, "h2": 0, "text": texts})
+    results = []
+    for monkeypatch_to in (7, 1 << 21):
+        monkeypatch.setattr(decontam, "CANDIDATES", monkeypatch_to)
+        lists, docs = decontam.segments([frame], w.vocabulary, 5)
+        frequency = lists.groupby("term")["n"].sum().reindex(range(len(w.vocabulary) + 1), fill_value=0).to_numpy()
+        w.rank(frequency)
+        seeded = decontam.seeds(lists[lists["term"].isin(w.first_terms())], w, 5)
+        done = decontam.told(docs, decontam.verified(seeded, lists, w, 5), w)
+        results.append([(r.n_hit, r.items, r.near) for r in done.itertuples()])
+    items = [("x", "a b a b"), ("y", "b a b"), ("z", "c"), ("q", "a c c b"), ("v", "no such")]
+    assert results[0] == results[1] == [(*brute(t, items, 3)[1:], brute_near(t, items, 3, 5)) for t in texts]
 
 
 def test_base_patterns_and_novelty():

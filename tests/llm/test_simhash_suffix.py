@@ -174,6 +174,31 @@ def test_hot_anchors_and_chunks_give_the_same():
     suffix_dedup.HOT, suffix_dedup.CHUNK, suffix_dedup.SLICE = keep
 
 
+def test_byte_passes_and_exact_contexts(monkeypatch):
+    rng = np.random.default_rng(2)
+    width, reach = 2 * suffix_dedup.WINDOW - suffix_dedup.GRAM, suffix_dedup.WINDOW - suffix_dedup.GRAM
+    # Windows that share long beginnings, ends or all but one byte; the anchors are not looked at here.
+    base = rng.integers(97, 99, (4, width), dtype=np.uint8)
+    context = base[rng.integers(0, 4, 300)]
+    spots = rng.integers(0, width, 300)
+    context[np.arange(300), spots] ^= rng.integers(0, 2, 300, dtype=np.uint8)
+    first = rng.integers(0, reach, 300, dtype=np.uint8)
+    last = (first + rng.integers(0, reach + 1 - first)).astype(np.uint8)
+    doc = rng.integers(0, 90, 300)
+    least = {}
+    window = lambda i, k: context[i, k : k + suffix_dedup.WINDOW].tobytes()
+    for i in range(300):
+        for k in range(first[i], last[i] + 1):
+            least[window(i, k)] = min(least.get(window(i, k), 1 << 60), doc[i])
+    want = [sum(1 << k for k in range(first[i], last[i] + 1) if doc[i] > least[window(i, k)]) for i in range(300)]
+    assert suffix_dedup.sorted_windows(context, first, last, doc).tolist() == want and 0 < sum(map(bool, want)) < 300
+    one, inverse = suffix_dedup._distinct(context, first, last)
+    monkeypatch.setattr(suffix_dedup, "_context_key", lambda c, f, g: c[:, 0].astype(np.uint64))  # hashes that collide
+    two, other = suffix_dedup._distinct(context, first, last)
+    same = lambda inv: {frozenset(np.flatnonzero(inv == x).tolist()) for x in range(inv.max() + 1)}
+    assert same(inverse) == same(other) and len(one) == len(two) == len({(window(i, 0), context[i].tobytes(), first[i], last[i]) for i in range(300)})
+
+
 def test_radix_passes():
     d1, d2, doc = np.array([1, 1, 1, 2], np.uint64), np.array([5, 5, 6, 5], np.uint64), np.array([4, 3, 1, 0])
     assert suffix_dedup.radix(d1, d2, doc).tolist() == [True, False, False, False]
