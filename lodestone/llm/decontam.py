@@ -1,7 +1,8 @@
 """Benchmark decontamination with a stored, distributed positional inverted index.
 
 ``build_index`` cuts the documents into segments (one Arrow batch each) and stores, for every segment and every
-term of the benchmark's vocabulary that occurs in it, the sorted list of the term's word positions. The lists
+term of the benchmark's vocabulary that occurs in it, the sorted list of the term's word positions (in rows of
+ROW_POSTINGS). The lists
 are written to the shared folder, ranged by (term, segment) and sorted, so that a frequent term is spread over
 many files; the documents' lengths are stored beside them. Words that the benchmark lacks can match nothing
 and are not stored.
@@ -33,8 +34,8 @@ WINDOW = 10
 BLOCK_BYTES = 8 << 20
 #: Candidates looked at together, which bounds memory.
 CANDIDATES = 1 << 21
-#: Postings in one file of the index, roughly.
-FILE_POSTINGS = 4_000_000
+#: Postings in one file of the index, roughly, and in one row: rows of a bounded size spread evenly by their number.
+FILE_POSTINGS, ROW_POSTINGS = 1_000_000, 1_024
 
 #: Bytes outside words become spaces, A-Z become a-z; bytes of non-ASCII characters belong to words.
 FOLD = bytes((i + 32 if 0x41 <= i <= 0x5A else i if 0x30 <= i <= 0x39 or 0x61 <= i <= 0x7A or i >= 0x80 else 0x20) for i in range(256))
@@ -134,6 +135,8 @@ def segments(batches, vocabulary: dict[bytes, int], gap: int):  # noqa: ANN001,
         order = np.argsort(terms, kind="stable")
         terms, places = terms[order], places[order]
         cuts = np.flatnonzero(np.diff(terms, prepend=-1, append=-1)) if len(terms) else np.zeros(1, np.int64)
+        long = np.flatnonzero(np.diff(cuts) > ROW_POSTINGS)
+        cuts = np.sort(np.concatenate([cuts, *(np.arange(cuts[i] + ROW_POSTINGS, cuts[i + 1], ROW_POSTINGS) for i in long)]))
         lists = pd.DataFrame({"term": terms[cuts[:-1]], "n": np.diff(cuts).astype(np.int32), "positions": [places[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]})
         lists = lists.assign(kind=1, segment=segment, id=None, **{c: pd.array([None] * len(lists), "Int64") for c in ("row", "h1", "h2", "start", "n_words")})
         yield lists[_columns(STORED)]
