@@ -1,18 +1,33 @@
 """Helpers shared by the corpus operators.
 
 Batches that go to Python workers are bounded by Spark itself: at most 10,000 rows and 64 MiB of data (its
-defaults), so a batch of long texts is cut by bytes. No operator changes an option of the caller's session.
+defaults), so a batch of long texts is cut by bytes. Operators that run their steps at once (they write them
+to the shared folder) take smaller batches meanwhile, and leave the caller's session as it was.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of ``rows`` rows at most for what is run inside; the session's own option comes back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the input folder, through Spark's reader (the folder may be in any store)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

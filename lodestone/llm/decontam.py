@@ -27,13 +27,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, fresh, own_columns, remove_folder, whole_text, written
+from .common import batch_rows, checkpointed, fresh, own_columns, remove_folder, whole_text, written
 
 WINDOW = 10
 #: Benchmark text bytes in one block; a larger benchmark takes more blocks.
 BLOCK_BYTES = 8 << 20
 #: Candidates looked at together, which bounds memory.
-CANDIDATES = 1 << 21
+CANDIDATES = 1 << 18
+#: Documents of a segment at most (and 64 MiB of text).
+SEGMENT_ROWS = 4_096
 #: Postings in one file of the index, roughly, and in one row: rows of a bounded size spread evenly by their number.
 FILE_POSTINGS, ROW_POSTINGS = 1_000_000, 1_024
 
@@ -251,7 +253,8 @@ def build_index(rows: DataFrame, w: Windows, gap: int) -> tuple[DataFrame, DataF
     """The stored index (term, segment, n, positions), the documents by segment, and each term's frequency; ``rows``: row, id, h1, h2, text."""
     spark = rows.sparkSession
     vocabulary = spark.sparkContext.broadcast(w.vocabulary)
-    stored, at = written(rows.mapInPandas(lambda batches: segments(batches, vocabulary.value, gap), STORED), "kind")
+    with batch_rows(spark, SEGMENT_ROWS):
+        stored, at = written(rows.mapInPandas(lambda batches: segments(batches, vocabulary.value, gap), STORED), "kind")
     lists = stored.where("kind = 1").select("term", "segment", "n", "positions")
     frequency = np.zeros(len(w.vocabulary) + 1, np.int64)
     for r in lists.groupBy("term").agg(F.sum("n").alias("n")).collect():  # a row a term of the block's vocabulary

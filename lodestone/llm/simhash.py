@@ -38,9 +38,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import checkpointed, fresh, join_spread, own_columns, remove_folder, whole_text, written
+from .common import batch_rows, checkpointed, fresh, join_spread, own_columns, remove_folder, whole_text, written
 
 RADIUS = 4
+#: Rows of texts that a Python worker takes at once.
+BATCH = 1_024
 #: Distinct fingerprints of a shard compared by one task at most, and of those a task gathers.
 MAX_SHARD = 20_000
 TASK_ROWS = 20_000
@@ -387,17 +389,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = RADIUS, sim
     share their component; an empty table gives no rows; very long texts are read whole; other columns are
     ignored.
     """
-    whole = whole_text(text)
-    made = fingerprints(whole, shingle) if similarity is None else set_fingerprints(whole, shingle)
-    made = docs.select(F.col(key).alias("doc_id"), F.xxhash64(whole).alias("text_hash"), made.alias("f"))
-    node = F.col("f.fp" if similarity is None else "f.node")
-    marked = checkpointed(made.select("doc_id", "text_hash", node.alias("node"), "f.fp", "f.more"))
-    if similarity is None:
-        return cluster(marked, radius)
-    more_radius = math.floor(256 * FAR)
-    candidates = components(links(marked.select("node", "fp", "more").distinct(), radius, more_radius))
-    texts = docs.select(F.col(key).alias("doc_id"), F.xxhash64(whole).alias("text_hash"), whole.alias("whole"))
-    return named(marked, components(set_links(marked, candidates, texts, shingle, more_radius, similarity)))
+    with batch_rows(docs.sparkSession, BATCH):
+        whole = whole_text(text)
+        made = fingerprints(whole, shingle) if similarity is None else set_fingerprints(whole, shingle)
+        made = docs.select(F.col(key).alias("doc_id"), F.xxhash64(whole).alias("text_hash"), made.alias("f"))
+        node = F.col("f.fp" if similarity is None else "f.node")
+        marked = checkpointed(made.select("doc_id", "text_hash", node.alias("node"), "f.fp", "f.more"))
+        if similarity is None:
+            return cluster(marked, radius)
+        more_radius = math.floor(256 * FAR)
+        candidates = components(links(marked.select("node", "fp", "more").distinct(), radius, more_radius))
+        texts = docs.select(F.col(key).alias("doc_id"), F.xxhash64(whole).alias("text_hash"), whole.alias("whole"))
+        return named(marked, components(set_links(marked, candidates, texts, shingle, more_radius, similarity)))
 
 
 def set_links(marked: DataFrame, candidates: DataFrame, texts: DataFrame, shingle: int, more_radius: int, similarity: float) -> DataFrame:
