@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from urllib.parse import urljoin, urlsplit, urlunsplit
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,6 +63,73 @@ def join_base(base: str, tail: Column) -> Column:
     return F.when(tail.rlike("^https?://"), tail).otherwise(F.concat(F.lit(root), F.regexp_replace(tail, "^/", "")))
 
 
+# Ports that a scheme implies.
+PORTS = {"http": 80, "https": 443, "ws": 80, "wss": 443, "ftp": 21}
+
+
+def normalized(iri: str) -> str:
+    """An absolute IRI in normal form: scheme and host in lower case, no implied port, no dot segments, a path after a host."""
+    parts = urlsplit(iri)
+    if not re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", iri):
+        raise ValueError(f"no absolute IRI: {iri!r}")
+    if not parts.netloc:
+        return f"{parts.scheme.lower()}:{iri.split(':', 1)[1]}"
+    host = (parts.hostname or "").lower() + ("" if parts.port in (None, PORTS.get(parts.scheme)) else f":{parts.port}")
+    user = parts.netloc.rpartition("@")[0]
+    path = urlsplit(urljoin("http://x/", "http://x" + parts.path)).path if parts.path else "/"
+    kept = []
+    for segment in path.split("/")[1:]:
+        if segment == "..":
+            kept = kept[:-1]
+        elif segment != ".":
+            kept.append(segment)
+    if path.rsplit("/", 1)[-1] in (".", ".."):
+        kept.append("")
+    return urlunsplit((parts.scheme.lower(), f"{user}@{host}" if user else host, "/" + "/".join(kept), parts.query, parts.fragment))
+
+
+def resolved(base: str, ref: str) -> str:
+    """A reference against a base, in normal form."""
+    if not re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", base):
+        raise ValueError(f"cannot resolve {ref!r} against {base!r}")
+    return normalized(urljoin(base, ref))
+
+
+def _or_null(make):  # noqa: ANN001, ANN202
+    def told(value: str | None) -> str | None:
+        try:
+            return None if value is None else make(value)
+        except ValueError:
+            return None
+
+    return told
+
+
+def normalized_column(iri: Column) -> Column:
+    """``normalized`` of each IRI, NULL for what is no absolute one."""
+    return F.pandas_udf(lambda batch: pd.Series([_or_null(normalized)(v) for v in batch], dtype=object), "string")(iri)
+
+
+def resolved_column(base: str, ref: Column) -> Column:
+    """``resolved`` of each reference."""
+    return F.pandas_udf(lambda batch: pd.Series([_or_null(lambda r: resolved(base, r))(v) for v in batch], dtype=object), "string")(ref)
+
+
+def namespace(base: str):  # noqa: ANN201
+    """A function from local names to IRIs; the base must end with ``/`` or ``#``."""
+    if base[-1:] not in ("/", "#"):
+        raise ValueError(f"a namespace ends with '/' or '#': {base!r}")
+    return lambda name: base + name
+
+
+def implicit_label(iri: Column, prefixes: dict[str, str]) -> Column:
+    """A label from an IRI alone: what follows the prefix, without a short leading ``xxx-``."""
+    compacted = compact_iri(iri, prefixes)
+    local = F.when(compacted.contains(":"), F.regexp_extract(compacted, "^[^:]*:(.*)$", 1)).otherwise(compacted)
+    dash = F.instr(local, "-") - 1
+    return F.when((dash > 0) & (dash < 20), local.substr(dash + 2, F.length(local))).otherwise(local)
+
+
 def vocab(base: str, name: Column | str) -> Column:
     """``<base>#name``."""
     return F.concat(F.lit(base.rstrip("#/") + "#"), F.lit(name) if isinstance(name, str) else name)

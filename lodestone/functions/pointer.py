@@ -46,6 +46,16 @@ def value_at(record: Column, pointer: str) -> Column:
     return found[0] if len(found) == 1 else F.coalesce(*found)
 
 
+def value_at_lenient(record: Column, pointer: str) -> Column:
+    """As ``value_at`` for policies: the empty pointer is the record itself, a malformed one finds nothing."""
+    if pointer == "":
+        return record
+    if not pointer.startswith("/"):
+        return F.lit(None).cast("variant")
+    # A tilde that is no escape stands for itself.
+    return value_at(record, re.sub(r"~(?![01])", "~0", pointer))
+
+
 def kind(value: Column) -> Column:
     """string, number, boolean, object, array or null of a VARIANT; NULL where there is no value."""
     return kind_of_schema(F.schema_of_variant(value))
@@ -64,8 +74,8 @@ def is_integer(value: Column) -> Column:
 
 
 def string_at(record: Column, pointer: str) -> Column:
-    """The string at ``pointer``, NULL for anything else."""
-    value = value_at(record, pointer)
+    """The string at ``pointer`` (read leniently), NULL for anything else."""
+    value = value_at_lenient(record, pointer)
     return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
 
 

@@ -1,7 +1,9 @@
 """RDF formats: N-Quads and N-Triples as plain Spark text, Turtle, TriG and JSON-LD through small parsers.
 
-N-Quads and N-Triples files are split by lines and parsed by one regular expression, so they scale like any
-text source and stream as well. Turtle, TriG and JSON-LD documents are parsed whole, one document a row.
+N-Quads and N-Triples files are split by lines and parsed by one regular expression, applied once a line, so they
+scale like any text source and stream as well. Turtle, TriG and JSON-LD documents are parsed whole, one
+document a row. Quoted triples (RDF-star) are terms of the kind ``triple`` whose value is their text,
+``<< s p o >>``; only the formats that end in ``-star`` write them.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions.iri import LANG_STRING, PREFIXES, RDF_TYPE, XSD, XSD_STRING, compact_iri
+from lodestone.functions.plan import settled
 from lodestone.operators.project import TERMS
 
 # Formats with their extensions, media types and whether they hold named graphs.
@@ -24,12 +27,18 @@ FORMATS = {
     "turtle": ((".ttl", ".turtle"), "text/turtle", False),
     "jsonld": ((".jsonld",), "application/ld+json", True),
 }
-QUAD_FORMATS = tuple(n for n, (_, _, quads) in FORMATS.items() if quads)
+# The formats that hold quoted triples.
+STAR_FORMATS = {"trig-star": ("trig", "application/trig-star"), "turtle-star": ("turtle", "text/turtle-star"), "nquads-star": ("nquads", "application/n-quads-star")}
+QUAD_FORMATS = tuple(n for n, (_, _, quads) in FORMATS.items() if quads) + ("trig-star", "nquads-star")
 
 #: A literal reaches to the line's last quote (nothing after it has one); what is inside is checked apart, as a
 #: pattern of alternatives would recurse over long texts.
-_IRI, _LITERAL = r"<([^<>\x22{}|^`\\\x00-\x20]*)>", r'"(.*)"'
-NQUAD = rf"^\s*(?:{_IRI}|(_:\S+?))\s*{_IRI}\s*(?:{_IRI}|(_:\S+?)|{_LITERAL}(?:\^\^{_IRI}|@([A-Za-z]+(?:-[A-Za-z0-9]+)*))?)\s*(?:{_IRI}|(_:\S+?))?\s*\.\s*(?:#.*)?$"
+_UCHAR = r"\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}"
+_IRI, _LITERAL = rf"<((?:[^<>\x22{{}}|^`\\\x00-\x20]++|{_UCHAR})*+)>", r'"(.*)"'
+_BLANK, _QUOTED = r"(_:\S+?)", r"(<<\s*(?:<[^<>\s]*>|_:\S+)\s*<[^<>\s]*>\s*(?:<[^<>\s]*>|_:\S+)\s*>>)"
+NQUAD = rf"(?s)^\s*(?:{_IRI}|{_BLANK}|{_QUOTED})\s*{_IRI}\s*(?:{_IRI}|{_BLANK}|{_LITERAL}(?:\^\^{_IRI}|@([A-Za-z]+(?:-[A-Za-z0-9]+)*))?|{_QUOTED})\s*(?:{_IRI}|{_BLANK})?\s*\.\s*(?:#.*)?$"
+#: The groups of NQUAD, in order.
+_GROUPS = ["s_iri", "s_blank", "s_triple", "p", "o_iri", "o_blank", "literal", "datatype", "lang", "o_triple", "g_iri", "g_blank"]
 
 
 class FormatError(ValueError):
@@ -39,7 +48,7 @@ class FormatError(ValueError):
 def resolve_format(path: str | None = None, fmt: str | None = None) -> str:
     """The format by name, else by the path's extension."""
     if fmt is not None:
-        if fmt not in FORMATS:
+        if fmt not in FORMATS and fmt not in STAR_FORMATS:
             raise FormatError(f"unknown format {fmt!r}; known: {', '.join(FORMATS)}")
         return fmt
     for name, (extensions, _, _) in FORMATS.items():
@@ -60,16 +69,21 @@ def escaped(text: Column) -> Column:
 
 
 def unescaped(text: Column) -> Column:
-    """The text of an escaped literal (named escapes; numeric ones are read by the document parsers)."""
-    out = F.replace(text, F.lit("\\\\"), F.lit("\u0000"))
-    for told, raw in (('\\"', '"'), ("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t")):
-        out = F.replace(out, F.lit(told), F.lit(raw))
-    return F.replace(out, F.lit("\u0000"), F.lit("\\"))
+    """The text of an escaped literal or IRI: named escapes and numeric ones of four and eight digits."""
+    pairs = F.replace(F.replace(text, F.lit("\\\\"), F.lit("\\u005c")), F.lit("\\'"), F.lit("'"))
+    # Numeric escapes of eight digits: within the first plane as four digits, else as the character itself.
+    low = F.regexp_replace(pairs, r"\\U0000([0-9A-Fa-f]{4})", r"\\u$1")
+    parts = F.split(low, r"(?=\\U[0-9A-Fa-f]{8})")
+    wide = F.transform(parts, lambda x: F.when(x.startswith("\\U"), F.concat(F.decode(F.unhex(F.substring(x, 3, 8)), "UTF-32"), x.substr(F.lit(11), F.length(x)))).otherwise(x))
+    # What is left is JSON's own set of escapes.
+    options = {"allowUnquotedControlChars": "true", "maxStringLen": "2000000000"}
+    read = F.from_json(F.concat(F.lit('["'), F.array_join(F.when(low.contains("\\U"), wide).otherwise(parts), ""), F.lit('"]')), "array<string>", options)
+    return F.when(text.contains("\\"), read[0]).otherwise(text)
 
 
 def nquads_line(graphs: bool = True) -> Column:
     """A quad's line; ``xsd:string`` and the default graph go unsaid, languages are kept."""
-    resource = lambda kind, value: F.when(F.col(kind) == "blank", F.concat(F.lit("_:"), F.col(value))).otherwise(F.concat(F.lit("<"), F.col(value), F.lit(">")))
+    resource = lambda kind, value: F.when(F.col(kind) == "blank", F.concat(F.lit("_:"), F.col(value))).when(F.col(kind) == "triple", F.col(value)).otherwise(F.concat(F.lit("<"), F.col(value), F.lit(">")))
     suffix = F.when(F.col("o_lang").isNotNull(), F.concat(F.lit("@"), F.col("o_lang"))).when(
         F.col("o_datatype").isNotNull() & (F.col("o_datatype") != XSD_STRING), F.concat(F.lit("^^<"), F.col("o_datatype"), F.lit(">"))).otherwise(F.lit(""))
     obj = F.when(F.col("o_type") == "literal", F.concat(F.lit('"'), escaped(F.col("o")), F.lit('"'), suffix)).otherwise(resource("o_type", "o"))
@@ -77,26 +91,38 @@ def nquads_line(graphs: bool = True) -> Column:
     return F.concat(resource("s_type", "s"), F.lit(" <"), F.col("p"), F.lit("> "), obj, F.lit(" "), g, F.lit("."))
 
 
+def quoted_triple(s: Column, p: Column, o: Column, s_type: Column | None = None, o_type: Column | None = None) -> Column:
+    """The value of a term of the kind ``triple``."""
+    term = lambda kind, value: F.concat(F.lit("<"), value, F.lit(">")) if kind is None else F.when(kind == "blank", F.concat(F.lit("_:"), value)).otherwise(F.concat(F.lit("<"), value, F.lit(">")))
+    return F.concat(F.lit("<< "), term(s_type, s), F.lit(" <"), p, F.lit("> "), term(o_type, o), F.lit(" >>"))
+
+
 def parse_nquads(lines: DataFrame, line: str = "value") -> DataFrame:
     """Quads of N-Quads or N-Triples lines, with an ``error`` column for lines that are neither.
 
-    Blank lines and comments give no row.
+    Blank lines and comments give no row. Each line is matched once: the pattern rewrites it to its groups,
+    one a line, and the line is split there (a line holds no line feed of its own).
     """
     own = lines.where(F.trim(F.col(line)) != "").where(~F.col(line).rlike("^\\s*#"))
-    part = lambda i: F.nullif(F.regexp_extract(F.col(line), NQUAD, i), F.lit(""))
-    literal = F.regexp_extract(F.col(line), NQUAD, 6)
-    ok = F.col(line).rlike(NQUAD) & ~F.regexp_replace(literal, "\\\\.", "").rlike('["\\\\]')
-    blank = lambda c: F.substring(c, 3, 1 << 20)
-    is_literal = ok & part(4).isNull() & part(5).isNull()
+    own = own.withColumn("_parts", settled(F.split(F.regexp_replace(F.col(line), NQUAD, "\n".join(f"${i}" for i in range(1, len(_GROUPS) + 1))), "\n")))
+    part = {name: F.nullif(F.try_element_at("_parts", F.lit(i + 1)), F.lit("")) for i, name in enumerate(_GROUPS)}
+    literal = F.try_element_at("_parts", F.lit(_GROUPS.index("literal") + 1))
+    # A literal may hold escapes that exist, and no quote or backslash besides.
+    singles = F.replace(literal, F.lit("\\\\"), F.lit(""))
+    bad = F.regexp_replace(singles, r"\\(?:[tbnrf\"']|u[0-9A-Fa-f]{4}|U[0-9A-Fa-f]{8})", "").rlike('["\\\\]')
+    ok = (F.size("_parts") == len(_GROUPS)) & ~bad
+    blank = lambda c: c.substr(F.lit(3), F.length(c))
+    is_literal = ok & part["o_iri"].isNull() & part["o_blank"].isNull() & part["o_triple"].isNull()
+    kind = lambda b, t: F.when(b.isNotNull(), F.lit("blank")).when(t.isNotNull(), F.lit("triple"))
     return own.select(
-        F.when(part(2).isNotNull(), F.lit("blank")).when(ok, F.lit("iri")).alias("s_type"),
-        F.coalesce(part(1), blank(part(2))).alias("s"),
-        part(3).alias("p"),
-        F.when(part(5).isNotNull(), F.lit("blank")).when(is_literal, F.lit("literal")).when(ok, F.lit("iri")).alias("o_type"),
-        F.when(is_literal, unescaped(literal)).otherwise(F.coalesce(part(4), blank(part(5)))).alias("o"),
-        F.when(is_literal, F.coalesce(part(7), F.when(part(8).isNotNull(), F.lit(LANG_STRING)).otherwise(F.lit(XSD_STRING)))).alias("o_datatype"),
-        part(8).alias("o_lang"),
-        F.coalesce(part(9), part(10)).alias("g"),
+        F.when(ok, kind(part["s_blank"], part["s_triple"]).otherwise(F.lit("iri"))).alias("s_type"),
+        F.when(ok, F.coalesce(unescaped(part["s_iri"]), blank(part["s_blank"]), part["s_triple"])).alias("s"),
+        F.when(ok, unescaped(part["p"])).alias("p"),
+        F.when(is_literal, F.lit("literal")).when(ok, kind(part["o_blank"], part["o_triple"]).otherwise(F.lit("iri"))).alias("o_type"),
+        F.when(is_literal, unescaped(literal)).when(ok, F.coalesce(unescaped(part["o_iri"]), blank(part["o_blank"]), part["o_triple"])).alias("o"),
+        F.when(is_literal, F.coalesce(unescaped(part["datatype"]), F.when(part["lang"].isNotNull(), F.lit(LANG_STRING)).otherwise(F.lit(XSD_STRING)))).alias("o_datatype"),
+        F.when(is_literal, part["lang"]).alias("o_lang"),
+        F.when(ok, F.coalesce(unescaped(part["g_iri"]), part["g_blank"])).alias("g"),
         F.when(~ok, F.col(line)).alias("error"),
     )
 
@@ -110,7 +136,7 @@ def read_nquads(spark: SparkSession, path: str) -> DataFrame:
 # Turtle and TriG.
 
 _TOKEN = re.compile(
-    r"""(?P<ws>\s+|\#[^\n]*)|(?P<iri><[^<>"{}|^`\x00-\x20]*>)|(?P<long>\"{3}(?:"{0,2}(?:[^"\\]|\\.))*\"{3}|'{3}(?:'{0,2}(?:[^'\\]|\\.))*'{3})"""
+    r"""(?P<ws>\s+|\#[^\n]*)|(?P<star><<|>>)|(?P<iri><[^<>"{}|^`\x00-\x20]*>)|(?P<long>\"{3}(?:"{0,2}(?:[^"\\]|\\.))*\"{3}|'{3}(?:'{0,2}(?:[^'\\]|\\.))*'{3})"""
     r"""|(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|(?P<lang>@[A-Za-z]+(?:-[A-Za-z0-9]+)*)|(?P<dt>\^\^)|(?P<blank>_:[\w][\w.-]*(?<!\.))"""
     r"""|(?P<number>[+-]?(?:\d+\.\d+|\.\d+|\d+)(?:[eE][+-]?\d+)?)|(?P<name>[\w-]*(?:\.[\w-]+)*:(?:[\w%:-]|\\.|\.(?=[\w%:-]))*)|(?P<word>[A-Za-z]\w*)|(?P<punct>[.;,\[\](){}])""",
     re.DOTALL,
@@ -198,6 +224,14 @@ class _Turtle:
             return own
         if self.take("("):
             return self.collection()
+        if self.kind == "star" and self.token == "<<":
+            self.next()
+            s, p, o = self.resource(), RDF_TYPE if self.take("a") else self.iri(), self.resource()
+            if self.kind != "star" or self.token != ">>":
+                raise self.fail("expected '>>'")
+            self.next()
+            told = [f"_:{v}" if kind == "blank" else v if kind == "triple" else f"<{v}>" for kind, v in (s, o)]
+            return "triple", f"<< {told[0]} <{p}> {told[1]} >>"
         return "iri", self.iri()
 
     def collection(self) -> tuple[str, str]:
@@ -312,7 +346,11 @@ def parse_turtle(text: str, base: str = "") -> tuple[list[tuple], dict[str, str]
 
 
 def parse_jsonld(text: str) -> list[tuple]:
-    """Quads of a JSON-LD document with inline contexts (terms, prefixes, @vocab, @type coercion, @set, @graph)."""
+    """Quads of a JSON-LD document with inline contexts.
+
+    Terms, prefixes, @vocab, @base, @language, type coercion, @reverse, @list, @set, @index and @language containers,
+    @included, @nest and @graph; contexts by address are an error.
+    """
     quads: list[tuple] = []
     count = [0]
 
@@ -354,18 +392,57 @@ def parse_jsonld(text: str) -> list[tuple]:
             elif key == "@graph":
                 for n in value if isinstance(value, list) else [value]:
                     emit(n, ctx, own[1] if "@id" in node else graph)
+            elif key == "@reverse":
+                for p, nodes in value.items():
+                    for n in nodes if isinstance(nodes, list) else [nodes]:
+                        back(n, expand(p, ctx), own, ctx, graph)
+            elif key == "@included":
+                for n in value if isinstance(value, list) else [value]:
+                    emit(n, ctx, graph)
+            elif key == "@nest":
+                for n in value if isinstance(value, list) else [value]:
+                    emit({**n, "@id": ("_:" if own[0] == "blank" else "") + own[1]}, ctx, graph)
             elif not key.startswith("@"):
-                term = ctx.get(key) if isinstance(ctx.get(key), dict) else {}
-                for v in value if isinstance(value, list) else [value]:
-                    for o in objects(v, term, ctx, graph):
-                        quads.append((*own, expand(key, ctx), *o, graph))
+                told(own, key, value, ctx, graph)
         return own
 
+    def back(n, p: str, own: tuple[str, str], ctx: dict, graph: str | None) -> None:  # noqa: ANN001
+        s = node_id(n, ctx) if isinstance(n, str) else node_id(n["@id"], ctx) if set(n) == {"@id"} else emit(n, ctx, graph)
+        quads.append((*s, p, *own, None, None, graph))
+
+    def told(own: tuple[str, str], key: str, value, ctx: dict, graph: str | None) -> None:  # noqa: ANN001
+        term = ctx.get(key) if isinstance(ctx.get(key), dict) else {}
+        container = term.get("@container")
+        if "@reverse" in term:
+            for n in value if isinstance(value, list) else [value]:
+                back(n, expand(term["@reverse"], ctx), own, ctx, graph)
+            return
+        if container == "@language" and isinstance(value, dict):
+            values = [{"@value": v, "@language": lang} for lang, vs in value.items() for v in (vs if isinstance(vs, list) else [vs])]
+        elif container in ("@index", "@id") and isinstance(value, dict):
+            values = [v if container == "@index" else {"@id": k, **v} for k, vs in value.items() for v in (vs if isinstance(vs, list) else [vs])]
+        elif container == "@list" and not (isinstance(value, dict) and "@list" in value):
+            values = [{"@list": value if isinstance(value, list) else [value]}]
+        else:
+            values = value if isinstance(value, list) else [value]
+        for v in values:
+            for o in objects(v, term, ctx, graph):
+                quads.append((*own, expand(key, ctx), *o, graph))
+
     def objects(v, term: dict, ctx: dict, graph: str | None) -> list[tuple]:  # noqa: ANN001
         if v is None:
             return []
         if isinstance(v, dict) and "@set" in v:
             return [o for x in v["@set"] for o in objects(x, term, ctx, graph)]
+        if isinstance(v, dict) and "@list" in v:
+            rest: tuple = ("iri", PREFIXES["rdf"] + "nil", None, None)
+            for item in reversed([o for x in v["@list"] for o in objects(x, term, ctx, graph)]):
+                count[0] += 1
+                own = ("blank", f"j{count[0]}")
+                quads.append((*own, PREFIXES["rdf"] + "first", *item, graph))
+                quads.append((*own, PREFIXES["rdf"] + "rest", *rest, graph))
+                rest = (*own, None, None)
+            return [rest]
         if isinstance(v, dict) and "@value" in v:
             raw, lang = v["@value"], v.get("@language")
             kind = expand(v["@type"], ctx) if "@type" in v else LANG_STRING if lang else None
@@ -375,6 +452,11 @@ def parse_jsonld(text: str) -> list[tuple]:
         kind = term.get("@type")
         if kind == "@id" and isinstance(v, str):
             return [(*node_id(v, ctx), None, None)]
+        if kind == "@vocab" and isinstance(v, str):
+            return [("iri", expand(v, ctx), None, None)]
+        lang = term.get("@language", ctx.get("@language"))
+        if lang and not kind and isinstance(v, str):
+            return [("literal", v, LANG_STRING, lang)]
         return [("literal", *scalar(v, expand(kind, ctx) if kind else None), None)]
 
     def scalar(v, kind: str | None) -> tuple[str, str]:  # noqa: ANN001
@@ -415,24 +497,30 @@ def syntax_errors(text: str, fmt: str) -> list[dict]:
     return []
 
 
-def read_documents(spark: SparkSession, path: str, fmt: str) -> DataFrame:
-    """The quads of Turtle, TriG or JSON-LD files, each parsed whole by one task; blank labels get their file's hash."""
-    texts = spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", True).load(path)
+def documents_quads(texts: DataFrame, fmt: str) -> DataFrame:
+    """The quads of (path, value) documents, batch or stream, each parsed whole by one task; blank labels get their file's hash."""
 
     def parse(batches):  # noqa: ANN001, ANN202
         for b in batches:
             for path_, text in zip(b["path"], b["value"]):
                 yield pd.DataFrame([(path_, *q) for q in parse_document(text, fmt)], columns=["path", *TERMS])
 
-    out = texts.select(F.col("_metadata.file_path").alias("path"), "value").mapInPandas(parse, "path string, " + ", ".join(f"{t} string" for t in TERMS))
+    out = texts.mapInPandas(parse, "path string, " + ", ".join(f"{t} string" for t in TERMS))
     scope = F.substring(F.sha1(F.col("path").cast("binary")), 1, 6)
     own = lambda kind, value: F.when(F.col(kind) == "blank", F.concat(scope, F.lit("_"), F.col(value))).otherwise(F.col(value))
     return out.withColumns({"s": own("s_type", "s"), "o": own("o_type", "o")}).select(*TERMS)
 
 
+def read_documents(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """The quads of Turtle, TriG or JSON-LD files."""
+    texts = spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", True).load(path)
+    return documents_quads(texts.select(F.col("_metadata.file_path").alias("path"), "value"), fmt)
+
+
 def read_rdf(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
     """The quads of files in any format."""
     fmt = resolve_format(path, fmt)
+    fmt = STAR_FORMATS[fmt][0] if fmt in STAR_FORMATS else fmt
     return read_nquads(spark, path) if fmt in ("nquads", "ntriples") else read_documents(spark, path, fmt)
 
 

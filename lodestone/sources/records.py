@@ -7,9 +7,10 @@ JSONL file is its records' identity. Bad records keep their row and say why in e
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lodestone.functions.plan import settled
+from lodestone.functions.plan import is_file, settled
 from lodestone.functions.pointer import kind, string_at
 
 
@@ -41,31 +42,48 @@ def read_json_tree(spark: SparkSession, path: str, target: str, formats: tuple[s
     """Records of all .json (one each) and .jsonl (one per non-blank line) files under ``path``.
 
     JSON texts are parsed leniently: what fails stays as a row with an error code. A path that is a single
-    file is read as well, as JSONL if its name says so.
+    file is read as well, as JSONL if its name says so, else as one JSON text whatever its name.
     """
+    single = is_file(spark, path)
+    if single:
+        formats = ("jsonl",) if path.lower().endswith(".jsonl") else ("json",)
     parts = []
     if "json" in formats:
-        whole = _wholetext(spark, path, "*.json")
-        parts.append(whole.select(F.col("_metadata.file_path").alias("record_path"), F.lit(0).alias("record_line"), F.col("value").alias("raw")))
+        whole = _wholetext(spark, path, None if single else "*.json")
+        parts.append(whole.select(F.col("_metadata.file_path").alias("record_path"), F.lit(0).cast("long").alias("record_line"), F.col("value").alias("raw")))
     if "jsonl" in formats:
-        lines = _wholetext(spark, path, "*.jsonl")
-        parts.append(
-            lines.select(F.col("_metadata.file_path").alias("record_path"), F.posexplode(F.split("value", "\\r?\\n")).alias("record_line", "raw"))
-            .where(F.trim(F.col("raw")) != "")
-        )
+        parts.append(jsonl_lines(spark, path))
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
     return _finish(rows.withColumn("rec", settled(F.try_parse_json("raw"))), target)
 
 
-def _wholetext(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    return spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
+def jsonl_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(record_path, record_line, raw): the non-blank lines of .jsonl files with their numbers in the file.
+
+    Files are split like any text source. A line's number is its place in its split plus the lines of the file's
+    splits before; only a row a split is aggregated and joined, never the lines.
+    """
+    read = spark.read.format("text").option("lineSep", "\n").option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").load(path)
+    lines = read.select(
+        F.col("_metadata.file_path").alias("record_path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_place"), F.regexp_replace("value", "\r$", "").alias("raw"),
+    )
+    splits = lines.groupBy("record_path", "_block").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(W.partitionBy("record_path").orderBy("_block").rowsBetween(W.unboundedPreceding, -1))
+    splits = splits.select("record_path", "_block", "_first", F.coalesce(before, F.lit(0)).alias("_before"))
+    numbered = lines.join(splits, ["record_path", "_block"]).select("record_path", (F.col("_before") + F.col("_place") - F.col("_first")).alias("record_line"), "raw")
+    return numbered.where(F.trim("raw") != "")
+
+
+def _wholetext(spark: SparkSession, path: str, pattern: str | None) -> DataFrame:
+    read = spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", True)
+    return (read.option("pathGlobFilter", pattern) if pattern else read).load(path)
 
 
 def from_texts(texts: DataFrame, target: str, path: str = "record_path", line: str = "record_line", raw: str = "raw") -> DataFrame:
     """Records from JSON texts that already stand in a table."""
-    rows = texts.select(F.col(path).alias("record_path"), F.col(line).cast("int").alias("record_line"), F.col(raw).alias("raw"))
+    rows = texts.select(F.col(path).alias("record_path"), F.col(line).cast("long").alias("record_line"), F.col(raw).alias("raw"))
     return _finish(rows.withColumn("rec", settled(F.try_parse_json("raw"))), target)
 
 
@@ -79,7 +97,7 @@ def from_table(df: DataFrame, target: str, key: str, type_name: str | None = Non
     if type_name is not None:
         columns.append(F.lit(type_name).alias("_type"))
     place = F.concat(F.lit(f"table:{target}/"), F.col(key).cast("string"))
-    rows = df.select(place.alias("record_path"), F.lit(0).alias("record_line"), F.lit("").alias("raw"), F.to_variant_object(F.struct(*columns)).alias("rec"))
+    rows = df.select(place.alias("record_path"), F.lit(0).cast("long").alias("record_line"), F.lit("").alias("raw"), F.to_variant_object(F.struct(*columns)).alias("rec"))
     return _finish(rows, target)
 
 

@@ -12,15 +12,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lodestone.operators import classify, project
-from lodestone.sources.rdf import nquads_line, parse_nquads
+from lodestone.sources.rdf import documents_quads, nquads_line, parse_nquads
 from lodestone.sources.records import from_texts, good
 
 
 def read_texts(spark: SparkSession, path: str, per_trigger: int = 1000) -> DataFrame:
-    """(record_path, record_line, raw): new JSONL files of a folder as they arrive; line numbers are not kept apart."""
-    lines = spark.readStream.format("text").option("maxFilesPerTrigger", per_trigger).option("pathGlobFilter", "*.jsonl").load(path)
-    digest = F.conv(F.substring(F.sha1(F.col("value").cast("binary")), 1, 7), 16, 10).cast("int")
-    return lines.where(F.trim("value") != "").select(F.col("_metadata.file_path").alias("record_path"), digest.alias("record_line"), F.col("value").alias("raw"))
+    """(record_path, record_line, raw): new JSONL files of a folder as they arrive, lines with their numbers.
+
+    A file arrives whole, so its lines are numbered as the batch reader numbers them, and records keep the same
+    identity in both. Files that are dropped into a stream are small; one is held by one task.
+    """
+    files = spark.readStream.format("text").option("wholetext", True).option("maxFilesPerTrigger", per_trigger).option("pathGlobFilter", "*.jsonl").load(path)
+    lines = files.select(F.col("_metadata.file_path").alias("record_path"), F.posexplode(F.split("value", "\r?\n")).alias("record_line", "raw"))
+    return lines.where(F.trim("raw") != "").withColumn("record_line", F.col("record_line").cast("long"))
 
 
 def classified_stream(texts: DataFrame, target: str, config: dict) -> DataFrame:
@@ -55,3 +59,9 @@ def write_stream(quads: DataFrame, path: str, checkpoint: str) -> StreamingQuery
 def read_nquads_stream(spark: SparkSession, path: str) -> DataFrame:
     """Quads of N-Quads files as they arrive."""
     return parse_nquads(spark.readStream.text(path))
+
+
+def read_documents_stream(spark: SparkSession, path: str, fmt: str, per_trigger: int = 100) -> DataFrame:
+    """Quads of Turtle, TriG or JSON-LD files as they arrive, each document by one task."""
+    texts = spark.readStream.format("text").option("wholetext", True).option("maxFilesPerTrigger", per_trigger).load(path)
+    return documents_quads(texts.select(F.col("_metadata.file_path").alias("path"), "value"), fmt)
