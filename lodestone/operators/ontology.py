@@ -19,8 +19,10 @@ DATATYPES = {"string": XSD + "string", "integer": XSD + "integer", "number": XSD
 class Ontology:
     """Schemas by class name; parents by ``allOf`` references to other classes."""
 
-    def __init__(self, schemas: dict[str, dict], base: str):
+    def __init__(self, schemas: dict[str, dict], base: str, extracted: dict[str, dict] | None = None):
         self.schemas, self.base = schemas, base.rstrip("#/")
+        #: Primitives and objects that induction took out, by their identifiers.
+        self.extracted = {s["$id"]: s for s in (extracted or {}).values() if "$id" in s}
         self.by_id = {s.get("$id", name): name for name, s in schemas.items()}
 
     def iri(self, name: str) -> str:
@@ -72,6 +74,8 @@ class Ontology:
                 return {"type": "object"}
             if ref.startswith("#/$defs/"):
                 return self._inlined(root.get("$defs", {}).get(ref[8:], {}), root, depth - 1, seen)
+            if ref in self.extracted:
+                return self._inlined({k: v for k, v in self.extracted[ref].items() if k not in ("$id", "$schema", "title")}, self.extracted[ref], depth - 1, seen)
             c = self._class(ref)
             return {"type": "object"} if c is None or c in seen else self.denormalized(c, depth - 1, seen)
         return {k: self._inlined(v, root, depth, seen) for k, v in node.items()}

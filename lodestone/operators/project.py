@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from lodestone.functions.iri import PREFIXES, RDF_TYPE, XSD, XSD_STRING, expand_curie, sanitize_iri, segment, vocab
 from lodestone.functions.plan import settled
 from lodestone.functions.pointer import kind, string_at, value_at
+from lodestone.plans.schema import compile_schema
 
 QUAD = "struct<s_type:string,s:string,p:string,o_type:string,o:string,o_datatype:string,o_lang:string,g:string>"
 TERMS = ["s_type", "s", "p", "o_type", "o", "o_datatype", "o_lang", "g"]
@@ -96,9 +97,13 @@ def _one_property(rec: Column, subject: Column, base: str, name: str, spec: dict
 def project(records: DataFrame, classes: dict[str, dict], base: str, subject: Column, class_name: Column, graphs: dict[str, str] | None = None, rec: str = "rec") -> DataFrame:
     """``records`` with subject, quads (array) and bucket: the projection by class.
 
-    ``classes`` maps class names to ``{iri?, properties}``. A class without an entry falls back to ``Generic``
-    with a warning; without that either, the record goes to the bucket ``projection`` with
-    SQUASH_NO_SCHEMA_FOR_CLASS. Graphs: the class's own, else ``default``, else the default graph.
+    ``classes`` maps class names to ``{iri?, properties, schema?, projector?}``. A class without an entry falls
+    back to ``Generic`` with a warning; without that either, the record goes to the bucket ``projection`` with
+    SQUASH_NO_SCHEMA_FOR_CLASS. A record that its class's strict ``schema`` does not admit is projected all the
+    same, with the warning PROJECTION_CONSTRAINT_VIOLATION. A ``projector`` (record, subject, graph to an array of
+    quads) stands for the properties; where it gives NULL the record goes to the bucket with
+    SQUASH_PROJECTION_FAILED, while an empty array is a success. Graphs: the class's own, else ``default``, else the
+    default graph.
     """
     graphs = graphs or {}
     known = list(classes)
@@ -109,14 +114,23 @@ def project(records: DataFrame, classes: dict[str, dict], base: str, subject: Co
         if c != "default":
             g = F.when(class_name == c, F.lit(iri)).otherwise(g)
     out = records.withColumns({"subject": subject, "_class": effective, "_g": g, "class_name": class_name})
-    quads = F.array().cast(f"array<{QUAD}>")
+    none, quads, strict = F.array().cast(f"array<{QUAD}>"), F.array().cast(f"array<{QUAD}>"), F.lit(True)
     for c, spec in classes.items():
         iri = F.lit(spec.get("iri") or f"{base.rstrip('#/')}/{c}")
-        own = F.concat(F.array(type_quad(F.col("subject"), iri, F.col("_g"))), property_quads(F.col(rec), F.col("subject"), base, spec.get("properties", {}), F.col("_g")))
+        if spec.get("projector"):
+            own = spec["projector"](F.col(rec), F.col("subject"), F.col("_g")).cast(f"array<{QUAD}>")
+        else:
+            own = F.concat(F.array(type_quad(F.col("subject"), iri, F.col("_g"))), property_quads(F.col(rec), F.col("subject"), base, spec.get("properties", {}), F.col("_g")))
         quads = F.when(F.col("_class") == c, own).otherwise(quads)
-    warning = F.when(F.col("_class").isNotNull() & (F.col("_class") != F.col("class_name")), F.array(F.lit("PROJECTION_GENERIC_FALLBACK"))).otherwise(F.array().cast("array<string>"))
-    failed = F.col("_class").isNull() & F.col("class_name").isNotNull()
-    return out.withColumns({"quads": settled(quads), "projection_warnings": warning, "projection_error": F.when(failed, F.lit("SQUASH_NO_SCHEMA_FOR_CLASS"))}).drop("_class", "_g")
+        if spec.get("schema"):
+            strict = F.when(F.col("_class") == c, compile_schema(F.col(rec), spec["schema"])).otherwise(strict)
+    warnings = F.array_compact(F.array(
+        F.when(F.col("_class").isNotNull() & (F.col("_class") != F.col("class_name")), F.lit("PROJECTION_GENERIC_FALLBACK")),
+        F.when(F.col("_class").isNotNull() & ~strict, F.lit("PROJECTION_CONSTRAINT_VIOLATION")),
+    ))
+    out = out.withColumn("_made", settled(quads))
+    error = F.when(F.col("_class").isNull() & F.col("class_name").isNotNull(), F.lit("SQUASH_NO_SCHEMA_FOR_CLASS")).when(F.col("_class").isNotNull() & F.col("_made").isNull(), F.lit("SQUASH_PROJECTION_FAILED"))
+    return out.withColumns({"quads": F.coalesce("_made", none), "projection_warnings": warnings.cast("array<string>"), "projection_error": error}).drop("_class", "_g", "_made")
 
 
 def exploded(projected: DataFrame, rid: str = "rid", quads: str = "quads") -> DataFrame:

@@ -11,7 +11,7 @@ from urllib.parse import urlsplit
 
 from lodestone.sources.rdf import FORMATS, resolve_format
 
-ROOT_KEYS = frozenset("target targets input output classification enrichment squash plugin schemaPaths vocabulary graphs instances subjectIri provenance".split())
+ROOT_KEYS = frozenset("target targets input output classification enrichment squash plugin schemaPaths vocabulary graphs instances subjectIri provenance ontology".split())
 OUTPUT_KEYS = frozenset("path format mode graph canonicalize validate dryRun bucketing catalog provenance encoding jsonldContext".split())
 
 
@@ -33,6 +33,8 @@ class RunConfig:
     instances: str = "urn:instance"
     graphs: dict = field(default_factory=dict)
     subject_iri: dict | None = None
+    prefixes: dict = field(default_factory=dict)
+    plugins: list = field(default_factory=list)
 
 
 def sanitize_target(name: str) -> str:
@@ -91,6 +93,8 @@ def from_document(doc: dict, target: str | None = None) -> RunConfig:
         instances=own.get("instances", f"urn:instance:{name}"),
         graphs=own.get("graphs", {}),
         subject_iri=own.get("subjectIri"),
+        prefixes=own.get("ontology", {}).get("prefixes", {}),
+        plugins=[own["plugin"]] if isinstance(own.get("plugin"), str) else list(own.get("plugin") or []),
     )
 
 
@@ -109,6 +113,56 @@ def host_label(url: str) -> str | None:
     return max(labels, key=len) if labels else None
 
 
+# Host labels that are no name.
+COMMON_TLDS = frozenset("com net org io dev app co uk us ca".split())
+TRIVIAL_LABELS = frozenset("www m 2e 1e 3e".split())
+
+
+def host_prefix(host: str) -> str | None:
+    """The longest label of a host (the first of equally long ones) that is neither a top-level one, nor trivial, nor of one letter."""
+    found = [x for x in host.split(":")[0].split(".") if len(x) > 1 and x not in COMMON_TLDS and x not in TRIVIAL_LABELS]
+    return max(found, key=len).lower() if found else None
+
+
+def is_origin(iri: str) -> bool:
+    """Whether a URL is an origin alone: path ``/``, no query, no fragment."""
+    parts = urlsplit(iri)
+    return bool(parts.scheme and parts.netloc) and parts.path in ("", "/") and not parts.query and not parts.fragment
+
+
+def resolve_namespaces(target: str, prefixes: dict[str, str] | None = None, sample_url: str | None = None, base_iri: str | None = None) -> dict:
+    """The namespaces of instances, graphs and vocabulary as {prefix, base}, and ``source``: the weakest tier that was used.
+
+    Tiers: configured prefixes (an origin names the instances; ``<target>g`` or a base with ``/graph/`` the graphs;
+    ``base_iri``, else the first base that ends with ``#``, the vocabulary); derived from a record's URL
+    (instances only); else the fallback.
+    """
+    slug, tiers = sanitize_target(target), []
+    by_base = {base: label for label, base in (prefixes or {}).items() if base}
+
+    def pick(found: tuple[str, str, str]) -> dict:
+        tiers.append(found[2])
+        return {"prefix": found[0], "base": found[1]}
+
+    origin = next(((label, base, "config") for base, label in by_base.items() if is_origin(base)), None)
+    if origin is None and sample_url and sample_url.startswith(("http://", "https://")):
+        parts = urlsplit(sample_url)
+        if (label := host_prefix(parts.netloc)) is not None:
+            origin = (label, f"{parts.scheme}://{parts.netloc}/", "derived")
+    graph = next(((label, base, "config") for base, label in by_base.items() if label == f"{slug}g" or "/graph/" in base), None)
+    if base_iri:
+        segments = [x for x in urlsplit(base_iri).path.split("/") if x]
+        words = (segments[-1].lower() if segments else slug, base_iri, "config")
+    else:
+        words = next(((by_base[base], base, "config") for base in sorted(by_base) if base.endswith("#")), None)
+    out = {
+        "instances": pick(origin or (slug, f"urn:instance:{slug}/", "fallback")),
+        "graphs": pick(graph or (f"{slug}g", f"urn:graph:{slug}/", "fallback")),
+        "vocabulary": pick(words or (slug, f"urn:vocabulary:{slug}#", "fallback")),
+    }
+    return out | {"source": next((t for t in ("fallback", "derived") if t in tiers), "config")}
+
+
 def resolve_prefixes(configured: dict[str, str], bases: dict[str, str], fallback: str = "ns") -> dict[str, str]:
     """label to base: configured ones first, then by host, then numbered fallbacks."""
     out = dict(configured)
@@ -128,6 +182,32 @@ def clamp(value: float, low: float, high: float) -> float:
     return min(high, max(low, value)) if isinstance(value, (int, float)) and math.isfinite(value) else low
 
 
+# Bounds of numeric settings, and why.
+CLAMPS = {
+    "rateLimitMs": (0, 60_000, "minimum gap between requests (0: none)"),
+    "jitterMs": (0, 10_000, "random jitter a request"),
+    "batchSize": (1, 50, "titles in one request of a wiki's interface"),
+    "maxRetries": (0, 20, "attempts after a failure"),
+    "retryBaseDelayMs": (50, 30_000, "first delay before another attempt"),
+    "retryMaxDelayMs": (100, 300_000, "longest delay before another attempt"),
+    "maxPages": (1, 10_000_000, "pages of a run"),
+    "concurrency": (1, 32, "runs at the same time"),
+}
+
+
+def clamp_config(settings: dict, name: str = "config") -> tuple[dict, list[str]]:
+    """The settings with their numbers within bounds, and a warning for each that was not; other values stay."""
+    out, warnings = dict(settings), []
+    for key, (low, high, reason) in CLAMPS.items():
+        raw = settings.get(key)
+        if isinstance(raw, bool) or not isinstance(raw, (int, float)):
+            continue
+        out[key] = clamp(raw, low, high)
+        if out[key] != raw:
+            warnings.append(f"{name}.{key}: {raw} -> {out[key]} ({reason}, {low} to {high})")
+    return out, warnings
+
+
 def topological(dependencies: dict[str, list[str]]) -> list[str]:
     """Names with what they need before them; a cycle keeps the given order."""
     done, out, names = set(), [], list(dependencies)

@@ -6,8 +6,11 @@ References that do not resolve give warnings, never errors; the draft is not cha
 from __future__ import annotations
 
 import copy
+import json
 from dataclasses import dataclass
+from pathlib import Path
 
+from lodestone.errors import LodestoneError
 from lodestone.functions.pointer import PointerError, segments
 from lodestone.plans.induce import HINT, sort_keys
 
@@ -158,3 +161,89 @@ def refine_all(drafts: dict[str, dict], specs: dict[str, dict]) -> tuple[dict[st
             warnings[name] = [Warning("APPLY_REFINEMENT_ERROR", "", str(e))]
             tally["errors"] += 1
     return finals, warnings, tally
+
+
+# Files.
+
+DRAFT, REFINEMENT = ".draft.json", ".refine.json"
+
+
+class RefineError(LodestoneError):
+    """A draft or refinement file that cannot be used; ``stage`` tells which step failed and how."""
+
+    def __init__(self, stage: str, message: str):
+        super().__init__(message, {"stage": stage})
+        self.stage = stage
+
+    @property
+    def code(self) -> str:
+        """READ_DRAFT_IO, READ_DRAFT_PARSE, READ_DRAFT_NOT_OBJECT, the same of READ_REFINEMENT and its _INVALID, or APPLY_REFINEMENT_NULL_INPUT."""
+        return self.stage
+
+
+@dataclass(frozen=True)
+class DraftFile:
+    """A draft's file, the name of its class, and the file of its refinement if there is one."""
+
+    path: str
+    name: str
+    refinement: str | None = None
+    subfolder: str | None = None
+
+
+def walk_drafts(inferred: str, refinements: str) -> list[DraftFile]:
+    """The draft files of a folder and of its ``primitives`` and ``objects``, by path; those have no refinements."""
+    found = []
+    for sub in (None, "primitives", "objects"):
+        folder = Path(inferred) / sub if sub else Path(inferred)
+        for p in sorted(folder.glob(f"*{DRAFT}")) if folder.is_dir() else []:
+            name = p.name.removesuffix(DRAFT)
+            own = Path(refinements) / f"{name}{REFINEMENT}"
+            found.append(DraftFile(str(p), name, str(own) if sub is None and own.is_file() else None, sub))
+    return sorted(found, key=lambda d: d.path)
+
+
+def read_object(path: str, step: str) -> dict:
+    """The JSON object of a file, or a RefineError of the step."""
+    try:
+        text = Path(path).read_text(encoding="utf-8")
+    except OSError as e:
+        raise RefineError(f"{step}_IO", str(e)) from e
+    try:
+        found = json.loads(text)
+    except ValueError as e:
+        raise RefineError(f"{step}_PARSE", str(e)) from e
+    if not isinstance(found, dict):
+        raise RefineError(f"{step}_NOT_OBJECT", f"{path} is no JSON object")
+    return found
+
+
+def apply_refinement(draft: dict | None, spec: dict | None) -> tuple[dict, list[Warning]]:
+    """``refine`` of what was read; either missing is an error of its own."""
+    if draft is None or spec is None:
+        raise RefineError("APPLY_REFINEMENT_NULL_INPUT", "a draft and a refinement are needed")
+    try:
+        return refine(draft, spec)
+    except ValueError as e:
+        raise RefineError("READ_REFINEMENT_INVALID", str(e)) from e
+
+
+def refine_one(draft: DraftFile) -> tuple[dict, list[Warning]]:
+    """A draft file with its refinement applied; without one the draft passes through, with a warning."""
+    found = read_object(draft.path, "READ_DRAFT")
+    if draft.refinement is None:
+        return sort_keys(found), [Warning("REFINEMENT_MISSING", draft.path, f"no refinement for {draft.name!r}")]
+    return apply_refinement(found, read_object(draft.refinement, "READ_REFINEMENT"))
+
+
+def refine_folder(inferred: str, refinements: str) -> tuple[dict[str, dict], dict[str, list[Warning]], dict[str, int], dict[str, RefineError]]:
+    """Every draft of a folder: finals, warnings, tallies and the errors by name."""
+    finals, warnings, errors, tally = {}, {}, {}, {"refined": 0, "passthrough": 0, "errors": 0}
+    for draft in walk_drafts(inferred, refinements):
+        try:
+            finals[draft.name], warnings[draft.name] = refine_one(draft)
+            tally["passthrough" if draft.refinement is None else "refined"] += 1
+        except RefineError as e:
+            errors[draft.name] = e
+            tally["errors"] += 1
+    return finals, warnings, tally, errors
