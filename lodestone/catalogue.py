@@ -6,16 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone import catalogue_graph, catalogue_records
+from lodestone import catalogue_files, catalogue_graph, catalogue_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     """Queries by name."""
-    return {name: q for part in (catalogue_records, catalogue_graph) for name, (q, _) in part.CATALOGUE.items()}
+    return {name: q for part in (catalogue_records, catalogue_graph, catalogue_files) for name, (q, _) in part.CATALOGUE.items()}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL by query name."""
-    return {name: sql for part in (catalogue_records, catalogue_graph) for name, (_, sql) in part.CATALOGUE.items() if sql is not None}
+    return {name: sql for part in (catalogue_records, catalogue_graph, catalogue_files) for name, (_, sql) in part.CATALOGUE.items() if sql is not None}

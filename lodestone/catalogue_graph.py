@@ -13,6 +13,7 @@ from lodestone.sources import rdf, sinks
 from lodestone.sources.records import from_table
 
 CATALOGUE: dict = {}
+ESC = "replace(replace(replace(replace(replace(text, chr(92), chr(92) || chr(92)), '\"', chr(92) || '\"'), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r'), chr(9), chr(92) || 't')"
 BASE, INSTANCES = "urn:vocab", "urn:id"
 T, S, I, D = RDF_TYPE, XSD + "string", XSD + "integer", XSD + "decimal"
 
@@ -93,14 +94,16 @@ PER_CLASS = "SELECT upper(event_type[1]) || event_type[2:] AS class_name, CAST(s
 
 @query("quads_per_class", PER_CLASS)
 def _(spark, sf_dir):  # noqa: ANN001, ANN202
-    """The flagship: records, discriminator, conflict resolution, projection, counts by class."""
+    """The flagship: records, discriminator, conflict resolution, projection, deduplication, counts by class."""
     e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     rows = classify.cascade(from_table(e, "events", "event_id"), {"discriminator": {"from": "/event_type", "sanitize": "pascalCase"}, "source": False})
     names = ["Signup", "Error", "Click", "View", "Purchase"]
     classes = {c: {"properties": {p: {"kind": "literal"} for p in ("event_id", "user_id", "value")}} for c in names}
     subject = F.concat(F.lit(f"{INSTANCES}/"), F.regexp_replace("record_path", "^table:", ""))
     done = project.project(rows, classes, BASE, subject, F.col("classification.type"))
-    return done.groupBy("class_name").agg(F.sum(F.size("quads")).alias("quads"), F.count(F.lit(1)).alias("records"))
+    quads = done.select("class_name", F.explode("quads").alias("q")).select("class_name", "q.*").distinct()
+    # Every record has one statement of its class.
+    return quads.groupBy("class_name").agg(F.count(F.lit(1)).alias("quads"), F.count_if(F.col("p") == T).alias("records"))
 
 
 FK = _sql_quads("customer", f"'{INSTANCES}/customer/' || c_custkey", [(f"{BASE}#inNation", f"'{INSTANCES}/nation/' || c_nationkey", "iri", None)])
@@ -125,11 +128,11 @@ def _(spark, sf_dir):  # noqa: ANN001, ANN202
 
 def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
-    own = F.array(type_quad(F.concat(F.lit(f"{INSTANCES}/segment/"), F.col("c_mktsegment")), F.lit(f"{BASE}/Segment")))
+    own = F.array(type_quad(F.concat(F.lit(f"{INSTANCES}/segment/"), F.col("c_mktsegment"), F.lit("-"), F.col("c_nationkey").cast("string")), F.lit(f"{BASE}/Segment")))
     return _quads(c, F.col("c_custkey").cast("string"), own)
 
 
-SEGMENTS = f"SELECT DISTINCT 'iri' AS s_type, '{INSTANCES}/segment/' || c_mktsegment AS s, '{T}' AS p, 'iri' AS o_type, '{BASE}/Segment' AS o, CAST(NULL AS VARCHAR) AS o_datatype, CAST(NULL AS VARCHAR) AS o_lang, CAST(NULL AS VARCHAR) AS g FROM customer"
+SEGMENTS = f"SELECT DISTINCT 'iri' AS s_type, '{INSTANCES}/segment/' || c_mktsegment || '-' || c_nationkey AS s, '{T}' AS p, 'iri' AS o_type, '{BASE}/Segment' AS o, CAST(NULL AS VARCHAR) AS o_datatype, CAST(NULL AS VARCHAR) AS o_lang, CAST(NULL AS VARCHAR) AS g FROM customer"
 
 
 @query("quads_dedup", SEGMENTS)
@@ -242,16 +245,20 @@ def _(spark, sf_dir):  # noqa: ANN001, ANN202
 
 
 @query("graph_bfs_rewrite", f"""
-SELECT '{INSTANCES}/region/' || r_regionkey AS s, 'urn:g/region' AS g FROM region UNION ALL
-SELECT '{INSTANCES}/nation/' || n_nationkey, 'urn:g/region' FROM nation UNION ALL SELECT '{INSTANCES}/customer/' || c_custkey, 'urn:g/region' FROM customer UNION ALL SELECT '{INSTANCES}/customer/x', 'urn:g/old'""")
+WITH n AS (SELECT *, CASE WHEN n_nationkey % 5 = 0 THEN 'urn:g/z-nation' ELSE 'urn:g/r' || n_regionkey END AS g FROM nation)
+SELECT '{INSTANCES}/region/' || r_regionkey AS s, 'urn:g/r' || r_regionkey AS g FROM region UNION ALL SELECT '{INSTANCES}/nation/' || n_nationkey, g FROM n
+UNION ALL SELECT '{INSTANCES}/customer/' || c_custkey, g FROM customer JOIN n ON c_nationkey = n_nationkey UNION ALL SELECT '{INSTANCES}/customer/x', 'urn:g/old'""")
 def _(spark, sf_dir):  # noqa: ANN001, ANN202
+    """The nearest typed subject decides: some nations have a graph of their own, which sorts after their region's."""
     r, n, c = table(spark, sf_dir, "region"), table(spark, sf_dir, "nation"), table(spark, sf_dir, "customer")
-    old = F.lit("urn:g/old")
-    quads = _quads(r, F.col("r_name"), F.array(type_quad(_subject("region", "r_regionkey"), F.lit(f"{BASE}/Region"), old)))
-    quads = quads.unionAll(_quads(n, F.col("n_name"), F.array(quad(_subject("region", "n_regionkey"), vocab(BASE, "has"), _subject("nation", "n_nationkey"), old))))
-    quads = quads.unionAll(_quads(c, F.col("c_name"), F.array(quad(_subject("nation", "c_nationkey"), vocab(BASE, "has"), _subject("customer", "c_custkey"), old), quad(_subject("customer", "c_custkey"), vocab(BASE, "name"), F.col("c_name"), old, "literal"))))
+    old, key = F.lit("urn:g/old"), lambda name: F.col(name).cast("string")
+    named = lambda kind, k, name: quad(_subject(kind, k), vocab(BASE, "name"), F.col(name), old, "literal")
+    quads = _quads(r, F.col("r_name"), F.array(type_quad(_subject("region", "r_regionkey"), F.concat(F.lit(f"{BASE}/Region"), key("r_regionkey")), old)))
+    quads = quads.unionAll(_quads(n, F.col("n_name"), F.array(quad(_subject("region", "n_regionkey"), vocab(BASE, "has"), _subject("nation", "n_nationkey"), old), named("nation", "n_nationkey", "n_name"))))
+    quads = quads.unionAll(_quads(n.where("n_nationkey % 5 = 0"), F.col("n_name"), F.array(type_quad(_subject("nation", "n_nationkey"), F.lit(f"{BASE}/Own"), old))))
+    quads = quads.unionAll(_quads(c, F.col("c_name"), F.array(quad(_subject("nation", "c_nationkey"), vocab(BASE, "has"), _subject("customer", "c_custkey"), old), named("customer", "c_custkey", "c_name"))))
     quads = quads.unionAll(_quads(r.limit(1), F.lit("x"), F.array(quad(F.lit(f"{INSTANCES}/customer/x"), vocab(BASE, "name"), F.lit("x"), old, "literal"))))
-    graphs = spark.createDataFrame([(f"{BASE}/Region", "urn:g/region")], "class_iri string, graph string")
+    graphs = spark.createDataFrame([(f"{BASE}/Region{i}", f"urn:g/r{i}") for i in range(5)] + [(f"{BASE}/Own", "urn:g/z-nation")], "class_iri string, graph string")
     return reconcile.rewrite_graphs(quads, graphs, T).select("s", "g").distinct()
 
 
@@ -298,7 +305,6 @@ def _lines_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _quads(d, F.col("doc_id").cast("string"), own)
 
 
-ESC = "replace(replace(replace(replace(replace(text, chr(92), chr(92) || chr(92)), '\"', chr(92) || '\"'), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r'), chr(9), chr(92) || 't')"
 
 
 @query("nquads_lines", f"""
@@ -321,11 +327,19 @@ def _(spark, sf_dir):  # noqa: ANN001, ANN202
     return sinks.turtle_blocks(n, {"v": f"{BASE}/", "w": f"{BASE}#"}).select(F.lit("id:nation/").alias("head"), "s", "block")
 
 
-@query("jsonld_nodes", f"SELECT '{INSTANCES}/region/' || r_regionkey AS s, '{{\"@id\":\"{INSTANCES}/region/' || r_regionkey || '\",\"@type\":[\"{BASE}/Region\"],\"{BASE}#r_name\":[{{\"@value\":\"' || r_name || '\"}}]}}' AS node FROM region")
+@query("jsonld_nodes", f"""
+SELECT s, '{{"@id":"' || s || '","@type":["{BASE}/Customer"],"{BASE}#c_mktsegment":[{{"@value":"' || c_mktsegment || '"}}],"{BASE}#c_name":[{{"@value":"' || c_name || '"}}],"{BASE}#c_nationkey":[{{"@value":"' || c_nationkey || '","@type":"{I}"}}]}}' AS node
+FROM (SELECT '{INSTANCES}/customer/' || c_custkey AS s, * FROM customer)""")
+def _(spark, sf_dir):  # noqa: ANN001, ANN202
+    return sinks.jsonld_nodes(exploded(_projected(spark, sf_dir, "customer", "c_custkey", "Customer"))).select("s", "node")
+
+
+@query("jsonld_compact", f"""
+SELECT s, '{{"@id":"' || s || '","@type":"{BASE}/Customer","name":"' || c_name || '","nation":["' || c_nationkey || '"],"v:c_mktsegment":"' || c_mktsegment || '"}}' AS node
+FROM (SELECT '{INSTANCES}/customer/' || c_custkey AS s, * FROM customer)""")
 def _(spark, sf_dir):  # noqa: ANN001, ANN202
-    s = _subject("region", "r_regionkey")
-    quads = _quads(table(spark, sf_dir, "region"), F.col("r_name"), F.array(type_quad(s, F.lit(f"{BASE}/Region")), quad(s, vocab(BASE, "r_name"), F.col("r_name"), None, "literal")))
-    return sinks.jsonld_nodes(quads).select("s", "node")
+    context = {"@context": {"v": f"{BASE}#", "name": "v:c_name", "nation": {"@id": "v:c_nationkey", "@type": I, "@container": "@set"}}}
+    return sinks.jsonld_nodes(exploded(_projected(spark, sf_dir, "customer", "c_custkey", "Customer")), context).select("s", "node")
 
 
 @query("jsonld_context_terms", f"""
@@ -336,9 +350,12 @@ def _(spark, sf_dir):  # noqa: ANN001, ANN202
     return rdf.context_terms(_lines_source(spark, sf_dir).unionByName(more), {"v": f"{BASE}#", "rdf": PREFIXES["rdf"], "xsd": XSD})
 
 
-@query("canonical_lines", f"SELECT DISTINCT '<{INSTANCES}/segment/' || c_mktsegment || '> <{T}> <{BASE}/Segment> .' AS value FROM customer")
+@query("canonical_lines", f"""
+SELECT DISTINCT value FROM (SELECT '<{INSTANCES}/document/' || doc_id || '>' AS s, * FROM documents) t, LATERAL (VALUES (s || ' <{T}> <{BASE}/Document> <urn:g/' || lang || '> .'), (s || ' <{BASE}#text> "' || {ESC} || '"@' || lang || ' <urn:g/' || lang || '> .'),
+  (s || ' <{BASE}#n> "' || n_chars || '"^^<{I}> .'), (s || ' <{BASE}#source> "' || source || '" .')) v(value)""")
 def _(spark, sf_dir):  # noqa: ANN001, ANN202
-    return sinks.canonical_lines(_segments(spark, sf_dir))
+    d = _lines_source(spark, sf_dir)
+    return sinks.canonical_lines(d.unionByName(d))
 
 
 @query("shacl_violations", f"""
@@ -387,8 +404,47 @@ def _(spark, sf_dir):  # noqa: ANN001, ANN202
     return viz.dense_index(c).select("id", "index")
 
 
-@query("viz_layout")
+@query("viz_layout", "SELECT 'g' || n_regionkey AS bucket, count(*) AS nodes, count(*) AS places, true AS inside, true AS spans FROM nation GROUP BY 1")
 def _(spark, sf_dir):  # noqa: ANN001, ANN202
+    """What any layout must hold: every node once, on a place of its own, inside the picture, which it fills."""
     n = table(spark, sf_dir, "nation").select(_subject("nation", "n_nationkey").alias("id"), F.concat(F.lit("g"), F.col("n_regionkey").cast("string")).alias("graph"))
     links = table(spark, sf_dir, "nation").select(_subject("nation", "n_nationkey").alias("src"), F.concat(F.lit(f"{INSTANCES}/nation/"), F.col("n_regionkey").cast("string")).alias("dst"))
-    return viz.layout(n, links)
+    span = F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y"))
+    return viz.layout(n, links).groupBy("bucket").agg(
+        F.count_distinct("id").alias("nodes"), F.count_distinct("x", "y").alias("places"), F.bool_and(F.expr("x BETWEEN 0 AND 1200 AND y BETWEEN 0 AND 1200")).alias("inside"), (span > 1199.9).alias("spans"),
+    )
+
+
+def _described(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations with names and types in their region's graph, and links to regions that have no statements."""
+    n = table(spark, sf_dir, "nation")
+    s, g = _subject("nation", "n_nationkey"), F.concat(F.lit("urn:g/"), F.col("n_regionkey").cast("string"))
+    region = F.concat(F.lit(f"{INSTANCES}/region/r-"), F.col("n_regionkey").cast("string"))
+    texts = [quad(s, vocab(BASE, "name"), F.col("n_name"), g, "literal"), quad(s, vocab(BASE, "text"), F.lit("about"), g, "literal")]
+    return _quads(n, F.col("n_name"), F.array(type_quad(s, F.lit("urn:core/Thing"), g), type_quad(s, F.lit(f"{BASE}/Nation"), g), *texts, quad(s, vocab(BASE, "in"), region, g)))
+
+
+@query("property_graph_nodes", f"""
+SELECT '{INSTANCES}/nation/' || n_nationkey AS id, n_name AS label, 'v:Nation' AS class_label, 'urn:g/' || n_regionkey AS graph, 'w:name=' || n_name || ';w:text=about' AS properties FROM nation
+UNION ALL SELECT DISTINCT '{INSTANCES}/region/r-' || n_regionkey, CAST(n_regionkey AS VARCHAR), NULL, 'urn:g/' || n_regionkey, '' FROM nation""")
+def _(spark, sf_dir):  # noqa: ANN001, ANN202
+    nodes, _, _ = viz.property_graph(_described(spark, sf_dir), {"v": f"{BASE}/", "w": f"{BASE}#", "r": f"{INSTANCES}/region/"})
+    told = F.array_join(F.transform(F.map_entries("properties"), lambda e: F.concat(e["key"], F.lit("="), F.array_join(e["value"], ","))), ";")
+    return nodes.select("id", "label", "class_label", "graph", told.alias("properties"))
+
+
+@query("property_graph_edges", f"""
+SELECT '{INSTANCES}/nation/' || n_nationkey || '--{BASE}#in->>{INSTANCES}/region/r-' || n_regionkey AS id, '{INSTANCES}/nation/' || n_nationkey AS source, '{INSTANCES}/region/r-' || n_regionkey AS target, 'w:in' AS label, 'urn:g/' || n_regionkey AS graph FROM nation""")
+def _(spark, sf_dir):  # noqa: ANN001, ANN202
+    return viz.property_graph(_described(spark, sf_dir), {"v": f"{BASE}/", "w": f"{BASE}#"})[1]
+
+
+@query("projection_strict_schema", """
+SELECT o_orderkey, CASE WHEN o_totalprice >= 1000 AND o_orderstatus IN ('O', 'F') THEN '' ELSE 'PROJECTION_CONSTRAINT_VIOLATION' END AS warnings, CASE WHEN o_orderkey % 7 = 0 THEN 'SQUASH_PROJECTION_FAILED' END AS error, CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE 1 END AS n FROM orders""")
+def _(spark, sf_dir):  # noqa: ANN001, ANN202
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.to_variant_object(F.struct("o_orderkey", "o_orderstatus", "o_totalprice")).alias("rec"))
+    schema = {"type": "object", "properties": {"o_totalprice": {"type": "number", "minimum": 1000}, "o_orderstatus": {"enum": ["O", "F"]}}}
+    key = lambda rec: F.try_variant_get(rec, "$.o_orderkey", "long")
+    classes = {"Order": {"schema": schema, "projector": lambda rec, s, g: F.when(key(rec) % 7 != 0, F.array(type_quad(s, F.lit(f"{BASE}/Order"), g)))}}
+    done = project.project(o, classes, BASE, _subject("order", "o_orderkey"), F.lit("Order"))
+    return done.select("o_orderkey", F.array_join("projection_warnings", ",").alias("warnings"), F.col("projection_error").alias("error"), F.size("quads").alias("n"))

@@ -413,10 +413,12 @@ def _(spark, sf_dir):  # noqa: ANN001, ANN202
     return rows.select("page_id", F.col("x.href").alias("href"), F.col("x.text").alias("label"))
 
 
-@query("page_type", "SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'spell' WHEN 1 THEN 'generic' WHEN 2 THEN 'monster' ELSE 'unknown' END AS page_type FROM pages")
+@query("page_type", """
+SELECT page_id, CASE WHEN contains(url, '/en/') THEN 'spell' WHEN contains(url, '/fr/') THEN 'monster' WHEN contains(url, '/de/') THEN 'generic' ELSE 'unknown' END AS page_type FROM pages""")
 def _(spark, sf_dir):  # noqa: ANN001, ANN202
-    tail = F.element_at(F.array(F.lit("/Spells.aspx?ID=1"), F.lit("/Other.aspx"), F.lit("/Creatures.aspx"), F.lit("/x")), (F.col("page_id") % 4 + 1).cast("int"))
-    return table(spark, sf_dir, "pages").select("page_id", extract.page_type(F.concat(F.lit("https://x.org"), tail)).alias("page_type"))
+    """The languages in the addresses stand for the wiki's sections."""
+    at = F.replace(F.replace(F.replace(F.col("url"), F.lit("/en/"), F.lit("/Spells.aspx?ID=")), F.lit("/fr/"), F.lit("/creatures.aspx/")), F.lit("/de/"), F.lit("/Other.aspx/"))
+    return table(spark, sf_dir, "pages").select("page_id", extract.page_type(at).alias("page_type"))
 
 
 @query("field_harvest", "SELECT p_partkey, CAST(p_size AS BIGINT) AS ac, 3 AS n_fields, p_brand AS first_value, CAST(floor(p_retailprice) AS BIGINT) * 100 AS price_cp FROM part")
