@@ -77,11 +77,11 @@ SENTENCES = {
     "mpl2_copy_https": "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/",
     "epl2_terms": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0",
     "bsl_distributed": "Distributed under the Boost Software License, Version 1.0",
-    "bsl_title": "Boost Software License - Version 1.0 - August 17th, 2003",
+    "bsl_title": "Boost Software License Version 1.0 August 17th, 2003",
     "unlicense_free": "This is free and unencumbered software released into the public domain",
     "zlib_as_is": "This software is provided 'as-is', without any express or implied warranty",
     "zlib_grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
-    "wtfpl_terms": "This work is free. You can redistribute it and/or modify it under the terms of the Do What The Fuck You Want To Public License, Version 2, as published by Sam Hocevar",
+    "wtfpl_terms": "You can redistribute it and/or modify it under the terms of the Do What The Fuck You Want To Public License, Version 2, as published by Sam Hocevar",
 }
 # Licence identifiers that a line "SPDX-License-Identifier: ..." names.
 SPDX = "MIT Apache-2.0 BSD-2-Clause BSD-3-Clause ISC 0BSD Zlib MPL-2.0 EPL-2.0 BSL-1.0 Unlicense CC0-1.0 CC-BY-4.0 CC-BY-SA-4.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later AGPL-3.0-only AGPL-3.0-or-later".split()
@@ -167,8 +167,8 @@ NORMAL_FORM = [
     (END, " "),
     # An address that is set apart belongs to the sentence before it; "v." is no sentence end.
     (r"\n[^a-z0-9]*(https?:)", " $1"),
-    (rf"([^a-z0-9]v)\.({_SPACE}+[0-9])", "$1$2"),
-    (rf"(^|[\n.!?:;])([^a-z0-9\n]*){_NUMBER}[.)][ \t]", f"$1$2{END}"),
+    (rf"([^a-z0-9]v)\.({_SPACE}[^a-z0-9]*[0-9])", "$1$2"),
+    (rf"(^|\n|[.!?:;]{_SPACE})([^a-z0-9\n]*){_NUMBER}[.)][ \t]", f"$1$2{END}"),
     (rf"[.!?]({_SPACE})", f"{END}$1"),
     (r"\n[^a-z0-9\n]*\n", f"{END}"),
     (r"[:;][ \t]", "\n"),
