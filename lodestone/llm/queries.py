@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_extract, licenses, media, packing, secrets, sharding, simhash, suffix_dedup, toxicity
+from . import decontam, html_extract, licenses, media, packing, secrets, sharding, simhash, suffix_dedup, toxicity, twins
 from .common import table
 
 
@@ -102,4 +102,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    return {"op10_license_scan": licenses.licenses_sql()}
+    return {
+        "op2_suffix_dedup": twins.suffix_dedup_sql(),
+        "op3_sharding": twins.sharding_sql(),
+        "op4_decontamination": twins.decontamination_sql(),
+        "op10_license_scan": licenses.licenses_sql(),
+    }
