@@ -106,5 +106,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_suffix_dedup": twins.suffix_dedup_sql(),
         "op3_sharding": twins.sharding_sql(),
         "op4_decontamination": twins.decontamination_sql(),
+        "op7_simhash": twins.simhash_sql(),
         "op10_license_scan": licenses.licenses_sql(),
     }

@@ -6,12 +6,14 @@ every text, compared by its bytes or words. Fit for small tables.
 
 from __future__ import annotations
 
-from . import decontam, suffix_dedup
+from . import decontam, simhash, suffix_dedup
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # The polynomial of CRC-32 and the word pattern as the contract deals it.
 CRC_POLYNOMIAL = 3988292384
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# The five primes of XXH64.
+PRIMES = (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261)
 #: A doc_id for rows without one: later than every other.
 LAST = (1 << 63) - 1
 
@@ -122,3 +124,65 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BI
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(n_near_items, 0) AS BIGINT) AS n_near_items
 FROM docs LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r) LEFT JOIN near_items USING (r)
 """
+
+
+def _xxh64(seed: int) -> list[str]:
+    """SELECT lists, one after the other, from ``bytes`` (a list of numbers) to ``h``; arithmetic modulo 2^64 in 128 bits."""
+    one, two, three, four, five = (f"{p}::UHUGEINT" for p in PRIMES)
+    word = (1 << 64) - 1
+    low = lambda x: f"(({x}) & {word}::UHUGEINT)"
+    turn = lambda x, n: low(f"({x} << {n}) | ({x} >> {64 - n})")
+    mixed = lambda v, x: low(f"{turn(low(f'{v} + {low(f'{x} * {two}')}'), 31)} * {one}")
+    number = lambda at, n: "(" + " + ".join(f"bytes[{at} + {j + 1}]::UHUGEINT * {1 << 8 * j}::UHUGEINT" for j in range(n)) + ")"
+    starts = [(seed + PRIMES[0] + PRIMES[1]) & word, (seed + PRIMES[1]) & word, seed, (seed - PRIMES[0]) & word]
+    lanes = [f"list_reduce([{number(f'i * 32 + {8 * k}', 8)} for i in range(n // 32)], lambda v, x: {mixed('v', 'x')}, {s}::UHUGEINT) AS v{k}" for k, s in enumerate(starts)]
+    whole = low(" + ".join(turn(f"v{k}", n) for k, n in enumerate((1, 7, 12, 18))))
+    merged = f"list_reduce([v0, v1, v2, v3], lambda h, v: {low(f'xor(h, {mixed('0::UHUGEINT', 'v')}) * {one} + {four}')}, {whole})"
+    eight = f"list_reduce([{number('n // 32 * 32 + i * 8', 8)} for i in range(n % 32 // 8)], lambda h, x: {low(f'{turn(f"xor(h, {mixed('0::UHUGEINT', 'x')})", 27)} * {one} + {four}')}, h)"
+    quad = f"list_reduce([{number('n // 8 * 8', 4)} for i in range(n % 8 // 4)], lambda h, x: {low(f'{turn(f"xor(h, {low(f'x * {one}')})", 23)} * {two} + {three}')}, h)"
+    single = f"list_reduce([bytes[n // 4 * 4 + i + 1]::UHUGEINT for i in range(n % 4)], lambda h, x: {low(f'{turn(f"xor(h, {low(f'x * {five}')})", 11)} * {one}')}, h)"
+    return [
+        "words, n, bytes, " + ", ".join(lanes),
+        f"words, n, bytes, {low(f'n::UHUGEINT + CASE WHEN n < 32 THEN {(seed + PRIMES[4]) & word}::UHUGEINT ELSE {merged} END')} AS h",
+        f"words, n, bytes, {eight} AS h",
+        f"words, n, bytes, {quad} AS h",
+        f"words, n, bytes, {single} AS h",
+        f"words, {low(f'xor(h, h >> 33) * {two}')} AS h",
+        f"words, {low(f'xor(h, h >> 29) * {three}')} AS h",
+        "words, CAST(xor(h, h >> 32) AS UBIGINT) AS h",
+    ]
+
+
+def simhash_sql(shingle: int = 4, radius: int = simhash.RADIUS, seed: int = 42) -> str:
+    """``op7``: every pair of distinct fingerprints, and all that can be reached from each."""
+    leads = "".join(f", lead(w, {j}) OVER (PARTITION BY r ORDER BY p)" for j in range(1, shingle))
+    hashed = ["known AS (SELECT words, octet_length(encode(words)) AS n, list_transform(regexp_extract_all(hex(encode(words)), '..'), lambda x: CAST('0x' || x AS UTINYINT)) AS bytes FROM (SELECT DISTINCT words FROM shingles))"]
+    for k, select in enumerate(_xxh64(seed)):
+        hashed.append(f"x{k} AS (SELECT {select} FROM {f'x{k - 1}' if k else 'known'})")
+    bits = " + ".join(f"CASE WHEN 2 * sum(CAST((h >> {b}) & 1 AS BIGINT)) > count(*) THEN {1 << b}::UHUGEINT ELSE 0::UHUGEINT END" for b in range(64))
+    return f"""
+WITH RECURSIVE docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+), runs AS (
+  SELECT r, [w{leads}] AS ws FROM (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM docs)
+), shingles AS MATERIALIZED (
+  SELECT r, array_to_string(ws, ' ') AS words FROM runs WHERE ws[{shingle}] IS NOT NULL
+  UNION ALL
+  SELECT r, array_to_string(ws, ' ') FROM docs WHERE len(ws) BETWEEN 1 AND {shingle - 1}
+), {", ".join(hashed)}, made AS (
+  SELECT r, CAST({bits} AS UBIGINT) AS fp FROM shingles JOIN x{len(hashed) - 2} USING (words) GROUP BY r
+), marked AS MATERIALIZED (
+  SELECT doc_id, coalesce(fp, 0::UBIGINT) AS fp FROM docs LEFT JOIN made USING (r)
+), points AS MATERIALIZED (
+  SELECT fp, min(doc_id) AS least FROM marked GROUP BY fp
+), links AS MATERIALIZED (
+  SELECT a.fp AS a, b.fp AS b FROM points AS a JOIN points AS b ON a.fp <> b.fp AND bit_count(xor(a.fp, b.fp)) <= {radius}
+), reached AS (
+  SELECT fp AS a, fp AS b FROM points
+  UNION
+  SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b
+), named AS (
+  SELECT a AS fp, min(least) AS component_id FROM reached JOIN points ON points.fp = reached.b GROUP BY a
+)
+SELECT doc_id, lower(lpad(hex(fp), 16, '0')) AS fingerprint, component_id FROM marked JOIN named USING (fp)
+"""

@@ -238,6 +238,25 @@ def test_query_equals_its_duckdb_twin(spark, folder, name):
     same(map(tuple, got.select(*want.columns).collect()), want.fetchall())
 
 
+def test_xxh64_of_the_twin():
+    """Every length from 0 to 200 bytes, one-byte and two-byte characters."""
+    import random
+
+    import pandas as pd
+    import xxhash
+
+    from lodestone.llm import twins
+
+    rng = random.Random(4)
+    d = pd.DataFrame({"words": ["".join(rng.choice("abc é") for _ in range(n)) for n in range(201)]})
+    db, steps = duckdb.connect(), ["known AS (SELECT words, octet_length(encode(words)) AS n, list_transform(regexp_extract_all(hex(encode(words)), '..'), lambda x: CAST('0x' || x AS UTINYINT)) AS bytes FROM d)"]
+    db.register("d", d)
+    for k, select in enumerate(twins._xxh64(42)):
+        steps.append(f"x{k} AS (SELECT {select} FROM {f'x{k - 1}' if k else 'known'})")
+    got = db.sql(f"WITH {', '.join(steps)} SELECT words, h FROM x{len(steps) - 2}").fetchall()
+    assert len(got) == 201 and all(h == xxhash.xxh64_intdigest(w.encode(), 42) for w, h in got)
+
+
 def test_license_form_against_duckdb(spark):
     import random
 
