@@ -38,6 +38,8 @@ CANDIDATES = 1 << 18
 SEGMENT_ROWS = 4_096
 #: Postings in one file of the index, roughly, and in one row: rows of a bounded size spread evenly by their number.
 FILE_POSTINGS, ROW_POSTINGS = 1_000_000, 1_024
+#: Pairs (segment, term) still needed that are broadcast at most (12 bytes each, 24 as a row); more are sorted and merged.
+BROADCAST_PAIRS = 500_000
 
 #: Bytes outside words become spaces, A-Z become a-z; bytes of non-ASCII characters belong to words.
 FOLD = bytes((i + 32 if 0x41 <= i <= 0x5A else i if 0x30 <= i <= 0x39 or 0x61 <= i <= 0x7A or i >= 0x80 else 0x20) for i in range(256))
@@ -274,6 +276,9 @@ def _search(rows: DataFrame, items: list[tuple[str, str]], window: int, within:
     rarest = spark.createDataFrame([(int(t),) for t in w.first_terms()], "term int")
     seeded = checkpointed(index.join(F.broadcast(rarest), "term", "left_semi").groupBy("segment").applyInPandas(lambda g: seeds(g, shared.value, within), SEEDS))
     needed = seeded.select("segment", F.explode("terms").alias("term"))
+    # Counted, since Spark's own estimate leaves out what explode multiplies.
+    pairs = seeded.agg(F.sum(F.size("terms"))).first()[0] or 0
+    needed = F.broadcast(needed) if pairs <= BROADCAST_PAIRS else needed.hint("merge")
     lists = index.join(needed, ["segment", "term"]).select("segment", "term", "positions")
     found = seeded.groupBy("segment").cogroup(lists.groupBy("segment")).applyInPandas(lambda s, g: verified(s, g, shared.value, within), FOUND)
     return docs.groupBy("segment").cogroup(found.groupBy("segment")).applyInPandas(lambda d, f: told(d, f, shared.value), RESULT)

@@ -12,7 +12,7 @@ from test_decontam_secrets import brute, brute_near
 from test_simhash_suffix import plain_components, plain_fingerprint, plain_removal
 from test_toxicity_media_html_pipeline import PAGE, plain_score
 
-from lodestone.llm import html_extract, licenses, media, queries, toxicity
+from lodestone.llm import decontam, html_extract, licenses, media, queries, toxicity
 
 LINES = ["Released under the MIT License.", "password = hunter2hunter2", "Licensed under\n# CC BY 4.0\n", "you moron, go away. Fine words here."]
 
@@ -89,6 +89,14 @@ def test_op4(spark, folder, documents):
     assert any(w[5] for w in want)
 
 
+def test_op4_with_more_pairs_than_are_broadcast(spark, folder, monkeypatch):
+    want = run(spark, "op4_decontamination", folder)
+    monkeypatch.setattr(decontam, "BROADCAST_PAIRS", 0)
+    query = queries.op4_decontamination(spark, folder)
+    assert "SortMergeJoin" in query._jdf.queryExecution().executedPlan().toString()
+    same(query.collect(), want)
+
+
 class PlainArticle(HTMLParser):
     """The article's blocks of a well-formed page without any boilerplate inside its article."""
 
