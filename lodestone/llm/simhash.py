@@ -20,14 +20,18 @@ Inside a shard a vantage-point search under the full distance finds the exact pa
 component, never all pairs, which keeps connectivity whole. Components are then joined by large-star and
 small-star passes, which reduce neighbourhoods by map-side minima and never gather one.
 
-With ``similarity`` the bits only find candidates: the documents of each candidate component, one of each
-shingle set, then meet once, and a link needs the similarity (Jaccard) of their sets of shingles (as 64-bit
-hashes). Components are formed from those links alone.
+With ``similarity`` the bits only find candidates, and since trees of a radius that wide exclude nothing, the
+shards come from the shingles instead: sets of that similarity (Jaccard) share a shingle of their prefixes (see
+``prefix``), so the sets with one shingle in their prefixes are a shard. The same search then finds the
+candidates in a shard. The documents of each candidate component, one of each shingle set, meet once, and a
+link needs the similarity of their sets of shingles (as 64-bit hashes). Components are formed from those links
+alone.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import reduce
 from itertools import combinations
 
@@ -54,6 +58,10 @@ SHARD, MAX_TREES, ROWS = 8_192, 100, 64
 MAX_SETS, TASK_SETS = 8_192, 1_000
 #: Share of 256 bits in which candidates differ at most. Sets of Jaccard 0.8 differ in about 0.15 of them.
 FAR = 0.25
+#: Texts sampled for frequent shingles; those that hold a frequent one at least; frequent shingles kept at most.
+SAMPLE, OFTEN, MOST_FREQUENT = 4_000, 8, 100_000
+#: Shingles of prefixes that one task sorts.
+TASK_SHINGLES = 200_000
 FOLD = bytes(i + 32 if 0x41 <= i <= 0x5A else i for i in range(256))
 
 
@@ -105,16 +113,61 @@ def fingerprints(texts: Column, shingle: int = 4, words64: int = 1) -> Column:
     return F.pandas_udf(make, "fp long, more binary")(texts)
 
 
-def set_fingerprints(texts: Column, shingle: int, words64: int = 4) -> Column:
-    """struct<node long, fp long, more binary>: a hash of each text's set of shingles, and the bits of that set."""
+def set_fingerprints(texts: Column, shingle: int, similarity: float, frequent: np.ndarray, words64: int = 4) -> Column:
+    """struct<node long, fp long, more binary, prefix binary>: a hash of each text's set of shingles, its bits, its prefix."""
 
     def make(batch: pd.Series) -> pd.DataFrame:
         sets = [np.unique(shingles(t, shingle)) for t in batch]
         found = np.array([_majorities(h, words64) for h in sets], np.uint64).reshape(-1, words64)
         node = np.array([xxhash.xxh64_intdigest(h.tobytes(), 42) for h in sets], np.uint64)
-        return pd.DataFrame({"node": node.view(np.int64), "fp": found[:, 0].view(np.int64), "more": [x.tobytes() for x in found[:, 1:]]})
+        out = pd.DataFrame({"node": node.view(np.int64), "fp": found[:, 0].view(np.int64), "more": [x.tobytes() for x in found[:, 1:]]})
+        out["prefix"] = [prefix(h, similarity, frequent).tobytes() for h in sets]
+        return out
 
-    return F.pandas_udf(make, "node long, fp long, more binary")(texts)
+    return F.pandas_udf(make, "node long, fp long, more binary, prefix binary")(texts)
+
+
+def prefix(h: np.ndarray, similarity: float, frequent: np.ndarray) -> np.ndarray:
+    """The first shingles of a sorted set; sets of ``similarity`` (Jaccard) or more share one of them.
+
+    Such sets have at least that share of either in common, so the first common shingle, in whatever order all
+    sets use, is among the first |h| - ceil(similarity * |h|) + 1 of both. Here ``frequent`` ones (sorted) come last,
+    whichever they are, and hashes decide otherwise.
+    """
+    first = len(h) - math.ceil((similarity - 1e-9) * len(h)) + 1
+    if len(frequent):
+        late = frequent[np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)] == h
+        h = np.concatenate([h[~late], h[late]])
+    return h[:first]
+
+
+def _shingle_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(shingle, node) from (node, prefix); a task gives those of a node once."""
+    seen: set[int] = set()
+    for rows in batches:
+        rows = rows[~rows["node"].isin(seen)].drop_duplicates("node")
+        seen.update(rows["node"].tolist())
+        node = np.repeat(rows["node"].to_numpy(np.int64), [len(x) // 8 for x in rows["prefix"]])
+        yield pd.DataFrame({"shingle": np.frombuffer(b"".join(rows["prefix"]), np.int64), "node": node})
+
+
+def frequent_shingles(texts: DataFrame, n: int, shingle: int) -> np.ndarray:
+    """Sorted shingles of at least OFTEN of about SAMPLE texts; ``texts``: n rows of text_hash, whole.
+
+    Results do not depend on them, only sizes of shards do; where no shard can be large there are none.
+    """
+    if n <= MAX_SHARD:
+        return np.zeros(0, np.uint64)
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            h, c = np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.unique(shingles(t, shingle)) for t in rows["whole"])]), return_counts=True)
+            yield pd.DataFrame({"shingle": h.view(np.int64), "c": c.astype(np.int64)})
+
+    some = texts.where(F.pmod("text_hash", F.lit(max(1, n // SAMPLE))) == 0).dropDuplicates(["text_hash"]).select("whole")
+    counts = some.mapInPandas(counted, "shingle long, c long").groupBy("shingle").agg(F.sum("c").alias("c"))
+    found = counts.where(F.col("c") >= OFTEN).orderBy(F.desc("c"), "shingle").limit(MOST_FREQUENT).collect()
+    return np.sort(np.array([r.shingle for r in found], np.int64).view(np.uint64))
 
 
 def shingle_sets(texts: Column, shingle: int) -> Column:
@@ -162,17 +215,19 @@ def block_masks(n_fp: int, radius: int, overlap: int = 0) -> tuple[list[int], in
 
 
 def within(fp: np.ndarray, radius: int, more: np.ndarray | None = None, more_radius: int = 0) -> np.ndarray:
-    """For each point, the number of the first one of its component by links within ``radius``.
+    """For each point (a 64-bit word, or a row of them), the number of the first one of its component by links within ``radius``.
 
     ``more``: further bits (a row of 64-bit words each); a link then also needs at most ``more_radius``
     different bits in all. A vantage-point search: points sorted by distance from the first one have
     their partners in the shells at most ``radius`` away.
     """
     n = len(fp)
-    shell = np.bitwise_count(fp ^ fp[0]).astype(np.int64)
+    columns = fp.reshape(n, -1).T
+    shell = sum(np.bitwise_count(c ^ c[0]).astype(np.int64) for c in columns)
     order = np.argsort(shell, kind="stable")
-    points, shells = fp[order], shell[order]
-    edges = np.searchsorted(shells, np.arange(66 + radius))
+    points, shells = columns[:, order], shell[order]
+    edges = np.searchsorted(shells, np.arange(64 * len(columns) + 2 + radius))
+    kind = np.uint8 if len(columns) == 1 else np.uint16
     parent = np.arange(n)
 
     def roots(x: np.ndarray) -> np.ndarray:
@@ -183,7 +238,7 @@ def within(fp: np.ndarray, radius: int, more: np.ndarray | None = None, more_rad
     for a in range(0, n, ROWS):
         b = min(n, a + ROWS)
         end = edges[shells[b - 1] + radius + 1]
-        near = np.bitwise_count(points[a:b, None] ^ points[None, a:end]) <= radius
+        near = reduce(np.add, (np.bitwise_count(c[a:b, None] ^ c[None, a:end]).astype(kind, copy=False) for c in points)) <= radius
         i, j = np.nonzero(near)
         keep = j > i
         i, j = i[keep], j[keep] + a
@@ -203,8 +258,8 @@ def within(fp: np.ndarray, radius: int, more: np.ndarray | None = None, more_rad
     return label
 
 
-def _shard_links(rows: pd.DataFrame, radius: int, more_radius: int) -> pd.DataFrame:
-    """Links (node, first of its component) inside each shard of a task."""
+def _shard_links(rows: pd.DataFrame, radius: int | None, more_radius: int) -> pd.DataFrame:
+    """Links (node, first of its component) inside each shard of a task; without ``radius``, by all bits within ``more_radius``."""
     rows = rows.sort_values(["shard", "node"])
     shard, node = rows["shard"].to_numpy(), rows["node"].to_numpy(np.int64)
     keep = np.ones(len(rows), bool)
@@ -212,6 +267,8 @@ def _shard_links(rows: pd.DataFrame, radius: int, more_radius: int) -> pd.DataFr
     rows, shard, node = rows[keep], shard[keep], node[keep]
     fps = rows["fp"].to_numpy(np.int64).view(np.uint64)
     more = np.frombuffer(b"".join(rows["more"]), np.uint64).reshape(len(rows), -1) if len(rows) and rows["more"].iloc[0] else None
+    if radius is None:
+        fps, more, radius = np.column_stack([fps, more]) if more is not None else fps, None, more_radius
     cuts = np.concatenate([[0], np.flatnonzero(shard[1:] != shard[:-1]) + 1, [len(rows)]])
     out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for a, b in zip(cuts[:-1], cuts[1:]):
@@ -354,6 +411,40 @@ def links(fps: DataFrame, radius: int = RADIUS, more_radius: int = 0, overlap: i
     )
 
 
+def _sharing(rows: pd.DataFrame) -> pd.DataFrame:
+    """(path, node) for the shingles of a task that several nodes have; shingles of the same nodes have one path."""
+    rows = rows.drop_duplicates(["shingle", "node"]).sort_values("shingle")
+    shingle, node = rows["shingle"].to_numpy(), rows["node"].to_numpy(np.int64)
+    starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(rows)), bool), shingle[1:] != shingle[:-1]]))
+    sizes = np.diff(np.append(starts, len(rows)))
+    path = np.add.reduceat(node, starts) if len(rows) else np.zeros(0, np.int64)
+    out = pd.DataFrame({"path": np.repeat(path, sizes), "node": node})
+    return out[np.repeat(sizes > 1, sizes)].drop_duplicates()
+
+
+def sharing(sets: DataFrame) -> DataFrame:
+    """(path, node): nodes that share a shingle of their prefixes share a path; ``sets``: node, prefix (rows may repeat)."""
+    n = (sets.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0) // 8
+    rows = sets.select("node", "prefix").mapInPandas(_shingle_rows, "shingle long, node long")
+    dealt = rows.withColumn("task", F.pmod("shingle", F.lit(max(1, n // TASK_SHINGLES))))
+    return dealt.groupBy("task").applyInPandas(_sharing, "path long, node long").distinct()
+
+
+def sharing_links(fps: DataFrame, placed: DataFrame, more_radius: int) -> DataFrame:
+    """Links (a, b) of nodes that connect the same nodes as all pairs of one path within ``more_radius`` do.
+
+    ``fps``: node, fp, more; ``placed``: path, node. The path of over MAX_SHARD nodes is cut into chunks that meet
+    pairwise; with frequent shingles last these are few.
+    """
+    tasks = max(1, placed.count() // TASK_ROWS)
+    return (
+        _shards(placed, "path", MAX_SHARD).join(fps, "node")
+        .withColumn("task", F.pmod("shard", F.lit(tasks)))
+        .groupBy("task").applyInPandas(lambda rows: _shard_links(rows, None, more_radius), "a long, b long")
+        .distinct()
+    )
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of an edge, by star contraction.
 
@@ -383,23 +474,28 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = RADIUS, sim
     """One row per document: doc_id, fp (signed long), text_hash, component_id (smallest doc_id reachable).
 
     Documents whose fingerprints differ in ``radius`` bits or fewer are linked. With ``similarity``, a link
-    needs that Jaccard similarity of the sets of shingles instead, and the bits (256 of the set) only find the
-    candidates. Null and empty texts have fingerprint zero and are linked like
+    needs that Jaccard similarity of the sets of shingles instead, and the bits (256 of the set, FAR of them,
+    whatever ``radius`` is) only find the candidates among sets that share a shingle of their prefixes. Null and empty texts have fingerprint zero and are linked like
     any other; a null key is never the smallest of a component that has another key; repeated rows
     share their component; an empty table gives no rows; very long texts are read whole; other columns are
     ignored.
     """
-    with batch_rows(docs.sparkSession, BATCH):
+    spark = docs.sparkSession
+    with batch_rows(spark, BATCH):
         whole = whole_text(text)
-        made = fingerprints(whole, shingle) if similarity is None else set_fingerprints(whole, shingle)
-        made = docs.select(F.col(key).alias("doc_id"), F.xxhash64(whole).alias("text_hash"), made.alias("f"))
-        node = F.col("f.fp" if similarity is None else "f.node")
-        marked = checkpointed(made.select("doc_id", "text_hash", node.alias("node"), "f.fp", "f.more"))
+        texts = docs.select(F.col(key).alias("doc_id"), F.xxhash64(whole).alias("text_hash"), whole.alias("whole"))
         if similarity is None:
-            return cluster(marked, radius)
+            made = texts.select("doc_id", "text_hash", fingerprints(F.col("whole"), shingle).alias("f"))
+            return cluster(checkpointed(made.select("doc_id", "text_hash", F.col("f.fp").alias("node"), "f.fp", "f.more")), radius)
+        frequent = frequent_shingles(texts, docs.count(), shingle)
+        made = texts.select("doc_id", "text_hash", set_fingerprints(F.col("whole"), shingle, similarity, frequent).alias("f"))
+        sets, sets_at = written(made.select("doc_id", "text_hash", "f.node", "f.fp", "f.more", "f.prefix"))
+        marked = checkpointed(sets.drop("prefix"))
+        placed, placed_at = written(sharing(sets))
+        remove_folder(spark, sets_at)
         more_radius = math.floor(256 * FAR)
-        candidates = components(links(marked.select("node", "fp", "more").distinct(), radius, more_radius))
-        texts = docs.select(F.col(key).alias("doc_id"), F.xxhash64(whole).alias("text_hash"), whole.alias("whole"))
+        candidates = components(sharing_links(marked.select("node", "fp", "more").distinct(), placed, more_radius))
+        remove_folder(spark, placed_at)
         return named(marked, components(set_links(marked, candidates, texts, shingle, more_radius, similarity)))
 
 

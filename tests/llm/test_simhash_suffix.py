@@ -235,3 +235,57 @@ def test_set_search_in_chunks(spark, monkeypatch):
     monkeypatch.setattr(simhash, "MAX_SETS", 7)
     got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, 16, 0.8).collect()
     assert {r.component_id for r in got if r.doc_id is not None} == {0} and len({r.root for r in got}) == 3
+
+
+def test_sets_meet_by_their_shingles(spark, monkeypatch):
+    import random
+
+    rng = random.Random(11)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    sets_of = lambda t: {tuple(t[k : k + 5]) for k in range(max(1, len(t) - 4))}
+    alike = lambda a, b: 10 * len(sets_of(a) & sets_of(b)) >= 8 * len(sets_of(a) | sets_of(b))
+    bits = lambda t: simhash._majorities(np.unique(simhash.shingles(" ".join(t), 5)), 1)[0]
+    line = words(12)
+    texts = [line + words(rng.randint(15, 60)) for _ in range(400)]
+    texts += [t[:-cut] + words(cut) for t in texts[:100] for cut in [rng.randint(1, 6)]]
+    far = []
+    while len(far) < 6:
+        one = line + words(48)
+        two = one[:-6] + words(6)
+        if alike(one, two) and bin(bits(one) ^ bits(two)).count("1") > 16:
+            far += [one, two]
+    texts += [*far, ["a"], ["a"], [], ["a", "b"]]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if label[i] != label[j] and (alike(texts[i], texts[j]) if texts[i] and texts[j] else texts[i] == texts[j]):
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    made, dealt = simhash._shards, []
+
+    def counted(placed, key, most):
+        out = made(placed, key, most)
+        dealt.append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "_shards", counted)
+    rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    for most in (20_000, 40):
+        monkeypatch.setattr(simhash, "MAX_SHARD", most)
+        got = simhash.near_duplicates(rows, 5, 16, 0.8).collect()
+        assert {r.doc_id: r.component_id for r in got} == dict(enumerate(label))
+    # With shards of 40 the line that all texts share deals out no text to many shards, however many texts there are.
+    assert max(dealt[-2:]) < 2 * len(texts)
+
+
+def test_alike_sets_share_a_prefix():
+    rng = np.random.default_rng(6)
+    for n in [1, 2, 4, 5, 9, 10, 50, 400] * 20:
+        common = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        both = [np.unique(np.concatenate([common, rng.integers(0, 1 << 63, k, dtype=np.uint64)])) for k in rng.integers(0, n // 8 + 2, 2)]
+        frequent = np.unique(np.concatenate([rng.choice(common, n // 2), rng.integers(0, 1 << 63, 9, dtype=np.uint64)]))
+        for late in (frequent, common[:0], np.unique(common)):
+            if simhash.jaccard(*both, 0.8):
+                one, two = (simhash.prefix(h, 0.8, late) for h in both)
+                assert set(one.tolist()) & set(two.tolist()) and len(one) <= 0.2 * len(both[0]) + 1
+    assert len(simhash.prefix(common[:0], 0.8, frequent)) == 0
