@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lodestone.catalogue_graph import BASE, CUSTOMER_SQL, INSTANCES, S, _projected, _quads, _subject
 from lodestone.catalogue_records import _events, table
 from lodestone.functions import iri
-from lodestone.functions.plan import hadoop_path, scratch
+from lodestone.functions.plan import dealt, hadoop_path, scratch
 from lodestone.operators import classify, pages, shacl, shapes
 from lodestone.operators.project import TERMS, exploded, type_quad
 from lodestone.plans import induce, refine
@@ -228,7 +228,7 @@ def _facts(*facts: tuple[str, str, str]) -> list:
 @query("page_equipment", """
 SELECT p_partkey, 'Equipment' AS class_name, p_name AS name, p_size AS item_level, CAST(floor(p_retailprice) AS BIGINT) AS gp, p_brand AS usage, 'one-action' AS cost, 'interact' AS component, 'About ' || p_type AS described, p_size + 1 AS greater_level FROM part""")
 def _(spark, sf_dir):  # noqa: ANN001, ANN202
-    p = table(spark, sf_dir, "part")
+    p = dealt(table(spark, sf_dir, "part"))
     page = F.concat(
         F.lit(SPAN), F.col("p_name"), F.lit('<span style="margin-left:auto">Item '), F.col("p_size").cast("string"), F.lit('</span></h1><b>Source</b> <a href="Sources.aspx?ID=1"><i>Book pg. 3</i></a><br/><b>Price</b> '), F.floor("p_retailprice").cast("string"),
         F.lit(" gp; <b>Bulk</b> L<br/><b>Usage</b> "), F.col("p_brand"), F.lit("<br/><b>Activate</b> <span class='action'>[one-action]</span> (Interact)<hr/>About "), F.col("p_type"),

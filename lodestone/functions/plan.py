@@ -19,6 +19,24 @@ def settled(value: Column) -> Column:
     return F.when(F.spark_partition_id() >= 0, value)
 
 
+def once(value: Column, use) -> Column:  # noqa: ANN001
+    """``use(value)``, with ``value`` computed once a row however often ``use`` names it.
+
+    Catalyst does not share what stands inside conditions and functions of arrays: each mention is computed again.
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` dealt evenly over the cores of the session.
+
+    A table of a few megabytes is one split, or one group of rows, and all that is made of its rows would be one
+    task, which more machines do not shorten. The number of parts is given, so that they are not put together
+    again for their few bytes. Rows are shuffled as they stand: deal them while they are narrow.
+    """
+    return df.repartition(3 * max(df.sparkSession.sparkContext.defaultParallelism, 8))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: the one that spark.checkpoint.dir names.
 

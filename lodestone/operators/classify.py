@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions.iri import local_name, pascal_case
-from lodestone.functions.plan import cut, settled
+from lodestone.functions.plan import cut, once, settled
 from lodestone.functions.pointer import kind, string_at, value_at
-from lodestone.plans.predicate import compile_predicate
+from lodestone.plans.predicate import looked_up
 from lodestone.plans.schema import compile_schema
 
 PROPOSAL = "struct<source:string,class_name:string,priority:double,confidence:double,reasons:array<string>>"
@@ -40,8 +40,8 @@ def discriminator(rec: Column, from_: str, fallback: str | None = None, sanitize
     raw = _present(string_at(rec, from_))
     if fallback:
         raw = F.coalesce(raw, _present(string_at(rec, fallback)))
-    name = pascal_case(raw) if sanitize in ("pascalCase", "kebabToPascal") else raw
-    return F.when(raw.isNotNull(), proposal("classify:discriminator", name, priority, 1, F.array(F.concat(F.lit(f'discriminator at "{from_}" resolved to "'), raw, F.lit('"')))))
+    name = pascal_case if sanitize in ("pascalCase", "kebabToPascal") else lambda x: x
+    return once(raw, lambda x: F.when(x.isNotNull(), proposal("classify:discriminator", name(x), priority, 1, F.array(F.concat(F.lit(f'discriminator at "{from_}" resolved to "'), x, F.lit('"'))))))
 
 
 def source_sentinel(rec: Column) -> Column:
@@ -59,24 +59,32 @@ def _strongest(matches: list[tuple[Column, str, float, list]], source: str, more
         F.when(test, F.struct(F.lit(float(priority)).alias("p"), F.lit(-i).alias("i"), F.lit(name).alias("c"), F.array(*[F.lit(r) for r in reasons]).cast("array<string>").alias("r")))
         for i, (test, name, priority, reasons) in enumerate(matches)
     ]))
-    # The greatest (priority, earliest) pair; names and reasons never decide.
-    best = F.reduce(hits, F.element_at(hits, 1), lambda a, x: F.when(x["p"] > a["p"], x).otherwise(a))
-    reasons = F.flatten(F.transform(hits, lambda x: x["r"]))
-    if more is not None:
-        reasons = F.concat(reasons, more)
-    return F.when(F.size(hits) > 0, proposal(source, best["c"], best["p"], 1, reasons))
+
+    def told(hits: Column) -> Column:
+        # The greatest (priority, earliest) pair; names and reasons never decide.
+        best = F.reduce(hits, F.element_at(hits, 1), lambda a, x: F.when(x["p"] > a["p"], x).otherwise(a))
+        reasons = F.flatten(F.transform(hits, lambda x: x["r"]))
+        if more is not None:
+            reasons = F.concat(reasons, more)
+        return F.when(F.size(hits) > 0, once(best, lambda b: proposal(source, b["c"], b["p"], 1, reasons)))
+
+    return once(hits, told)
 
 
 def url_pattern(rec: Column, patterns: list[dict]) -> Column:
     """Unanchored patterns over the record's URL: ``{match, className, priority}``."""
     url = F.coalesce(_present(string_at(rec, "/_source/url")), _present(string_at(rec, "/url")))
-    matches = [(F.coalesce(url.rlike(p["match"]), F.lit(False)), p["className"], p.get("priority", 35), [f"engine=url-pattern,regex={p['match']} → {p['className']}"]) for p in patterns]
-    return _strongest(matches, "classify:url-pattern", F.array(F.concat(F.lit("url="), url)))
+
+    def told(url: Column) -> Column:
+        matches = [(F.coalesce(url.rlike(p["match"]), F.lit(False)), p["className"], p.get("priority", 35), [f"engine=url-pattern,regex={p['match']} → {p['className']}"]) for p in patterns]
+        return _strongest(matches, "classify:url-pattern", F.array(F.concat(F.lit("url="), url)))
+
+    return once(url, told)
 
 
 def rules(rec: Column, specs: list[dict], source: str = "classify:rules") -> Column:
     """Predicate rules: ``{className, priority, predicate, reasons}``; also the structural classifier."""
-    return _strongest([(compile_predicate(rec, s["predicate"]), s["className"], s["priority"], s.get("reasons", [])) for s in specs], source)
+    return looked_up(rec, [s["predicate"] for s in specs], lambda tests: _strongest([(t, s["className"], s["priority"], s.get("reasons", [])) for t, s in zip(tests, specs)], source))
 
 
 def schema(rec: Column, specs: list[dict]) -> Column:
@@ -145,15 +153,17 @@ def fingerprint(rec: Column, fingerprints: dict[str, list[str]], least: float =
 
 def entities(rec: Column, patterns: list[dict], fields: tuple[str, ...] = ("/description",), priority: float = 28) -> Column:
     """Phrases in text fields: ``{className, patterns, priority?}``, a pattern being words and ``[a,b]`` alternations."""
-    text = F.lower(F.concat_ws(" ", *[string_at(rec, f) for f in fields]))
-    matches = []
-    for p in patterns:
-        tests = []
-        for phrase in p["patterns"]:
-            parts = ["(?:" + "|".join(_quoted(x.strip()) for x in w[1:-1].split(",")) + ")" if w.startswith("[") else _quoted(w) for w in phrase.lower().split()]
-            tests.append(text.rlike("(?<![\\p{L}\\p{N}])" + "\\s+".join(parts) + "(?![\\p{L}\\p{N}])"))
-        matches.append((F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False)), p["className"], p.get("priority", priority), [f"entity:{p['className']}"]))
-    return _strongest(matches, "classify:entities", F.array(F.concat(F.lit("snippet="), F.substring(text, 1, 80))))
+    def told(text: Column) -> Column:
+        matches = []
+        for p in patterns:
+            tests = []
+            for phrase in p["patterns"]:
+                parts = ["(?:" + "|".join(_quoted(x.strip()) for x in w[1:-1].split(",")) + ")" if w.startswith("[") else _quoted(w) for w in phrase.lower().split()]
+                tests.append(text.rlike("(?<![\\p{L}\\p{N}])" + "\\s+".join(parts) + "(?![\\p{L}\\p{N}])"))
+            matches.append((F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False)), p["className"], p.get("priority", priority), [f"entity:{p['className']}"]))
+        return _strongest(matches, "classify:entities", F.array(F.concat(F.lit("snippet="), F.substring(text, 1, 80))))
+
+    return once(F.lower(F.concat_ws(" ", *[string_at(rec, f) for f in fields])), told)
 
 
 def _quoted(word: str) -> str:

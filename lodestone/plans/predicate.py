@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lodestone.functions.plan import once
 from lodestone.functions.pointer import kind, value_at
 
 OPERATORS = ("equals", "notEquals", "in", "notIn", "exists", "missing", "type", "regex", "length", "range")
@@ -35,8 +36,8 @@ def kind_of(value) -> str:  # noqa: ANN001
     return {str: "string", dict: "object", list: "array"}[type(value)]
 
 
-def equal(value: Column, expected) -> Column:  # noqa: ANN001
-    """Deep equality; scalars compare typed, containers by their canonical JSON."""
+def equal(value: Column, expected, own: Column | None = None) -> Column:  # noqa: ANN001
+    """Deep equality; scalars compare typed, containers by their canonical JSON. ``own``: the value's kind, if it is at hand."""
     wanted = kind_of(expected)
     if wanted == "null":
         same = F.is_variant_null(value)
@@ -46,7 +47,7 @@ def equal(value: Column, expected) -> Column:  # noqa: ANN001
     else:
         spark_type = {"string": "string", "boolean": "boolean", "number": "double"}[wanted]
         same = F.try_variant_get(value, "$", spark_type) == F.lit(float(expected) if wanted == "number" else expected)
-    return F.coalesce((kind(value) == wanted) & same, F.lit(False))
+    return F.coalesce(((kind(value) if own is None else own) == wanted) & same, F.lit(False))
 
 
 def _plain(value):  # noqa: ANN001, ANN202
@@ -74,16 +75,16 @@ def _bounds(name: str, spec: dict, measure: Column, allowed: tuple[str, ...]) ->
     return reduce(lambda a, b: a & b, [tests[k] for k in spec], F.lit(True))
 
 
-def _leaf(record: Column, spec: dict) -> Column:
-    value = value_at(record, spec["path"])
-    found, own = value.isNotNull(), kind(value)
+def _leaf(spec: dict, at) -> Column:  # noqa: ANN001
+    value, own = at(spec["path"])
+    found = value.isNotNull()
     if "equals" in spec:
-        return equal(value, spec["equals"])
+        return equal(value, spec["equals"], own)
     if "notEquals" in spec:
-        return found & ~equal(value, spec["notEquals"])
+        return found & ~equal(value, spec["notEquals"], own)
     if "in" in spec or "notIn" in spec:
         wanted = spec["in"] if "in" in spec else spec["notIn"]
-        among = reduce(lambda a, b: a | b, [equal(value, v) for v in wanted], F.lit(False))
+        among = reduce(lambda a, b: a | b, [equal(value, v, own) for v in wanted], F.lit(False))
         return among if "in" in spec else found & ~among
     if "exists" in spec:
         return found
@@ -108,20 +109,39 @@ def _leaf(record: Column, spec: dict) -> Column:
     raise PredicateError(f"unknown operator in {spec!r}; allowed: {', '.join(OPERATORS)}")
 
 
-def compile_predicate(record: Column, predicate: dict) -> Column:
+def compile_predicate(record: Column, predicate: dict, at=None) -> Column:  # noqa: ANN001
     """A predicate document as a Column that is true or false.
 
     Leaves name a path and one operator, ``{"path": "/a", "equals": 1}``; combinators are ``{"all": [...]}``,
-    ``{"any": [...]}`` and ``{"not": {...}}``. An empty ``all`` is true, an empty ``any`` false.
+    ``{"any": [...]}`` and ``{"not": {...}}``. An empty ``all`` is true, an empty ``any`` false. ``at`` gives the
+    value and kind at a path where they are at hand.
     """
     if not isinstance(predicate, dict):
         raise PredicateError(f"a predicate is an object: {predicate!r}")
+    at = at or (lambda path: ((value := value_at(record, path)), kind(value)))
     if "all" in predicate:
-        return reduce(lambda a, b: a & b, [compile_predicate(record, p) for p in predicate["all"]], F.lit(True))
+        return reduce(lambda a, b: a & b, [compile_predicate(record, p, at) for p in predicate["all"]], F.lit(True))
     if "any" in predicate:
-        return reduce(lambda a, b: a | b, [compile_predicate(record, p) for p in predicate["any"]], F.lit(False))
+        return reduce(lambda a, b: a | b, [compile_predicate(record, p, at) for p in predicate["any"]], F.lit(False))
     if "not" in predicate:
-        return ~compile_predicate(record, predicate["not"])
+        return ~compile_predicate(record, predicate["not"], at)
     if "path" not in predicate:
         raise PredicateError(f"no path, all, any or not in {predicate!r}")
-    return _leaf(record, predicate)
+    return _leaf(predicate, at)
+
+
+def looked_up(record: Column, predicates: list[dict], use) -> Column:  # noqa: ANN001
+    """``use`` of the compiled predicates; the value at each of their paths is looked up once a record, not once a test."""
+    paths: dict[str, str] = {}
+    plain = lambda path: ((value := value_at(record, path)), kind(value))
+
+    def noted(path):  # noqa: ANN001, ANN202
+        found = plain(path)
+        paths.setdefault(path, f"_{len(paths)}")
+        return found
+
+    compiled = [compile_predicate(record, p, noted) for p in predicates]
+    if not paths:
+        return use(compiled)
+    values = F.struct(*[F.struct(plain(path)[0].alias("v"), plain(path)[1].alias("k")).alias(name) for path, name in paths.items()])
+    return once(values, lambda x: use([compile_predicate(record, p, lambda path: (x[paths[path]]["v"], x[paths[path]]["k"])) for p in predicates]))
