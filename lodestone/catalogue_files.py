@@ -243,7 +243,7 @@ def _(spark, sf_dir):  # noqa: ANN001, ANN202
 @query("page_monsters", """
 SELECT c_custkey, c_nationkey AS ac, 2 * c_nationkey AS hp, 'mind' AS special, c_nationkey + 1 AS fly, 'claw' AS weapon, c_nationkey AS attack, 'fire' AS damage, 'Roar' AS ability, c_mktsegment AS lore FROM customer""")
 def _(spark, sf_dir):  # noqa: ANN001, ANN202
-    c, n = table(spark, sf_dir, "customer"), F.col("c_nationkey").cast("string")
+    c, n = dealt(table(spark, sf_dir, "customer")), F.col("c_nationkey").cast("string")
     page = F.concat(
         F.lit(SPAN), F.col("c_name"), F.lit('<span style="margin-left:auto">Creature 1</span></h1><b>Source</b> Book<br/><b>Recall Knowledge</b> DC 15 • '), F.col("c_mktsegment"), F.lit(" (Arcana)<br/><hr/><b>AC</b> "), n,
         F.lit("; <b>Fort</b> +1<br/><b>HP</b> "), (2 * F.col("c_nationkey")).cast("string"), F.lit(' (mind)<br/><span class="hanging-indent"><b>Roar</b> <span class="action">[reaction]</span> <b>Effect</b> loud</span><hr/><b>Speed</b> 10 feet, fly '),
