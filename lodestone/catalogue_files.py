@@ -257,7 +257,7 @@ def _(spark, sf_dir):  # noqa: ANN001, ANN202
 @query("page_spells", """
 SELECT p_partkey, 'ritual' AS kind, p_size AS rank, 'arcane' AS tradition, p_brand AS cast_time, 'Will' AS save, true AS basic, p_type AS failure, 2 AS increment, 'burn' AS affliction, p_size AS stage FROM part""")
 def _(spark, sf_dir):  # noqa: ANN001, ANN202
-    p, n = table(spark, sf_dir, "part"), F.col("p_size").cast("string")
+    p, n = dealt(table(spark, sf_dir, "part")), F.col("p_size").cast("string")
     page = F.concat(
         F.lit(SPAN), F.col("p_name"), F.lit('<span style="margin-left:auto">Ritual '), n, F.lit("</span></h1><b>Source</b> Book<br/><b>Traditions</b> Arcane, other<br/><b>Cast</b> "), F.col("p_brand"),
         F.lit("<br/><b>Saving Throw</b> basic Will<hr/>Text. <b>burn</b> (curse); <b>Level</b> 3. <b>Stage "), n, F.lit("</b> hot (1 day)<b>Failure</b> "), F.col("p_type"), F.lit("<b>Heightened (+2)</b> more</span>"),
