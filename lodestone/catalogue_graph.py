@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestone.catalogue_records import table
 from lodestone.functions.iri import PREFIXES, RDF_TYPE, XSD, vocab
+from lodestone.functions.plan import dealt
 from lodestone.operators import classify, emit, project, reconcile, shacl, viz
 from lodestone.operators.project import TERMS, deduplicated, exploded, quad, type_quad
 from lodestone.sources import rdf, sinks
@@ -56,7 +57,7 @@ CLASSES = {
 
 
 def _projected(spark: SparkSession, sf_dir: str, name: str, key: str, class_name: str, graphs: dict | None = None) -> DataFrame:
-    rows = from_table(table(spark, sf_dir, name), name, key)
+    rows = from_table(dealt(table(spark, sf_dir, name)), name, key)
     subject = F.concat(F.lit(f"{INSTANCES}/"), F.regexp_replace("record_path", "^table:", ""))
     return project.project(rows, CLASSES, BASE, subject, F.lit(class_name), graphs)
 

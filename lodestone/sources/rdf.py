@@ -8,8 +8,10 @@ document a row. Quoted triples (RDF-star) are terms of the kind ``triple`` whose
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,6 +42,9 @@ NQUAD = rf"(?s)^\s*(?:{_IRI}|{_BLANK}|{_QUOTED})\s*{_IRI}\s*(?:{_IRI}|{_BLANK}|{
 #: The groups of NQUAD, in order.
 _GROUPS = ["s_iri", "s_blank", "s_triple", "p", "o_iri", "o_blank", "literal", "datatype", "lang", "o_triple", "g_iri", "g_blank"]
 
+#: Quads of documents that are handed on together.
+QUADS = 10_000
+
 
 class FormatError(ValueError):
     """An unknown format, or one that cannot hold the data."""
@@ -306,47 +311,59 @@ class _Turtle:
         if not (bracket and self.kind == "punct" and self.token in ".}"):
             self.properties(subject)
 
-    def block(self) -> None:
+    def told(self) -> list[tuple]:
+        """The quads since the last call."""
+        out, self.quads = self.quads, []
+        return out
+
+    def block(self) -> Iterator[tuple]:
         while not self.take("}"):
             self.triples()
             if not self.take(".") and not (self.kind == "punct" and self.token == "}"):
                 raise self.fail("expected '.' or '}'")
+            yield from self.told()
         self.graph = None
 
-    def parse(self) -> _Turtle:
+    def read(self) -> Iterator[tuple]:
+        """The quads of one statement after the other; none is kept."""
         while self.kind != "end":
             if self.directive():
                 continue
             if self.take("{"):
-                self.block()
+                yield from self.block()
                 continue
             if self.kind == "word" and self.token.upper() == "GRAPH":
                 self.next()
                 self.graph = self.resource()[1]
                 self.need("{")
-                self.block()
+                yield from self.block()
                 continue
             mark = (self.at, self.kind, self.token)
             if self.kind in ("iri", "name", "blank"):
                 name = self.resource()
                 if self.take("{"):
                     self.graph = name[1]
-                    self.block()
+                    yield from self.block()
                     continue
                 self.at, self.kind, self.token = mark
             self.triples()
             self.need(".")
-        return self
+            yield from self.told()
 
 
 def parse_turtle(text: str, base: str = "") -> tuple[list[tuple], dict[str, str]]:
     """Quads and prefixes of a Turtle or TriG document."""
-    p = _Turtle(text, base).parse()
-    return p.quads, p.prefixes
+    p = _Turtle(text, base)
+    return list(p.read()), p.prefixes
 
 
 def parse_jsonld(text: str) -> list[tuple]:
-    """Quads of a JSON-LD document with inline contexts.
+    """Quads of a JSON-LD document with inline contexts, as ``read_jsonld`` has them."""
+    return list(read_jsonld(text))
+
+
+def read_jsonld(text: str) -> Iterator[tuple]:
+    """The quads of a JSON-LD document with inline contexts, of one node at the top after the other.
 
     Terms, prefixes, @vocab, @base, @language, type coercion, @reverse, @list, @set, @index and @language containers,
     @included, @nest and @graph; contexts by address are an error.
@@ -474,16 +491,22 @@ def parse_jsonld(text: str) -> list[tuple]:
         if "@graph" in node and "@id" not in node:
             for n in node["@graph"]:
                 emit(n, inner, None)
+                yield from quads
+                quads.clear()
         else:
             emit(node, {}, None)
-    return quads
+            yield from quads
+            quads.clear()
+
+
+def read_document(text: str, fmt: str) -> Iterator[tuple]:
+    """The quads of a whole document in any format, as it is read."""
+    return read_jsonld(text) if fmt == "jsonld" else _Turtle(text).read()
 
 
 def parse_document(text: str, fmt: str) -> list[tuple]:
     """Quads of a whole document in any format."""
-    if fmt == "jsonld":
-        return parse_jsonld(text)
-    return parse_turtle(text)[0]
+    return list(read_document(text, fmt))
 
 
 def syntax_errors(text: str, fmt: str) -> list[dict]:
@@ -498,12 +521,15 @@ def syntax_errors(text: str, fmt: str) -> list[dict]:
 
 
 def documents_quads(texts: DataFrame, fmt: str) -> DataFrame:
-    """The quads of (path, value) documents, batch or stream, each parsed whole by one task; blank labels get their file's hash."""
+    """The quads of (path, value) documents, batch or stream, each parsed by one task; blank labels get their file's hash.
+
+    What is parsed goes on by batches of QUADS rows, whether they come of many small documents or of one.
+    """
 
     def parse(batches):  # noqa: ANN001, ANN202
-        for b in batches:
-            for path_, text in zip(b["path"], b["value"]):
-                yield pd.DataFrame([(path_, *q) for q in parse_document(text, fmt)], columns=["path", *TERMS])
+        quads = ((path_, *q) for b in batches for path_, text in zip(b["path"], b["value"]) for q in read_document(text, fmt))
+        while rows := list(itertools.islice(quads, QUADS)):
+            yield pd.DataFrame(rows, columns=["path", *TERMS])
 
     out = texts.mapInPandas(parse, "path string, " + ", ".join(f"{t} string" for t in TERMS))
     scope = F.substring(F.sha1(F.col("path").cast("binary")), 1, 6)

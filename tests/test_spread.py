@@ -1,10 +1,13 @@
 """Work is dealt over the cores whatever the layout of a table's file; what is looked up or staged is so once; documents are read in bounded parts."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
 from lodestone.operators import classify
+from lodestone.sources import rdf
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -35,3 +38,32 @@ def test_rules_of_any_kind_share_what_they_look_up(spark):
     told = [(r.c, r.priority, r.reasons) for r in rows.select(classify.rules(F.col("rec"), specs).alias("p")).select(F.col("p.class_name").alias("c"), "p.priority", "p.reasons").collect()]
     assert [t[0] for t in told] == ["C5", "C1", "C3", "C5", "C5"] and told[1][2] == ["r1", "s", "r2", "s", "r5", "s"] and told[3][2] == ["r5", "s"]
     assert rows.select(classify.rules(F.col("rec"), [{"className": "C", "priority": 1, "predicate": both[4]}]).isNull().alias("n")).first().n
+
+
+class Taken(Exception):
+    """Ends a plan once its function is at hand."""
+
+
+def reader_of(fmt):
+    """The function that parses batches of documents."""
+    found = []
+
+    class Texts:
+        def mapInPandas(self, function, schema):  # noqa: N802
+            found.append(function)
+            raise Taken
+
+    with pytest.raises(Taken):
+        rdf.documents_quads(Texts(), fmt)
+    return found[0]
+
+
+def frame(*texts):
+    import pandas as pd
+
+    return pd.DataFrame({"path": "p", "value": list(texts)})
+
+
+def test_small_documents_go_on_together():
+    parts = list(reader_of("jsonld")([frame(*[json.dumps({"@id": f"urn:{i}", "urn:p": i}) for i in range(25)]), frame("[]")]))
+    assert [len(p) for p in parts] == [25] and list(parts[0]["s"]) == [f"urn:{i}" for i in range(25)]
