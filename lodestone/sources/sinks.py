@@ -31,6 +31,8 @@ DEFAULT, OTHER = "__default__", "__other__"
 MAX_BUCKETS = 10_000
 #: Statements of a subject and graph in one Turtle or JSON-LD block at most; a subject may have several blocks.
 BLOCK_QUADS = 10_000
+#: Blocks in one Turtle or TriG file at most: such a file is read whole, by one task.
+FILE_BLOCKS = 10_000
 
 
 # Graph collapse, buckets and slugs.
@@ -218,13 +220,14 @@ def serialised(quads: DataFrame, fmt: str, prefixes: dict[str, str] | None = Non
 
 
 def write_quads(quads: DataFrame, path: str, fmt: str, prefixes: dict[str, str] | None = None, context: dict | None = None) -> None:
-    """Part files in any format; each Turtle or TriG file begins with its prefixes, once."""
+    """Part files in any format; each Turtle or TriG file begins with its prefixes, once, and has FILE_BLOCKS blocks at most."""
     rows, head = serialised(quads, fmt, prefixes, context), header(fmt, prefixes or {})
     if head:
-        # The lower 33 bits number the rows of a task, and a task writes one file.
-        first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+        # The lower 33 bits number the rows of a task, and a task begins a file every FILE_BLOCKS rows.
+        first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) % FILE_BLOCKS == 0
         rows = rows.select(F.when(first, F.concat(F.lit(head), F.col("value"))).otherwise(F.col("value")).alias("value"))
-    rows.write.mode("overwrite").text(path)
+    whole = (STAR_FORMATS[fmt][0] if fmt in STAR_FORMATS else fmt) in ("turtle", "trig")
+    rows.write.mode("overwrite").option("maxRecordsPerFile", FILE_BLOCKS if whole else 0).text(path)
 
 
 def write_turtle(quads: DataFrame, path: str, prefixes: dict[str, str], fmt: str = "turtle") -> None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from lodestone.operators import classify
-from lodestone.sources import rdf
+from lodestone.sources import rdf, sinks
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -67,3 +67,24 @@ def frame(*texts):
 def test_small_documents_go_on_together():
     parts = list(reader_of("jsonld")([frame(*[json.dumps({"@id": f"urn:{i}", "urn:p": i}) for i in range(25)]), frame("[]")]))
     assert [len(p) for p in parts] == [25] and list(parts[0]["s"]) == [f"urn:{i}" for i in range(25)]
+
+
+def test_a_large_document_goes_on_in_parts(monkeypatch):
+    monkeypatch.setattr(rdf, "QUADS", 10, raising=False)
+    text = "".join(f"<urn:{i}> <urn:p> {i} .\n" for i in range(25))
+    assert [len(p) for p in reader_of("turtle")([frame(text)])] == [10, 10, 5]
+    parts = reader_of("turtle")([frame(text + "<urn:x> <urn:p> .")])
+    assert len(next(parts)) == 10  # before the error at the document's end is met
+    with pytest.raises(rdf.ParseError):
+        list(parts)
+
+
+def test_turtle_files_are_bounded_and_whole(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "FILE_BLOCKS", 10, raising=False)
+    rows = [("iri", f"urn:s{i}", "urn:p", "literal", str(i), rdf.XSD_STRING, None, None) for i in range(25)]
+    quads = spark.createDataFrame(rows, ", ".join(f"{t} string" for t in rdf.TERMS)).coalesce(1)
+    sinks.write_quads(quads, str(tmp_path / "t"), "turtle", {"e": "urn:"})
+    texts = [t for f in (tmp_path / "t").glob("part-*") if (t := f.read_text())]
+    assert all(t.count("@prefix") == 1 and t.startswith("@prefix") and len(rdf.parse_turtle(t)[0]) <= 10 for t in texts)
+    assert sorted(q for t in texts for q in rdf.parse_turtle(t)[0]) == sorted(rows)
+    assert sorted(tuple(r) for r in rdf.read_documents(spark, str(tmp_path / "t"), "turtle").collect()) == sorted(rows)
