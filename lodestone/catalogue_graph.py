@@ -175,7 +175,7 @@ SELECT s, p, o, d AS o_datatype FROM (SELECT '{INSTANCES}/part/' || p_partkey AS
   (b || '#box', '{BASE}#brand', p_brand, '{S}')) v(s, p, o, d)""")
 def _(spark, sf_dir):  # noqa: ANN001, ANN202
     box = F.struct((F.col("p_size") + 0.25).alias("size"), (F.col("p_size") > 25).alias("heavy"), F.col("p_brand").alias("brand"))
-    p = table(spark, sf_dir, "part").select("p_partkey", F.to_variant_object(F.struct(box.alias("box"))).alias("rec"))
+    p = dealt(table(spark, sf_dir, "part")).select("p_partkey", F.to_variant_object(F.struct(box.alias("box"))).alias("rec"))
     spec = {"box": {"fragment": "box", "type": "Box", "properties": {"size": "xsd:integer", "heavy": "xsd:boolean", "brand": "xsd:string"}}}
     return _quads(p, F.col("p_partkey").cast("string"), project.skolem(F.col("rec"), _subject("part", "p_partkey"), BASE, spec)).select("s", "p", "o", "o_datatype")
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions.iri import PREFIXES, RDF_TYPE, XSD, XSD_STRING, expand_curie, sanitize_iri, segment, vocab
-from lodestone.functions.plan import settled
+from lodestone.functions.plan import once, settled
 from lodestone.functions.pointer import kind, string_at, value_at
 from lodestone.plans.schema import compile_schema
 
@@ -166,31 +166,37 @@ def _enumerated(texts: Column, subject: Column, base: str, name: str, range_clas
 def coerced(value: Column, datatype: str) -> Column:
     """The lexical form of a value as an ``xsd:`` type, NULL if it has none."""
     text = F.coalesce(F.try_variant_get(value, "$", "string"), F.to_json(value))
-    number = text.try_cast("double")
-    finite = number.isNotNull() & ~F.isnan(number) & (F.abs(number) < float("inf"))
+
+    def numeric(form) -> Column:  # noqa: ANN001
+        return once(text.try_cast("double"), lambda x: F.when(x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")), form(x)))
+
     forms = {
-        "xsd:string": text,
-        "xsd:integer": F.when(finite, F.when(number < 0, F.ceil(number)).otherwise(F.floor(number)).cast("long").cast("string")),
-        "xsd:number": F.when(finite, F.when(number == F.floor(number), number.cast("long").cast("string")).otherwise(number.cast("string"))),
-        "xsd:boolean": F.when(text.isin("true", "1"), F.lit("true")).when(text.isin("false", "0"), F.lit("false")),
+        "xsd:string": lambda: text,
+        "xsd:integer": lambda: numeric(lambda x: F.when(x < 0, F.ceil(x)).otherwise(F.floor(x)).cast("long").cast("string")),
+        "xsd:number": lambda: numeric(lambda x: F.when(x == F.floor(x), x.cast("long").cast("string")).otherwise(x.cast("string"))),
+        "xsd:boolean": lambda: once(text, lambda t: F.when(t.isin("true", "1"), F.lit("true")).when(t.isin("false", "0"), F.lit("false"))),
     }
-    return forms.get(datatype, NONE())
+    return forms.get(datatype, NONE)()
 
 
 def skolem(rec: Column, subject: Column, base: str, entries: dict[str, dict], g: Column | None = None) -> Column:
     """Fields as typed subjects of their own: ``{fragment, type, properties?: {name: xsd:type}}`` by field."""
     datatypes = {"xsd:string": XSD_STRING, "xsd:integer": XSD + "integer", "xsd:number": XSD + "decimal", "xsd:boolean": XSD + "boolean"}
-    parts = []
-    for name, e in sorted(entries.items()):
-        value = value_at(rec, f"/{name}")
-        own = F.concat(subject, F.lit("#" + e["fragment"]))
+
+    def made(x: Column, name: str, e: dict) -> Column:
+        value, own = x["v"], F.concat(subject, F.lit("#" + e["fragment"]))
         rows = [type_quad(own, vocab(base, e["type"]), g), quad(subject, vocab(base, name), own, g)]
         for prop, datatype in sorted(e.get("properties", {}).items()):
-            raw = F.when(kind(value) == "object", F.try_variant_get(value, f'$["{prop}"]', "variant")).otherwise(value)
-            text = F.when(~F.is_variant_null(raw), coerced(raw, datatype))
-            rows.append(F.when(text.isNotNull(), quad(own, vocab(base, prop), text, g, "literal", datatypes.get(datatype, XSD_STRING))))
+            raw = F.when(x["k"] == "object", F.try_variant_get(value, f'$["{prop}"]', "variant")).otherwise(value)
+            text = once(raw, lambda v: F.when(~F.is_variant_null(v), coerced(v, datatype)))
+            rows.append(once(text, lambda t: F.when(t.isNotNull(), quad(own, vocab(base, prop), t, g, "literal", datatypes.get(datatype, XSD_STRING)))))
         there = value.isNotNull() & ~F.is_variant_null(value)
-        parts.append(F.when(there, F.array_compact(F.array(*rows))).otherwise(F.array().cast(f"array<{QUAD}>")))
+        return F.when(there, F.array_compact(F.array(*rows))).otherwise(F.array().cast(f"array<{QUAD}>"))
+
+    parts = []
+    for name, e in sorted(entries.items()):
+        value = value_at(rec, f"/{name}")
+        parts.append(once(F.struct(value.alias("v"), kind(value).alias("k")), lambda x: made(x, name, e)))
     return F.concat(*parts) if parts else F.array().cast(f"array<{QUAD}>")
 
 

@@ -21,7 +21,7 @@ def dealt_parts(df):
     return min([int(line.split("Repartition ")[1].split(",")[0]) for line in plan_of(df).splitlines() if "Repartition " in line], default=1)
 
 
-@pytest.mark.parametrize("name", ["page_equipment", "page_monsters", "page_spells"])
+@pytest.mark.parametrize("name", ["page_equipment", "page_monsters", "page_spells", "quads_skolem"])
 def test_a_table_of_one_split_is_dealt_over_the_cores(spark, name):
     assert dealt_parts(__spark_entry__.queries()[name](spark, SMALL)) >= 24
 
@@ -88,3 +88,8 @@ def test_turtle_files_are_bounded_and_whole(spark, tmp_path, monkeypatch):
     assert all(t.count("@prefix") == 1 and t.startswith("@prefix") and len(rdf.parse_turtle(t)[0]) <= 10 for t in texts)
     assert sorted(q for t in texts for q in rdf.parse_turtle(t)[0]) == sorted(rows)
     assert sorted(tuple(r) for r in rdf.read_documents(spark, str(tmp_path / "t"), "turtle").collect()) == sorted(rows)
+
+
+def test_a_skolem_subject_looks_values_up_once(spark):
+    text = plan_of(__spark_entry__.queries()["quads_skolem"](spark, SMALL))
+    assert text.count("try_variant_get(") < 20  # 230 when each use looked its value up
