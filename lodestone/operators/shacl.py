@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions.iri import PREFIXES, RDF_TYPE, XSD
+from lodestone.functions.plan import remove_folder, written
 
 SH, RDF = PREFIXES["sh"], PREFIXES["rdf"]
 
@@ -133,11 +134,15 @@ def gate(quads: DataFrame, shapes: list[dict], artifacts: str | None = None, lin
     """Raises ShaclError if a shape is violated, after writing the whole report, as text and Turtle, under ``artifacts``."""
     from lodestone.sources import sinks
 
-    found = violations(quads, shapes)
-    n = found.count()
-    if n:
-        told = report_lines(found)
-        if artifacts:
-            told.write.mode("overwrite").text(f"{artifacts}/validation.report")
-            sinks.write_turtle(report_quads(found), f"{artifacts}/validation.report.ttl", {"sh": SH})
-        raise ShaclError(n, [r.value for r in told.orderBy("value").limit(lines).collect()])
+    # Found once: the count and both reports are made of what is staged.
+    found, at = written(violations(quads, shapes))
+    try:
+        n = found.count()
+        if n:
+            told = report_lines(found)
+            if artifacts:
+                told.write.mode("overwrite").text(f"{artifacts}/validation.report")
+                sinks.write_turtle(report_quads(found), f"{artifacts}/validation.report.ttl", {"sh": SH})
+            raise ShaclError(n, [r.value for r in told.orderBy("value").limit(lines).collect()])
+    finally:
+        remove_folder(quads.sparkSession, at)

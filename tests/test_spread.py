@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from lodestone.operators import classify
+from lodestone.operators import classify, shacl
 from lodestone.sources import rdf, sinks
 
 SMALL = "/root/testdata/sf0.001"
@@ -93,3 +93,20 @@ def test_turtle_files_are_bounded_and_whole(spark, tmp_path, monkeypatch):
 def test_a_skolem_subject_looks_values_up_once(spark):
     text = plan_of(__spark_entry__.queries()["quads_skolem"](spark, SMALL))
     assert text.count("try_variant_get(") < 20  # 230 when each use looked its value up
+
+
+def test_the_gate_finds_its_violations_once(spark, tmp_path):
+    from pyspark.sql.types import StringType
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def told(s):
+        seen.add(1)
+        return s
+
+    rows = [("iri", f"urn:a{i}", rdf.RDF_TYPE, "iri", "urn:C", None, None, None) for i in range(10)]
+    quads = spark.createDataFrame(rows, ", ".join(f"{t} string" for t in rdf.TERMS)).withColumn("s", F.udf(told, StringType()).asNondeterministic()("s"))
+    with pytest.raises(shacl.ShaclError) as e:
+        shacl.gate(quads, [{"iri": "urn:s", "targetClass": "urn:C", "properties": [{"path": "urn:p", "minCount": 1}]}], str(tmp_path / "v"))
+    assert e.value.count == 10 and len(e.value.report) == 10
+    assert seen.value <= 20  # the types and the values, once
