@@ -163,7 +163,7 @@ def _(spark, sf_dir):  # noqa: ANN001, ANN202
 
 
 def _orders_set(spark: SparkSession, sf_dir: str) -> dict:
-    o = table(spark, sf_dir, "orders")
+    o = dealt(table(spark, sf_dir, "orders"))
     tags = F.array(F.struct(F.substring("o_orderpriority", 1, 1).alias("level")))
     rows = o.select(F.lit("Order").alias("class_name"), F.to_variant_object(F.struct("o_orderkey", "o_orderstatus", F.concat(F.lit("https://x.org/"), F.col("o_custkey").cast("string")).alias("page"), tags.alias("tags"))).alias("rec"))
     return induce.induced_set([r.asDict() for r in shapes.shape_cache(rows).collect()], "urn:x/")

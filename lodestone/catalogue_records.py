@@ -308,7 +308,7 @@ def _(spark, sf_dir):  # noqa: ANN001, ANN202
 
 
 def _shape_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    e = dealt(table(spark, sf_dir, "events"))
     return e.select(F.col("event_type").alias("class_name"), F.to_variant_object(F.struct("user_id", "event_type", "value", F.try_parse_json("props").alias("props"))).alias("rec"))
 
 
@@ -351,7 +351,7 @@ def _(spark, sf_dir):  # noqa: ANN001, ANN202
 
 @query("schema_closed_enum", "SELECT 'Order' AS class_name, 'o_orderstatus' AS path, string_agg(DISTINCT o_orderstatus, ',' ORDER BY o_orderstatus) AS texts FROM orders")
 def _(spark, sf_dir):  # noqa: ANN001, ANN202
-    rows = table(spark, sf_dir, "orders").select(F.lit("Order").alias("class_name"), F.to_variant_object(F.struct("o_orderstatus")).alias("rec"))
+    rows = dealt(table(spark, sf_dir, "orders")).select(F.lit("Order").alias("class_name"), F.to_variant_object(F.struct("o_orderstatus")).alias("rec"))
     return shapes.shape_cache(rows).select("class_name", "path", F.array_join("texts", ",").alias("texts"))
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.functions.plan import cut, settled
 from lodestone.functions.pointer import is_integer, kind
 
 DEPTH = 8
@@ -20,13 +21,10 @@ KINDS = ("string", "integer", "number", "boolean", "null", "object", "array")
 def flattened(records: DataFrame, class_name: str = "class_name", rec: str = "rec", depth: int = DEPTH) -> DataFrame:
     """(class_name, path, kind, text, number): a row for every property occurrence and array element.
 
-    The nodes of a record are unfolded level by level inside one array column and exploded once, so the
-    depth costs projections, not passes.
+    The nodes of a record are unfolded inside one array column, each once, and exploded once, so the depth
+    costs no passes.
     """
-    root = F.array(F.struct(F.lit("").alias("path"), F.col(rec).alias("v"), F.lit(True).alias("open")))
-    level = records.select(F.col(class_name).alias("class_name"), root.alias("nodes"))
-    for _ in range(depth):
-        level = level.withColumn("nodes", F.flatten(F.transform("nodes", _unfolded)))
+    level = records.select(F.col(class_name).alias("class_name"), settled(_nodes(F.col(rec), F.lit(""), depth)).alias("nodes"))
     told = level.select("class_name", F.explode("nodes").alias("n")).where("n.path <> ''").select("class_name", F.col("n.path").alias("path"), F.col("n.v").alias("v"))
     told = told.withColumn("k0", kind(F.col("v")))
     whole = F.when((F.col("k0") == "number") & is_integer(F.col("v")), F.lit("integer")).otherwise(F.col("k0"))
@@ -37,21 +35,19 @@ def flattened(records: DataFrame, class_name: str = "class_name", rec: str = "re
     )
 
 
-def _unfolded(node: Column) -> Column:
-    """An open node becomes itself, closed, and its properties or elements, open."""
-    v, path = node["v"], node["path"]
-    struct = lambda p, x, is_open: F.struct(p.alias("path"), x.alias("v"), F.lit(is_open).alias("open"))
+def _nodes(v: Column, path: Column, depth: int) -> Column:
+    """array<struct<path, v>>: the properties or elements of a value, each followed by its own down to ``depth`` levels."""
     properties = F.map_entries(F.try_variant_get(v, "$", "map<string,variant>"))
-    named = F.transform(properties, lambda e: struct(F.when(path == "", e["key"]).otherwise(F.concat(path, F.lit("."), e["key"])), e["value"], True))
-    items = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: struct(F.concat(path, F.lit("[]")), x, True))
-    none = F.array().cast("array<struct<path:string,v:variant,open:boolean>>")
-    return F.when(node["open"], F.concat(F.array(struct(path, v, False)), F.coalesce(named, items, none))).otherwise(F.array(node))
+    named = F.transform(properties, lambda e: F.struct(F.when(path == "", e["key"]).otherwise(F.concat(path, F.lit("."), e["key"])).alias("path"), e["value"].alias("v")))
+    items = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: F.struct(F.concat(path, F.lit("[]")).alias("path"), x.alias("v")))
+    own = F.coalesce(named, items, F.array().cast("array<struct<path:string,v:variant>>"))
+    return own if depth <= 1 else F.flatten(F.transform(own, lambda n: F.concat(F.array(n), _nodes(n["v"], n["path"], depth - 1))))
 
 
 def observed(flat: DataFrame) -> DataFrame:
     """By (class_name, path): presence, one count a kind, url_count, min, max, n_distinct, overflow, texts."""
-    # One shuffle of what is distinct; the three aggregations below reuse it.
-    pre = flat.groupBy("class_name", "path", "kind", "text").agg(F.count(F.lit(1)).alias("n"), F.min("number").alias("low"), F.max("number").alias("high"))
+    # What is distinct is staged: the three aggregations below need other columns of it each, so that a plan would unfold the records for each.
+    pre = cut(flat.groupBy("class_name", "path", "kind", "text").agg(F.count(F.lit(1)).alias("n"), F.min("number").alias("low"), F.max("number").alias("high")))
     counts = pre.groupBy("class_name", "path").agg(
         F.sum("n").alias("presence"),
         *[F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"n_{k}") for k in KINDS],

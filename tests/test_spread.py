@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from lodestone.operators import classify, shacl
+from lodestone import catalogue_files
+from lodestone.operators import classify, shacl, shapes
 from lodestone.sources import rdf, sinks
 
 SMALL = "/root/testdata/sf0.001"
@@ -110,3 +111,35 @@ def test_the_gate_finds_its_violations_once(spark, tmp_path):
         shacl.gate(quads, [{"iri": "urn:s", "targetClass": "urn:C", "properties": [{"path": "urn:p", "minCount": 1}]}], str(tmp_path / "v"))
     assert e.value.count == 10 and len(e.value.report) == 10
     assert seen.value <= 20  # the types and the values, once
+
+
+def records_of(name, spark, monkeypatch):
+    """The records whose shapes a query observes."""
+    found = []
+
+    def kept(rows):
+        found.append(rows)
+        raise Taken
+
+    monkeypatch.setattr(catalogue_files.shapes, "shape_cache", kept)
+    with pytest.raises(Taken):
+        __spark_entry__.queries()[name](spark, SMALL)
+    return found[0]
+
+
+def test_induction_deals_its_records(spark, monkeypatch):
+    assert dealt_parts(records_of("induced_schemas", spark, monkeypatch)) >= 24
+
+
+def test_nodes_are_unfolded_once_each(spark):
+    deep = {"a": {"b": {"c": {"d": [1, {"e": None}]}}}, "": {"x": 1}, "l": [[2], []]}
+    rows = spark.createDataFrame([(json.dumps(deep),), ("[3]",), ("4",)], "j string").select(F.lit("C").alias("class_name"), F.parse_json("j").alias("rec"))
+
+    def nodes(v, path, left):
+        own = [(k if path == "" else f"{path}.{k}", x) for k, x in v.items()] if isinstance(v, dict) else [(path + "[]", x) for x in v] if isinstance(v, list) else []
+        return [y for p, x in own if left for y in [(p, x), *nodes(x, p, left - 1)]]
+
+    for depth in (1, 3, 8):
+        flat = shapes.flattened(rows, depth=depth)
+        assert sorted(r.path for r in flat.select("path").collect()) == sorted(p for v in (deep, [3], 4) for p, _ in nodes(v, "", depth) if p)
+    assert plan_of(flat).count("try_variant_get(") < 30
