@@ -143,3 +143,13 @@ def test_nodes_are_unfolded_once_each(spark):
         flat = shapes.flattened(rows, depth=depth)
         assert sorted(r.path for r in flat.select("path").collect()) == sorted(p for v in (deep, [3], 4) for p, _ in nodes(v, "", depth) if p)
     assert plan_of(flat).count("try_variant_get(") < 30
+
+
+def test_a_large_graph_goes_on_in_parts(monkeypatch):
+    monkeypatch.setattr(rdf, "QUADS", 10, raising=False)
+    inside = "".join(f"<urn:{i}> <urn:p> {i} .\n" for i in range(25))
+    parts = list(reader_of("trig")([frame(f"<urn:g> {{ {inside} }} <urn:x> <urn:p> 1 . GRAPH <urn:h> {{ {inside} }}")]))
+    assert [len(p) for p in parts] == [10, 10, 10, 10, 10, 1]
+    assert [list(p["g"]).count("urn:g") for p in parts] == [10, 10, 5, 0, 0, 0] and [p["g"].isna().sum() for p in parts] == [0, 0, 1, 0, 0, 0]
+    parts = reader_of("trig")([frame(f"<urn:g> {{ {inside} <urn:x> ")])
+    assert len(next(parts)) == 10
