@@ -153,3 +153,7 @@ def test_a_large_graph_goes_on_in_parts(monkeypatch):
     assert [list(p["g"]).count("urn:g") for p in parts] == [10, 10, 5, 0, 0, 0] and [p["g"].isna().sum() for p in parts] == [0, 0, 1, 0, 0, 0]
     parts = reader_of("trig")([frame(f"<urn:g> {{ {inside} <urn:x> ")])
     assert len(next(parts)) == 10
+
+
+def test_refinement_deals_its_records(spark, monkeypatch):
+    assert dealt_parts(records_of("refined_schema", spark, monkeypatch)) >= 24
