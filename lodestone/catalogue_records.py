@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lodestone.functions import iri
+from lodestone.functions.plan import dealt
 from lodestone.functions.pointer import value_at
 from lodestone.operators import classify, extract, runstats, shapes
 from lodestone.plans.predicate import compile_predicate
@@ -32,7 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(event_id, rec): events with their embedded properties as one nested VARIANT object."""
-    e = table(spark, sf_dir, "events")
+    e = dealt(table(spark, sf_dir, "events"))
     return e.select("event_id", F.to_variant_object(F.struct("event_id", "user_id", "event_type", "value", F.struct(F.lit("events").alias("target")).alias("_source"))).alias("rec"), F.try_parse_json("props").alias("props"))
 
 
@@ -140,7 +141,7 @@ PART_SQL = "SELECT p_partkey, p_size >= 40 AS a, p_retailprice > 1000 AS b, p_si
 
 
 def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select("p_partkey", F.to_variant_object(F.struct("p_partkey", "p_size", "p_retailprice", "p_brand", "p_type", "p_name")).alias("rec"))
+    return dealt(table(spark, sf_dir, "part")).select("p_partkey", F.to_variant_object(F.struct("p_partkey", "p_size", "p_retailprice", "p_brand", "p_type", "p_name")).alias("rec"))
 
 
 @query("classify_rules", f"""
@@ -154,7 +155,7 @@ def _(spark, sf_dir):  # noqa: ANN001, ANN202
 @query("classify_schema", """
 SELECT o_orderkey, CASE WHEN o_totalprice >= 1000 AND o_orderstatus IN ('O', 'F') AND regexp_full_match(o_orderpriority, '[12]-.*') THEN 'UrgentOrder' WHEN o_orderstatus IS NOT NULL THEN 'Order' END AS class_name FROM orders""")
 def _(spark, sf_dir):  # noqa: ANN001, ANN202
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.to_variant_object(F.struct("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")).alias("rec"))
+    rows = dealt(table(spark, sf_dir, "orders")).select("o_orderkey", F.to_variant_object(F.struct("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")).alias("rec"))
     urgent = {"type": "object", "required": ["o_totalprice"], "properties": {"o_totalprice": {"type": "number", "minimum": 1000}, "o_orderstatus": {"enum": ["O", "F"]}, "o_orderpriority": {"$ref": "#/$defs/p"}}, "$defs": {"p": {"type": "string", "pattern": "^[12]-.*$"}}}
     plain = {"type": "object", "required": ["o_orderstatus"], "properties": {"o_orderstatus": {"type": "string"}}}
     p = classify.schema(F.col("rec"), [{"schemaId": "order", "schema": plain, "className": "Order", "priority": 10}, {"schemaId": "urgent", "schema": urgent, "className": "UrgentOrder", "priority": 20}])
@@ -164,7 +165,7 @@ def _(spark, sf_dir):  # noqa: ANN001, ANN202
 @query("classify_shacl_shape", """
 SELECT c_custkey, CASE WHEN c_mktsegment IN ('BUILDING', 'AUTOMOBILE') AND c_acctbal IS NOT NULL THEN 'Builder' WHEN c_name IS NOT NULL THEN 'Customer' END AS class_name FROM customer""")
 def _(spark, sf_dir):  # noqa: ANN001, ANN202
-    rows = table(spark, sf_dir, "customer").select("c_custkey", F.to_variant_object(F.struct("c_custkey", "c_name", "c_acctbal", "c_mktsegment")).alias("rec"))
+    rows = dealt(table(spark, sf_dir, "customer")).select("c_custkey", F.to_variant_object(F.struct("c_custkey", "c_name", "c_acctbal", "c_mktsegment")).alias("rec"))
     shapes_ = [
         {"iri": "urn:s#B", "targetClass": "urn:c#Builder", "properties": [{"path": "urn:p#c_mktsegment", "minCount": 1, "in": ["BUILDING", "AUTOMOBILE"]}, {"path": "urn:p#c_acctbal", "minCount": 1, "maxCount": 1, "datatype": "xsd:decimal"}]},
         {"iri": "urn:s#C", "targetClass": "urn:c#Customer", "properties": [{"path": "urn:p#c_name", "minCount": 1, "datatype": "xsd:string"}]},
