@@ -76,7 +76,7 @@ def _(spark, sf_dir):  # noqa: ANN001, ANN202
     (T, f"'{BASE}/Order'", "iri", None), (f"{BASE}#o_orderstatus", "o_orderstatus", "literal", S), (f"{BASE}#customer", f"'{INSTANCES}/order/' || o_orderkey || '/customer'", "iri", None)], "'urn:g/orders'")
     + " UNION ALL " + _sql_quads("orders", f"'{INSTANCES}/order/' || o_orderkey || '/customer'", [(f"{BASE}#key", "CAST(o_custkey AS VARCHAR)", "literal", I)], "'urn:g/orders'"))
 def _(spark, sf_dir):  # noqa: ANN001, ANN202
-    o = table(spark, sf_dir, "orders").select("o_orderkey", F.to_variant_object(F.struct("o_orderstatus", F.struct(F.col("o_custkey").alias("key")).alias("customer"))).alias("rec"))
+    o = dealt(table(spark, sf_dir, "orders")).select("o_orderkey", F.to_variant_object(F.struct("o_orderstatus", F.struct(F.col("o_custkey").alias("key")).alias("customer"))).alias("rec"))
     rows = o.withColumns({"rid": F.col("o_orderkey").cast("string")})
     classes = {"Order": {"properties": {"o_orderstatus": {"kind": "literal"}, "customer": {"kind": "object", "properties": {"key": {"kind": "literal"}}}}}}
     return exploded(project.project(rows, classes, BASE, _subject("order", "o_orderkey"), F.lit("Order"), {"Order": "urn:g/orders"})).select(*TERMS)
@@ -96,7 +96,7 @@ PER_CLASS = "SELECT upper(event_type[1]) || event_type[2:] AS class_name, CAST(s
 @query("quads_per_class", PER_CLASS)
 def _(spark, sf_dir):  # noqa: ANN001, ANN202
     """The flagship: records, discriminator, conflict resolution, projection, deduplication, counts by class."""
-    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    e = dealt(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value"))
     rows = classify.cascade(from_table(e, "events", "event_id"), {"discriminator": {"from": "/event_type", "sanitize": "pascalCase"}, "source": False})
     names = ["Signup", "Error", "Click", "View", "Purchase"]
     classes = {c: {"properties": {p: {"kind": "literal"} for p in ("event_id", "user_id", "value")}} for c in names}
@@ -165,7 +165,7 @@ def _(spark, sf_dir):  # noqa: ANN001, ANN202
 
 @query("quads_array_enum", f"SELECT '{INSTANCES}/part/' || p_partkey AS s, '{BASE}#words' AS p, '{BASE}#Word-' || regexp_replace(w, '[^A-Za-z0-9]+', '-', 'g') AS o FROM (SELECT p_partkey, unnest(string_split(p_type, ' ')) AS w FROM part) WHERE w <> ''")
 def _(spark, sf_dir):  # noqa: ANN001, ANN202
-    p = table(spark, sf_dir, "part").select("p_partkey", F.to_variant_object(F.struct(F.split("p_type", " ").alias("words"))).alias("rec"))
+    p = dealt(table(spark, sf_dir, "part")).select("p_partkey", F.to_variant_object(F.struct(F.split("p_type", " ").alias("words"))).alias("rec"))
     return _quads(p, F.col("p_partkey").cast("string"), project.array_enum(F.col("rec"), _subject("part", "p_partkey"), BASE, {"words": "Word"})).select("s", "p", "o")
 
 
@@ -191,7 +191,7 @@ SELECT s, p, o FROM (SELECT event_id, '{INSTANCES}/event/' || event_id AS b, 'ur
   (a, '{T}', '{PREFIXES['prov']}Activity'), (b, '{PREFIXES['prov']}wasGeneratedBy', a), (a, '{PREFIXES['prov']}wasAssociatedWith', 'urn:run/classifier/classify-discriminator'),
   (a, 'urn:run#confidence', '1.0'), (a, '{PREFIXES['prov']}startedAtTime', '2020-01-01T00:00:00Z'), (a, 'urn:run#reason', 'discriminator at "/event_type" resolved to "' || event_type || '"')) v(s, p, o)""")
 def _(spark, sf_dir):  # noqa: ANN001, ANN202
-    e = table(spark, sf_dir, "events").select("event_id", F.to_variant_object(F.struct("event_type")).alias("rec"))
+    e = dealt(table(spark, sf_dir, "events")).select("event_id", F.to_variant_object(F.struct("event_type")).alias("rec"))
     done = classify.cascade(e, {"discriminator": {"from": "/event_type"}, "source": False})
     made = project.record_provenance("urn:run", _subject("event", "event_id"), F.col("classification"), "2020-01-01T00:00:00Z")
     return _quads(done, F.col("event_id").cast("string"), made).select("s", "p", "o")
