@@ -288,7 +288,7 @@ def _(spark, sf_dir):  # noqa: ANN001, ANN202
 SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'move' WHEN 1 THEN 'tcg_pokemon_card' WHEN 2 THEN 'location' ELSE 'learnset_data' END AS kind, CASE WHEN p_partkey % 4 < 3 THEN p_name END AS name,
   CASE p_partkey % 4 WHEN 0 THEN CAST(p_size AS VARCHAR) WHEN 1 THEN p_brand WHEN 2 THEN 'route' ELSE 'IV' END AS fact FROM part""")
 def _(spark, sf_dir):  # noqa: ANN001, ANN202
-    p, k = table(spark, sf_dir, "part"), F.col("p_partkey") % 4
+    p, k = dealt(table(spark, sf_dir, "part")), F.col("p_partkey") % 4
     text = (
         F.when(k == 0, F.concat(F.lit("{{MoveInfobox|name={{tt|"), F.col("p_name"), F.lit("|note}}|power="), F.col("p_size").cast("string"), F.lit("}}")))
         .when(k == 1, F.concat(F.lit("{{PokémoncardInfobox|cardname=[[x|"), F.col("p_name"), F.lit("]]}} {{PokémoncardInfobox/Expansion|expansion={{TCG|"), F.col("p_brand"), F.lit("}}|cardno=1}}")))

@@ -22,7 +22,7 @@ def dealt_parts(df):
     return min([int(line.split("Repartition ")[1].split(",")[0]) for line in plan_of(df).splitlines() if "Repartition " in line], default=1)
 
 
-@pytest.mark.parametrize("name", ["page_equipment", "page_monsters", "page_spells", "quads_skolem", "classify_conflict_tie", "classify_conflict_priority", "classify_rules", "schema_verdicts", "field_harvest", "quads_per_class"])
+@pytest.mark.parametrize("name", ["page_equipment", "page_monsters", "page_spells", "quads_skolem", "classify_conflict_tie", "classify_conflict_priority", "classify_rules", "schema_verdicts", "field_harvest", "quads_per_class", "wiki_pages"])
 def test_a_table_of_one_split_is_dealt_over_the_cores(spark, name):
     assert dealt_parts(__spark_entry__.queries()[name](spark, SMALL)) >= 24
 
